@@ -1,0 +1 @@
+"""No job here is a stream: every dataset is recomputed from tables on read."""
