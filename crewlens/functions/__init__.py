@@ -10,7 +10,13 @@ from crewlens.functions.clock import (
     today_utc,
     utc_year_bounds,
 )
-from crewlens.functions.columns import hours_from_minutes, money, optional_column, round2, typed_null
+from crewlens.functions.columns import (
+    hours_from_minutes,
+    json_value,
+    money,
+    optional_column,
+    typed_null,
+)
 from crewlens.functions.text import clean_text, join_text, labelled, labelled_list, utrim
 
 __all__ = [
@@ -18,6 +24,7 @@ __all__ = [
     "hours_from_minutes",
     "in_local_years",
     "join_text",
+    "json_value",
     "labelled",
     "labelled_list",
     "local_date",
@@ -26,7 +33,6 @@ __all__ = [
     "optional_column",
     "parse_clock",
     "parse_ts",
-    "round2",
     "to_local",
     "today_utc",
     "typed_null",

@@ -25,16 +25,16 @@ def optional_column(
     return F.col(name).try_cast(data_type) if lenient else F.col(name).cast(data_type)
 
 
-def round2(value: Column) -> Column:
-    """Two digits, halves away from zero (exact on DECIMAL input)."""
-    return F.round(value, 2)
-
-
 def money(value: Column) -> Column:
-    """A money amount as DECIMAL(28,2)."""
+    """Two digits, halves away from zero, as DECIMAL(28,2). Exact on DECIMAL input."""
     return F.round(value, 2).cast(MONEY)
 
 
 def hours_from_minutes(minutes: Column) -> Column:
     """Whole minutes as hours with two digits. Minutes are summed as integers and divided once."""
     return F.round(minutes.cast("decimal(28,0)") / 60, 2).cast(MONEY)
+
+
+def json_value(text: Column, path: str, data_type: str | T.DataType = "string") -> Column:
+    """A scalar out of JSON text, NULL if the path is missing."""
+    return F.get_json_object(text, path).cast(data_type)

@@ -18,7 +18,8 @@ def sold_hours_by_job(src: Sources, params: Params = Params()) -> DataFrame:
     """Sold hours of the active items on all invoices of a job."""
     invoices = src.table("invoice").select(*KEYS, F.col("id").alias("invoice_id"))
     items = src.table("invoice_item").where("active").select(*INVOICE, "sold_hours")
-    return child_rollup(invoices, items, INVOICE, KEYS, "sold_hours", "sold_hours", how="inner")
+    hours = child_rollup(invoices, items, INVOICE, KEYS, "sold_hours", "sold_hours", how="inner")
+    return hours.withColumn("sold_hours", F.col("sold_hours").cast("decimal(28,4)"))
 
 
 def invoice_total_by_job(src: Sources, params: Params = Params()) -> DataFrame:
