@@ -11,6 +11,7 @@ from __future__ import annotations
 import datetime as dt
 import re
 from dataclasses import dataclass
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -353,10 +354,10 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def domain_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One domain table as a lazy projection of a test table."""
+def domain_table(spark: SparkSession, sf_dir: str, name: str, base: DataFrame | None = None) -> DataFrame:
+    """One domain table as a lazy projection of a test table (``base``, if it is open already)."""
     p = PROJECTIONS[name]
-    df = read(spark, sf_dir, p.base)
+    df = read(spark, sf_dir, p.base) if base is None else base
     if p.where:
         df = df.where(p.where)
     if p.per_tenant:
@@ -367,10 +368,11 @@ def domain_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def sources(spark: SparkSession, sf_dir: str) -> Sources:
-    """The domain tables of one scale factor, each opened when a job first reads it."""
+    """The domain tables of one scale factor. Each test table is opened once, when first read."""
+    base = cache(lambda name: read(spark, sf_dir, name))
 
     def opener(name: str):
-        return lambda: domain_table(spark, sf_dir, name)
+        return lambda: domain_table(spark, sf_dir, name, base(PROJECTIONS[name].base))
 
     return Sources({name: opener(name) for name in PROJECTIONS}, ZONES)
 

@@ -3,6 +3,7 @@
 from crewlens.functions.clock import (
     in_local_years,
     local_date,
+    local_year_from,
     minutes_between,
     parse_clock,
     parse_ts,
@@ -28,6 +29,7 @@ __all__ = [
     "labelled",
     "labelled_list",
     "local_date",
+    "local_year_from",
     "minutes_between",
     "money",
     "optional_column",

@@ -1,4 +1,4 @@
-"""Time functions. Instants are TIMESTAMP_NTZ columns that hold UTC; the session zone is UTC."""
+"""Time functions. Instants are TIMESTAMP_NTZ columns that hold UTC; the session zone must be UTC."""
 
 from __future__ import annotations
 
@@ -15,12 +15,17 @@ _MAX_OFFSET = dt.timedelta(days=1)
 def to_local(ts: Column, company_id: Column, zones: Mapping[int, str]) -> Column:
     """UTC to the tenant's local time. NULL time or unknown tenant gives NULL.
 
-    The tenant list is settings, a few dozen entries, so it goes into the plan as a constant map:
-    no join, and the expression can stand in any projection or filter.
+    The tenant list is settings, a few dozen entries in a handful of zones, so it goes into the plan
+    as one constant branch per zone: no join, the expression can stand in any projection or filter,
+    and each zone is looked up once, not once per row.
     """
-    pairs = [F.lit(v) for cid, tz in sorted(zones.items()) for v in (cid, tz)]
-    zone_of = F.create_map(*pairs).cast("map<bigint,string>")
-    return F.convert_timezone(F.lit("UTC"), F.try_element_at(zone_of, company_id), ts)
+    tenants: dict[str, list[int]] = {}
+    for cid, zone in sorted(zones.items()):
+        tenants.setdefault(zone, []).append(cid)
+    instant, local = ts.cast("timestamp"), F.lit(None).cast("timestamp")
+    for zone, ids in tenants.items():
+        local = F.when(company_id.isin(ids), F.from_utc_timestamp(instant, zone)).otherwise(local)
+    return local.cast("timestamp_ntz")
 
 
 def local_date(ts: Column, company_id: Column, zones: Mapping[int, str]) -> Column:
@@ -38,6 +43,15 @@ def utc_year_bounds(ts: Column, year_lo: int, year_hi: int) -> Column:
     return (ts >= F.lit(lo).cast("timestamp_ntz")) & (ts < F.lit(hi).cast("timestamp_ntz"))
 
 
+def local_year_from(ts: Column, company_id: Column, zones: Mapping[int, str], year: int) -> Column:
+    """Whether the tenant-local year is ``year`` or later. Only instants near the turn of the year
+    have to be converted to tell."""
+    turn = dt.datetime(year, 1, 1)
+    surely = ts >= F.lit(turn + _MAX_OFFSET).cast("timestamp_ntz")
+    maybe = ts >= F.lit(turn - _MAX_OFFSET).cast("timestamp_ntz")
+    return surely | (maybe & (F.year(to_local(ts, company_id, zones)) >= year))
+
+
 def in_local_years(
     ts: Column, company_id: Column, zones: Mapping[int, str], year_lo: int, year_hi: int
 ) -> Column:
@@ -69,8 +83,12 @@ def parse_clock(text: Column, *, as_time: bool = False) -> Column:
     """
     blank = "[^0-9:a-zA-Z]*"
     shape = f"^{blank}([0-9]{{1,2}}):([0-9]{{1,2}}){blank}([aApP][mM]){blank}$"
-    clock = F.try_to_timestamp(F.upper(F.regexp_replace(text, shape, "$1:$2 $3")), F.lit("h:m a"))
-    parsed = F.when(text.rlike(shape), F.date_format(clock, "HH:mm:ss"))
+    clock = F.regexp_replace(text, shape, "$1:$2 $3")
+    # Text of another shape stays as it is. Of such text the parser would take only numbers of more
+    # than two digits, which the two lengths rule out without a second pattern match.
+    colon = F.instr(clock, ":")
+    short = (colon <= 3) & (F.length(clock) <= colon + 5)
+    parsed = F.when(short, F.date_format(F.try_to_timestamp(clock, F.lit("h:m a")), "HH:mm:ss"))
     return parsed.cast("time") if as_time else parsed
 
 

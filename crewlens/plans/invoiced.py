@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from crewlens.functions import in_local_years, local_date, money, utrim
 from crewlens.operators import lookup_join
 from crewlens.params import Params
-from crewlens.plans.rollups import sold_hours_by_job
+from crewlens.plans.rollups import INVOICE, KEYS, sold_hours_by_job
 from crewlens.sources import Sources
 
 NOT_LISTED = ("Material", "Equipment")
@@ -28,17 +28,17 @@ def invoiced_lines(src: Sources, params: Params = Params()) -> DataFrame:
     jobs = lookup_join(
         jobs.select("company_id", F.col("id").alias("job_id"), "job_number", "job_type_id", "completed_on"),
         types,
-        ["company_id", "job_type_id"],
+        ["job_type_id", "company_id"],
         tuning=params.join,
     )
     # Hours meet jobs while both are unique per job; later the rows of one job may be very many.
-    jobs = jobs.join(sold_hours_by_job(src, params), ["company_id", "job_id"], "left")
+    jobs = jobs.join(sold_hours_by_job(src, params), KEYS, "left")
 
     invoices = src.table("invoice")
     job_invoices = lookup_join(
         invoices.select("company_id", F.col("id").alias("invoice_id"), "job_id", "sub_total"),
         jobs,
-        ["company_id", "job_id"],
+        KEYS,
         "inner",
         tuning=params.join,
         hot_from=invoices,
@@ -47,7 +47,7 @@ def invoiced_lines(src: Sources, params: Params = Params()) -> DataFrame:
     lines = lookup_join(
         items.select("company_id", "invoice_id", "sku_name", "display_name", "description", "quantity", "price"),
         job_invoices,
-        ["company_id", "invoice_id"],
+        INVOICE,
         "inner",
         tuning=params.join,
         hot_from=items,

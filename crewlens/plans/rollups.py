@@ -10,8 +10,9 @@ from crewlens.operators import child_rollup, lookup_join, ordered_text, rollup
 from crewlens.params import Params
 from crewlens.sources import Sources
 
-KEYS = ["company_id", "job_id"]
-INVOICE = ["company_id", "invoice_id"]
+# The tenant comes second: Spark compares sort keys by their first column, and there are few tenants.
+KEYS = ["job_id", "company_id"]
+INVOICE = ["invoice_id", "company_id"]
 
 
 def sold_hours_by_job(src: Sources, params: Params = Params()) -> DataFrame:
@@ -53,7 +54,7 @@ def installed_estimates_by_job(src: Sources, params: Params = Params()) -> DataF
     estimates = src.table("estimate").where((F.col("status_value") == 1) & F.col("active"))
     estimates = estimates.select(*KEYS, F.col("id").alias("estimate_id"))
     items = src.table("estimate_item")
-    on = ["company_id", "estimate_id"]
+    on = ["estimate_id", "company_id"]
     total = child_rollup(estimates, items, on, KEYS, "total", "estimate_items_total")
     return total.withColumn("estimate_items_total", money(F.col("estimate_items_total")))
 
@@ -67,7 +68,7 @@ def lead_sales_by_parent(src: Sources, params: Params = Params()) -> DataFrame:
     )
     sold = src.table("estimate").where((F.col("status_value") == 1) & F.col("active"))
     total = child_rollup(
-        links, sold, KEYS, ["company_id", "parent_job_id"], "subtotal", "sub_total_lead", how="inner"
+        links, sold, KEYS, ["parent_job_id", "company_id"], "subtotal", "sub_total_lead", how="inner"
     )
     return total.withColumn("sub_total_lead", money(F.col("sub_total_lead")))
 
@@ -80,7 +81,7 @@ def lead_ids_by_parent(src: Sources, params: Params = Params()) -> DataFrame:
     """
     parent = F.col("job_generated_lead_source_job_id")
     leads = src.table("job").where(parent.isNotNull()).select("company_id", parent.alias("parent_job_id"), "id")
-    return ordered_text(leads, ["company_id", "parent_job_id"], "id", "lead_created")
+    return ordered_text(leads, ["parent_job_id", "company_id"], "id", "lead_created")
 
 
 def lead_jobs(src: Sources, params: Params = Params()) -> DataFrame:
@@ -95,7 +96,7 @@ def lead_jobs(src: Sources, params: Params = Params()) -> DataFrame:
     people = src.table("technician_copy").select(
         "company_id", F.col("id").alias("employee_id"), F.col("name").alias("technician_name")
     )
-    return lookup_join(leads, people, ["company_id", "employee_id"], tuning=params.join)
+    return lookup_join(leads, people, ["employee_id", "company_id"], tuning=params.join)
 
 
 def purchase_order_total_by_job(src: Sources, params: Params = Params()) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from crewlens.functions import local_date, money, to_local, utrim
+from crewlens.functions import local_date, local_year_from, money, utrim
 from crewlens.operators import lookup_join
 from crewlens.params import Params
 from crewlens.plans.appointments import wip_appointments
@@ -20,7 +20,8 @@ from crewlens.plans.technicians import job_technicians
 from crewlens.plans.timesheets import paid_hours_by_job
 from crewlens.sources import Sources
 
-KEYS = ["company_id", "job_id"]
+# The tenant comes second: Spark compares sort keys by their first column, and there are few tenants.
+KEYS = ["job_id", "company_id"]
 
 
 def _dated_appointments(src: Sources, params: Params) -> DataFrame:
@@ -28,7 +29,7 @@ def _dated_appointments(src: Sources, params: Params) -> DataFrame:
     appointments = wip_appointments(src, params)
 
     def recent(column: str):
-        return F.year(to_local(F.col(column), F.col("company_id"), src.zones)) >= params.min_year
+        return local_year_from(F.col(column), F.col("company_id"), src.zones, params.min_year)
 
     return appointments.where(recent("first_appointment") | recent("start_appointment") | recent("next_appointment"))
 
@@ -76,7 +77,7 @@ def sales_master_rows(src: Sources, params: Params = Params()) -> DataFrame:
         lookup = src.table(table).select(
             "company_id", F.col("id").alias(key), *[F.col(c).alias(name) for c, name in columns.items()]
         )
-        master = lookup_join(master, lookup, ["company_id", key], tuning=params.join, hot_from=jobs)
+        master = lookup_join(master, lookup, [key, "company_id"], tuning=params.join, hot_from=jobs)
 
     def day(column: str):
         return local_date(F.col(column), F.col("company_id"), src.zones)

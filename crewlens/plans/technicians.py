@@ -11,7 +11,8 @@ from crewlens.params import Params
 from crewlens.plans.people import technicians_employees
 from crewlens.sources import Sources
 
-PERSON = ["company_id", "technician_id"]
+# The tenant comes second: Spark compares sort keys by their first column, and there are few tenants.
+PERSON = ["technician_id", "company_id"]
 
 
 def _names(people: DataFrame, alias: str) -> DataFrame:
@@ -29,14 +30,18 @@ def _pairs(src: Sources) -> DataFrame:
     facts is left.
     """
     assigned = src.table("appointment_assignment").where("active").select(
-        *["company_id", "job_id", "technician_id"],
+        "company_id",
+        "job_id",
+        "technician_id",
         F.lit(True).alias("is_assignment"),
         "assigned_on",
         typed_null("decimal(18,4)").alias("split"),
         typed_null("timestamp_ntz").alias("created_on"),
     )
     splits = src.table("job_split").select(
-        *["company_id", "job_id", "technician_id"],
+        "company_id",
+        "job_id",
+        "technician_id",
         F.lit(False).alias("is_assignment"),
         typed_null("timestamp_ntz").alias("assigned_on"),
         F.col("split").cast("decimal(18,4)").alias("split"),
@@ -46,7 +51,7 @@ def _pairs(src: Sources) -> DataFrame:
     return rollup(
         # A NULL job matches no other NULL job: its two sides stay apart.
         stack(assigned, splits).withColumn("side", F.when(F.col("job_id").isNull(), F.col("is_assignment"))),
-        ["company_id", "job_id", "technician_id", "side"],
+        ["job_id", "technician_id", "company_id", "side"],
         {
             # Structs, so that a NULL time still counts, and counts as the earliest.
             "first_assigned": F.min(F.when(F.col("is_assignment"), F.struct("assigned_on"))),
@@ -85,9 +90,10 @@ def _by_job(src: Sources, params: Params) -> DataFrame:
     own_split = F.when(F.col("technician_id").isNotNull(), F.col("split"))
     return rollup(
         pairs,
-        ["company_id", "job_id", "side"],
+        ["job_id", "company_id", "side"],
         {
-            "assigned_names": F.collect_set(F.when(is_assigned, person_names)),
+            # Pairs are distinct, so a list holds at most one entry per technician.
+            "assigned_names": F.collect_list(F.when(is_assigned, person_names)),
             "assigned_pick": F.min(
                 F.when(
                     is_assigned,
@@ -99,7 +105,7 @@ def _by_job(src: Sources, params: Params) -> DataFrame:
                     ),
                 )
             ),
-            "split_names": F.collect_set(F.when(is_split, technician_names)),
+            "split_names": F.collect_list(F.when(is_split, technician_names)),
             "split_pick": F.min(
                 F.when(
                     is_split,

@@ -56,7 +56,7 @@ def timestamp_base(src: Sources, params: Params = Params()) -> DataFrame:
         "active",
     )
     others = lookup_join(
-        others, codes, ["company_id", "timesheet_code_id"], tuning=params.join, hot_from=other_sheets
+        others, codes, ["timesheet_code_id", "company_id"], tuning=params.join, hot_from=other_sheets
     )
     entries = stack(jobs, others)
 
@@ -72,7 +72,7 @@ def timestamp_base(src: Sources, params: Params = Params()) -> DataFrame:
         other_sheets.select("company_id", F.col("employee_id").alias("emp_id")),
     )
     named = lookup_join(
-        entries, people, ["company_id", "emp_id"], tuning=params.join, hot_from=person_keys
+        entries, people, ["emp_id", "company_id"], tuning=params.join, hot_from=person_keys
     )
     return named.select(
         "company_id",
@@ -96,5 +96,5 @@ def timestamp_base(src: Sources, params: Params = Params()) -> DataFrame:
 def paid_hours_by_job(src: Sources, params: Params = Params()) -> DataFrame:
     """Minutes from dispatch to done per job, and the same as hours. Inactive entries count too."""
     minutes = minutes_between(F.col("dispatched_on"), F.col("done_on"))
-    total = rollup(src.table("timesheet_copy"), ["company_id", "job_id"], {"total_minutes": F.sum(minutes)})
+    total = rollup(src.table("timesheet_copy"), ["job_id", "company_id"], {"total_minutes": F.sum(minutes)})
     return total.withColumn("total_paid_time", hours_from_minutes(F.col("total_minutes")))

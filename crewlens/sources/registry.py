@@ -15,6 +15,8 @@ Table = DataFrame | Callable[[], DataFrame]
 # A cleaned copy of these tables may be bound under its own name; without one the raw table is read.
 _COPIES = {"technician_copy": "technician", "timesheet_copy": "timesheet"}
 
+_UTC_NAMES = ("UTC", "Etc/UTC", "GMT", "Z", "+00:00")
+
 
 class Sources:
     """The tables the jobs read and the tenants' time zones (``company_id`` to zone name).
@@ -35,6 +37,9 @@ class Sources:
         found = self._tables[name]
         if not isinstance(found, DataFrame):
             found = self._tables[name] = found()
+        zone = found.sparkSession.conf.get("spark.sql.session.timeZone")
+        if zone not in _UTC_NAMES:
+            raise ValueError(f"spark.sql.session.timeZone must be UTC, not {zone}")
         return found
 
     def for_company(self, company_id: int) -> Sources:
