@@ -24,6 +24,10 @@ def session(cpus: str = "8") -> SparkSession:
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
+        # The widest job alone generates more than the default 100 classes.
+        .config("spark.sql.codegen.cache.maxEntries", "2000")
+        # The JVM never compiles a method above 8000 bytes of bytecode; Spark then splits it up.
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
