@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from crewlens.functions import today_utc
@@ -50,20 +50,23 @@ def next_appointments(src: Sources, params: Params = Params()) -> DataFrame:
     )
 
 
+def appointment_columns() -> dict[str, Column]:
+    """The columns of ``wip_appointments`` out of a row that has both halves."""
+    last, zero = F.col("last_past_appointment"), F.lit(0).cast("bigint")
+    past, future = F.coalesce("total_past_appointments", zero), F.coalesce("total_future_appointments", zero)
+    return {
+        "first_appointment": F.col("first_past_appointment"),
+        "total_appointments": past + future,
+        "start_appointment": F.coalesce("start_appointment", last),
+        # The last past appointment comes before the only future one.
+        "next_appointment": F.coalesce("next_appointment", last, "start_appointment"),
+        "most_recent_appointment": last,
+    }
+
+
 def wip_appointments(src: Sources, params: Params = Params()) -> DataFrame:
     """Per job: first, start, next and most recent appointment and their number. An appointment
     without a start is in neither half; a NULL job gives one row per half."""
-    past, future = past_appointments(src, params), next_appointments(src, params)
-    last = F.col("last_past_appointment")
-    zero = F.lit(0).cast("bigint")
-    return merge_on_key(past, future, KEYS).select(
-        *KEYS,
-        F.col("first_past_appointment").alias("first_appointment"),
-        (
-            F.coalesce("total_past_appointments", zero) + F.coalesce("total_future_appointments", zero)
-        ).alias("total_appointments"),
-        F.coalesce("start_appointment", last).alias("start_appointment"),
-        # The last past appointment comes before the only future one.
-        F.coalesce("next_appointment", last, "start_appointment").alias("next_appointment"),
-        last.alias("most_recent_appointment"),
-    )
+    merged = merge_on_key(past_appointments(src, params), next_appointments(src, params), KEYS)
+    columns = [column.alias(name) for name, column in appointment_columns().items()]
+    return merged.select("company_id", "job_id", *columns)

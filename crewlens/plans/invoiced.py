@@ -23,7 +23,7 @@ def invoiced_lines(src: Sources, params: Params = Params()) -> DataFrame:
         & in_local_years(completed, company, src.zones, params.year_lo, params.year_hi)
     )
     types = src.table("job_type").select(
-        "company_id", F.col("id").alias("job_type_id"), F.col("name").alias("job_type")
+        "company_id", F.col("id").alias("job_type_id"), utrim(F.col("name")).alias("job_type")
     )
     jobs = lookup_join(
         jobs.select("company_id", F.col("id").alias("job_id"), "job_number", "job_type_id", "completed_on"),
@@ -56,7 +56,7 @@ def invoiced_lines(src: Sources, params: Params = Params()) -> DataFrame:
         "company_id",
         "job_number",
         F.col("job_number").alias("invoice_number"),
-        utrim(F.col("job_type")).alias("job_type"),
+        "job_type",
         local_date(completed, company, src.zones).alias("completion_date"),
         utrim(F.col("sku_name")).alias("item_code"),
         utrim(F.col("display_name")).alias("item_name"),

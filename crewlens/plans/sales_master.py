@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from crewlens.functions import local_date, local_year_from, money, utrim
+from crewlens.functions import local_date, local_year_from, utrim
+from crewlens.functions.columns import MONEY
 from crewlens.operators import lookup_join
 from crewlens.params import Params
-from crewlens.plans.appointments import wip_appointments
+from crewlens.plans.appointments import appointment_columns, next_appointments, past_appointments
 from crewlens.plans.rollups import (
     installed_estimates_by_job,
     invoice_total_by_job,
@@ -24,36 +25,58 @@ from crewlens.sources import Sources
 KEYS = ["job_id", "company_id"]
 
 
-def _dated_appointments(src: Sources, params: Params) -> DataFrame:
-    """Appointment rows of jobs with a first, start or next appointment in or after ``min_year``."""
-    appointments = wip_appointments(src, params)
+def _dated_jobs(src: Sources, params: Params) -> DataFrame:
+    """Jobs with a first, start or next appointment in or after ``min_year``, and their appointments.
 
-    def recent(column: str):
-        return local_year_from(F.col(column), F.col("company_id"), src.zones, params.min_year)
-
-    return appointments.where(recent("first_appointment") | recent("start_appointment") | recent("next_appointment"))
+    Both halves of the appointments are joined to the jobs directly. Merging them first, as for the
+    dataset of their own, would lose their partitioning and shuffle the merged rows once more.
+    """
+    jobs = src.table("job").select(
+        "company_id",
+        F.col("id").alias("job_id"),
+        "job_number",
+        "job_type_id",
+        "business_unit_id",
+        "project_id",
+        "customer_id",
+        "sold_by_id",
+        "completed_on",
+        "job_status",
+    )
+    halves = jobs.join(past_appointments(src, params), KEYS, "left").join(
+        next_appointments(src, params), KEYS, "left"
+    )
+    columns = [column.alias(name) for name, column in appointment_columns().items()]
+    appointments = ["first_appointment", "start_appointment", "next_appointment"]
+    # A later instant is never in an earlier local year, so the latest one decides for all three.
+    recent = local_year_from(F.greatest(*appointments), F.col("company_id"), src.zones, params.min_year)
+
+    def day(column: str, name: str):
+        return local_date(F.col(column), F.col("company_id"), src.zones).alias(name)
+
+    # Local days are made here, apart from the wide last projection: much code in one projection
+    # makes a method that the JVM does not compile.
+    return (
+        halves.select(*jobs.columns, *columns)
+        .where(recent)
+        .select(
+            *[c for c in jobs.columns if c != "completed_on"],
+            "first_appointment",
+            "total_appointments",
+            day("completed_on", "completion_date"),
+            day("start_appointment", "scheduled_date"),
+            day("first_appointment", "first_appt_date"),
+            *([day("most_recent_appointment", "last_appt_date")] if params.fix_last_appt else []),
+            day("next_appointment", "next_appt_start_date"),
+        )
+    )
 
 
 def sales_master_rows(src: Sources, params: Params = Params()) -> DataFrame:
     """The rows of ``sales_master_tracker`` with ``first_appointment``, on which reports sort."""
-    jobs = src.table("job")
-    # The appointment test drops most jobs, so it comes first. It and the rollups after it are unique
-    # per job and share the key: jobs are shuffled once for all of them, and no key can be hot.
-    master = (
-        jobs.select(
-            "company_id",
-            F.col("id").alias("job_id"),
-            "job_number",
-            "job_type_id",
-            "business_unit_id",
-            "project_id",
-            "customer_id",
-            "sold_by_id",
-            "completed_on",
-            "job_status",
-        )
-        .join(_dated_appointments(src, params), KEYS, "inner")
-    )
+    # The appointment test drops most jobs, so it comes first. All rollups are unique per job and
+    # grouped by the join key: jobs are shuffled once for all of them, and no key can be hot.
+    master = _dated_jobs(src, params)
     by_parent = {"parent_job_id": "job_id"}
     for per_job in (
         invoice_total_by_job(src, params),
@@ -62,10 +85,14 @@ def sales_master_rows(src: Sources, params: Params = Params()) -> DataFrame:
         paid_hours_by_job(src, params).drop("total_minutes"),
         lead_sales_by_parent(src, params).withColumnsRenamed(by_parent),
         lead_ids_by_parent(src, params).withColumnsRenamed(by_parent),
-        job_technicians(src, params),
+        job_technicians(src, params, null_jobs=False),
     ):
         master = master.join(per_job, KEYS, "left")
 
+    def text(column: str):
+        # Trimmed once per lookup row, not once per job.
+        return F.col(column) if column == "number" else utrim(F.col(column))
+
     # Here one value may stand on a third of the jobs.
     for table, key, columns in (
         ("job_type", "job_type_id", {"name": "job_type"}),
@@ -75,38 +102,34 @@ def sales_master_rows(src: Sources, params: Params = Params()) -> DataFrame:
         ("customer", "customer_id", {"name": "customer_name", "type": "customer_type"}),
     ):
         lookup = src.table(table).select(
-            "company_id", F.col("id").alias(key), *[F.col(c).alias(name) for c, name in columns.items()]
+            "company_id", F.col("id").alias(key), *[text(c).alias(name) for c, name in columns.items()]
         )
-        master = lookup_join(master, lookup, [key, "company_id"], tuning=params.join, hot_from=jobs)
-
-    def day(column: str):
-        return local_date(F.col(column), F.col("company_id"), src.zones)
+        master = lookup_join(master, lookup, [key, "company_id"], tuning=params.join, hot_from=src.table("job"))
 
     def amount(column: str):
-        return money(F.coalesce(column, F.lit(0)))
+        return F.coalesce(column, F.lit(0).cast(MONEY))
 
-    last = "most_recent_appointment" if params.fix_last_appt else "first_appointment"
     return master.select(
         "company_id",
         "job_number",
-        utrim(F.col("job_type")).alias("job_type"),
-        utrim(F.col("business_unit")).alias("business_unit"),
-        day("completed_on").alias("completion_date"),
+        "job_type",
+        "business_unit",
+        "completion_date",
         "project",
         amount("total_invoice").alias("job_subtotal"),
         "customer_id",
-        utrim(F.col("customer_name")).alias("customer_name"),
+        "customer_name",
         F.coalesce("assigned_technicians", F.lit("")).alias("assigned_technicians"),
-        utrim(F.col("sold_by")).alias("sold_by"),
+        "sold_by",
         "total_paid_time",
-        utrim(F.col("primary_technician")).alias("primary_technician"),
+        "primary_technician",
         F.col("job_status").alias("status"),
-        day("start_appointment").alias("scheduled_date"),
+        "scheduled_date",
         "total_appointments",
-        day("first_appointment").alias("first_appt_date"),
-        day(last).alias("last_appt_date"),
-        day("next_appointment").alias("next_appt_start_date"),
-        utrim(F.col("customer_type")).alias("customer_type"),
+        "first_appt_date",
+        F.col("last_appt_date" if params.fix_last_appt else "first_appt_date").alias("last_appt_date"),
+        "next_appt_start_date",
+        "customer_type",
         amount("subtotal").alias("estimate_sales_subtotal"),
         amount("estimate_items_total").alias("estimate_sales_installed"),
         F.col("total_appointments").alias("appointments_to_date"),

@@ -22,7 +22,7 @@ def _names(people: DataFrame, alias: str) -> DataFrame:
     return rollup(keyed, PERSON, {alias: F.collect_set(name)})
 
 
-def _pairs(src: Sources) -> DataFrame:
+def _pairs(src: Sources, null_jobs: bool) -> DataFrame:
     """One row per job and technician, from active assignments and from splits.
 
     Both facts are stacked and grouped once. All that the outcome needs of a pair is its first
@@ -47,11 +47,15 @@ def _pairs(src: Sources) -> DataFrame:
         F.col("split").cast("decimal(18,4)").alias("split"),
         "created_on",
     )
-    split = F.col("split")
-    return rollup(
+    split, both = F.col("split"), stack(assigned, splits)
+    if null_jobs:
         # A NULL job matches no other NULL job: its two sides stay apart.
-        stack(assigned, splits).withColumn("side", F.when(F.col("job_id").isNull(), F.col("is_assignment"))),
-        ["job_id", "technician_id", "company_id", "side"],
+        both = both.withColumn("side", F.when(F.col("job_id").isNull(), F.col("is_assignment")))
+    else:
+        both = both.where(F.col("job_id").isNotNull())
+    return rollup(
+        both,
+        ["job_id", "technician_id", "company_id", *_side(null_jobs)],
         {
             # Structs, so that a NULL time still counts, and counts as the earliest.
             "first_assigned": F.min(F.when(F.col("is_assignment"), F.struct("assigned_on"))),
@@ -66,19 +70,23 @@ def _pairs(src: Sources) -> DataFrame:
     )
 
 
+def _side(null_jobs: bool) -> list[str]:
+    return ["side"] if null_jobs else []
+
+
 def _or_unnamed(names: Column) -> Column:
     # An unknown or nameless technician counts as '', never as NULL.
     return F.coalesce(names, F.array(F.lit("")))
 
 
-def _by_job(src: Sources, params: Params) -> DataFrame:
+def _by_job(src: Sources, params: Params, null_jobs: bool = True) -> DataFrame:
     """Both sides per job: names and the pick of each. A side without rows is NULL."""
     directory = _names(technicians_employees(src, params), "person_names")
     technicians = _names(src.table("technician_copy"), "technician_names")
     keys_of = stack(
         src.table("appointment_assignment").select(*PERSON), src.table("job_split").select(*PERSON)
     )
-    pairs = _pairs(src)
+    pairs = _pairs(src, null_jobs)
     for lookup in (directory, technicians):
         pairs = lookup_join(pairs, lookup, PERSON, tuning=params.join, hot_from=keys_of)
 
@@ -90,7 +98,7 @@ def _by_job(src: Sources, params: Params) -> DataFrame:
     own_split = F.when(F.col("technician_id").isNotNull(), F.col("split"))
     return rollup(
         pairs,
-        ["job_id", "company_id", "side"],
+        ["job_id", "company_id", *_side(null_jobs)],
         {
             # Pairs are distinct, so a list holds at most one entry per technician.
             "assigned_names": F.collect_list(F.when(is_assigned, person_names)),
@@ -151,10 +159,14 @@ def assigned_technicians(src: Sources, params: Params = Params()) -> DataFrame:
     )
 
 
-def job_technicians(src: Sources, params: Params = Params()) -> DataFrame:
+def job_technicians(src: Sources, params: Params = Params(), *, null_jobs: bool = True) -> DataFrame:
     """Per job: the list of assigned technicians (of assignments if there are any, else of splits)
     and the primary one: the first assigned, unless their split is below the largest split of the
-    job, which then decides."""
+    job, which then decides.
+
+    Rows without a job give one row per side. For a join on the job they are of no use: without them
+    (``null_jobs=False``) the result is grouped by the job alone and is not shuffled again.
+    """
     first, best = F.col("assigned_pick.name"), F.col("split_pick.name")
     zero = F.lit(0).cast("decimal(18,4)")
     holds_largest = F.coalesce(-F.col("assigned_pick.down"), zero) >= F.coalesce("max_split", zero)
@@ -164,7 +176,7 @@ def job_technicians(src: Sources, params: Params = Params()) -> DataFrame:
         .otherwise(F.coalesce(best, first))
     )
     names = F.when(F.col("assigned_pick").isNotNull(), _list("assigned_names")).otherwise(_list("split_names"))
-    return _by_job(src, params).select(
+    return _by_job(src, params, null_jobs).select(
         "company_id",
         "job_id",
         join_text(names).alias("assigned_technicians"),
