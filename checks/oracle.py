@@ -1,5 +1,5 @@
-"""SQL for DuckDB, one text per query, written from the definition of each dataset rather than from
-the Spark code: separate subqueries, outer joins and ordered picks."""
+"""SQL for DuckDB, one text per query, written from the definition of each dataset and in other steps than
+the Spark code takes: sorted lists, ordered picks and values looked up one by one."""
 
 from __future__ import annotations
 
@@ -46,26 +46,23 @@ SELECT company_id, job_id, min(start) AS first_past_appointment, count(*) AS tot
 FROM d_appointment WHERE CAST(start AS DATE) < {AS_OF} GROUP BY company_id, job_id
 """
 
+# All future starts of a job as one sorted list; the reports look at its first two.
 NEXT = f"""
-SELECT company_id, job_id, count(*) AS total_future_appointments,
-       max(CASE WHEN rn = 1 THEN start END) AS start_appointment,
-       max(CASE WHEN rn = 2 THEN start END) AS next_appointment
-FROM (SELECT company_id, job_id, start,
-             row_number() OVER (PARTITION BY company_id, job_id ORDER BY start NULLS FIRST) AS rn
-      FROM d_appointment WHERE CAST(start AS DATE) >= {AS_OF}) f
-WHERE rn <= 2 GROUP BY company_id, job_id
+SELECT company_id, job_id, least(len(f), 2) AS total_future_appointments, f[1] AS start_appointment,
+       f[2] AS next_appointment
+FROM (SELECT company_id, job_id, list(start ORDER BY start) AS f FROM d_appointment
+      WHERE CAST(start AS DATE) >= {AS_OF} GROUP BY company_id, job_id) x
 """
 
+# One grouping for both halves. Rows without a job are grouped per half.
 WIP = f"""
-SELECT coalesce(p.company_id, n.company_id) AS company_id, coalesce(p.job_id, n.job_id) AS job_id,
-       p.first_past_appointment AS first_appointment,
-       coalesce(p.total_past_appointments, 0) + coalesce(n.total_future_appointments, 0) AS total_appointments,
-       CASE WHEN n.start_appointment IS NOT NULL THEN n.start_appointment ELSE p.last_past_appointment END
-         AS start_appointment,
-       CASE WHEN n.next_appointment IS NOT NULL THEN n.next_appointment
-            ELSE coalesce(p.last_past_appointment, n.start_appointment) END AS next_appointment,
-       p.last_past_appointment AS most_recent_appointment
-FROM ({PAST}) p FULL OUTER JOIN ({NEXT}) n ON p.company_id = n.company_id AND p.job_id = n.job_id
+SELECT company_id, job_id, lo AS first_appointment, n + least(len(f), 2) AS total_appointments,
+       coalesce(f[1], hi) AS start_appointment, coalesce(f[2], hi, f[1]) AS next_appointment,
+       hi AS most_recent_appointment
+FROM (SELECT company_id, job_id, min(start) FILTER (WHERE past) AS lo, max(start) FILTER (WHERE past) AS hi,
+             count(*) FILTER (WHERE past) AS n, coalesce(list(start ORDER BY start) FILTER (WHERE NOT past), []) AS f
+      FROM (SELECT *, CAST(start AS DATE) < {AS_OF} AS past FROM d_appointment WHERE start IS NOT NULL) a
+      GROUP BY company_id, job_id, CASE WHEN job_id IS NULL THEN past END) x
 """
 
 SPLIT_SIDE = """
@@ -93,8 +90,7 @@ WHERE a.active GROUP BY a.company_id, a.job_id
 JOB_TECHNICIANS = f"""
 SELECT coalesce(s.company_id, a.company_id) AS company_id, coalesce(s.job_id, a.job_id) AS job_id,
        array_to_string(coalesce(a.names, s.names, []), ', ') AS assigned_technicians,
-       CASE WHEN a.pick IS NULL THEN s.pick
-            WHEN coalesce(a.pick_split, 0) >= coalesce(s.max_split, 0) THEN a.pick
+       CASE WHEN a.pick IS NOT NULL AND coalesce(a.pick_split, 0) >= coalesce(s.max_split, 0) THEN a.pick
             ELSE coalesce(s.pick, a.pick) END AS primary_technician
 FROM ({ASSIGNED_SIDE}) a FULL OUTER JOIN ({SPLIT_SIDE}) s ON a.company_id = s.company_id AND a.job_id = s.job_id
 """
@@ -140,55 +136,55 @@ SELECT company_id, job_id, CAST(sum(date_diff('minute', dispatched_on, done_on))
 FROM d_timesheet GROUP BY company_id, job_id
 """
 
+
+
+def _of_job(column: str, table: str, key: str) -> str:
+    """A column looked up for the job ``j``."""
+    return f"(SELECT {column} FROM {table} d WHERE d.company_id = j.company_id AND d.{key})"
+
+
 INVOICED = f"""
-SELECT j.company_id, j.job_number, j.job_number AS invoice_number, trim(jt.name) AS job_type,
-       CAST({local('j.completed_on')} AS DATE) AS completion_date, trim(x.sku_name) AS item_code,
-       trim(x.display_name) AS item_name, trim(x.description) AS item_description,
+SELECT j.company_id, j.job_number, j.job_number AS invoice_number,
+       {_of_job('trim(d.name)', 'd_job_type', 'id = j.job_type_id')} AS job_type, j.day AS completion_date,
+       trim(x.sku_name) AS item_code, trim(x.display_name) AS item_name, trim(x.description) AS item_description,
        {money('x.quantity')} AS item_quantity, {money('x.price')} AS item_price,
-       {money('coalesce(i.sub_total, 0)')} AS invoice_subtotal, {money('h.sold_hours')} AS sold_hours
-FROM d_job j
-JOIN d_tenant z ON z.company_id = j.company_id
-LEFT JOIN d_job_type jt ON jt.id = j.job_type_id AND jt.company_id = j.company_id
-LEFT JOIN d_invoice i ON i.job_id = j.id AND i.company_id = j.company_id
-LEFT JOIN d_invoice_item x ON x.invoice_id = i.id AND x.company_id = i.company_id
-LEFT JOIN ({SOLD_HOURS}) h ON h.job_id = j.id AND h.company_id = j.company_id
-WHERE x.type NOT IN ('Material', 'Equipment') AND j.job_status NOT IN ('Canceled')
-  AND year({local('j.completed_on')}) BETWEEN {PARAMS.year_lo} AND {PARAMS.year_hi}
+       {money('coalesce(i.sub_total, 0)')} AS invoice_subtotal,
+       {money(_of_job('d.sold_hours', f'({SOLD_HOURS})', 'job_id = j.id'))} AS sold_hours
+FROM d_invoice_item x
+JOIN d_invoice i ON i.id = x.invoice_id AND i.company_id = x.company_id
+JOIN (SELECT *, CAST({local('completed_on')} AS DATE) AS day FROM d_job JOIN d_tenant USING (company_id)) j
+  ON j.id = i.job_id AND j.company_id = i.company_id
+WHERE x.type NOT IN ('Material', 'Equipment') AND j.job_status <> 'Canceled'
+  AND j.day BETWEEN DATE '{PARAMS.year_lo}-01-01' AND DATE '{PARAMS.year_hi}-12-31'
 """
 
+# Each value is looked up on its own for a job; a job stays if any of its three local days is recent.
 SALES_MASTER = f"""
-SELECT j.company_id, j.job_number, trim(jt.name) AS job_type, trim(bu.name) AS business_unit,
-       CAST({local('j.completed_on')} AS DATE) AS completion_date, p.number AS project,
-       {money('coalesce(it.total_invoice, 0)')} AS job_subtotal, j.customer_id, trim(c.name) AS customer_name,
-       coalesce(st.assigned_technicians, '') AS assigned_technicians, trim(tb.name) AS sold_by,
-       ts.total_paid_time, trim(st.primary_technician) AS primary_technician, j.job_status AS status,
-       CAST({local('ap.start_appointment')} AS DATE) AS scheduled_date, ap.total_appointments,
-       CAST({local('ap.first_appointment')} AS DATE) AS first_appt_date,
-       CAST({local('ap.first_appointment')} AS DATE) AS last_appt_date,
-       CAST({local('ap.next_appointment')} AS DATE) AS next_appt_start_date, trim(c.type) AS customer_type,
-       {money('coalesce(es.subtotal, 0)')} AS estimate_sales_subtotal,
-       {money('coalesce(ei.estimate_items_total, 0)')} AS estimate_sales_installed,
-       ap.total_appointments AS appointments_to_date,
-       {money('coalesce(el.sub_total_lead, 0)')} AS sales_from_leads_created,
-       coalesce(jl.lead_created, '') AS lead_created, j.id AS invoice_number
-FROM d_job j
-JOIN d_tenant z ON z.company_id = j.company_id
-LEFT JOIN d_job_type jt ON jt.id = j.job_type_id AND jt.company_id = j.company_id
-LEFT JOIN ({LEAD_IDS}) jl ON jl.parent_job_id = j.id AND jl.company_id = j.company_id
-LEFT JOIN d_business_unit bu ON bu.id = j.business_unit_id AND bu.company_id = j.company_id
-LEFT JOIN d_project p ON p.id = j.project_id AND p.company_id = j.company_id
-LEFT JOIN ({LEAD_SALES}) el ON el.parent_job_id = j.id AND el.company_id = j.company_id
-LEFT JOIN ({INVOICE_TOTAL}) it ON it.job_id = j.id AND it.company_id = j.company_id
-LEFT JOIN d_customer c ON c.id = j.customer_id AND c.company_id = j.company_id
-LEFT JOIN d_technician tb ON tb.id = j.sold_by_id AND tb.company_id = j.company_id
-LEFT JOIN ({JOB_TECHNICIANS}) st ON st.job_id = j.id AND st.company_id = j.company_id
-LEFT JOIN ({SOLD_ESTIMATES}) es ON es.job_id = j.id AND es.company_id = j.company_id
-LEFT JOIN ({INSTALLED}) ei ON ei.job_id = j.id AND ei.company_id = j.company_id
-LEFT JOIN ({PAID_HOURS}) ts ON ts.job_id = j.id AND ts.company_id = j.company_id
-LEFT JOIN ({WIP}) ap ON ap.job_id = j.id AND ap.company_id = j.company_id
-WHERE year({local('ap.first_appointment')}) >= {PARAMS.min_year}
-   OR year({local('ap.start_appointment')}) >= {PARAMS.min_year}
-   OR year({local('ap.next_appointment')}) >= {PARAMS.min_year}
+SELECT j.company_id, j.job_number, {_of_job('trim(d.name)', 'd_job_type', 'id = j.job_type_id')} AS job_type,
+       {_of_job('trim(d.name)', 'd_business_unit', 'id = j.business_unit_id')} AS business_unit,
+       CAST({local('j.completed_on')} AS DATE) AS completion_date,
+       {_of_job('d.number', 'd_project', 'id = j.project_id')} AS project,
+       coalesce({_of_job('d.total_invoice', f'({INVOICE_TOTAL})', 'job_id = j.id')}, 0) AS job_subtotal,
+       j.customer_id, {_of_job('trim(d.name)', 'd_customer', 'id = j.customer_id')} AS customer_name,
+       coalesce({_of_job('d.assigned_technicians', f'({JOB_TECHNICIANS})', 'job_id = j.id')}, '') AS assigned_technicians,
+       {_of_job('trim(d.name)', 'd_technician', 'id = j.sold_by_id')} AS sold_by,
+       {_of_job('d.total_paid_time', f'({PAID_HOURS})', 'job_id = j.id')} AS total_paid_time,
+       {_of_job('d.primary_technician', f'({JOB_TECHNICIANS})', 'job_id = j.id')} AS primary_technician,
+       j.job_status AS status, w.d_start AS scheduled_date, w.total_appointments, w.d_first AS first_appt_date,
+       w.d_first AS last_appt_date, w.d_next AS next_appt_start_date,
+       {_of_job('trim(d.type)', 'd_customer', 'id = j.customer_id')} AS customer_type,
+       coalesce({_of_job('d.subtotal', f'({SOLD_ESTIMATES})', 'job_id = j.id')}, 0) AS estimate_sales_subtotal,
+       coalesce({_of_job('d.estimate_items_total', f'({INSTALLED})', 'job_id = j.id')}, 0) AS estimate_sales_installed,
+       w.total_appointments AS appointments_to_date,
+       coalesce({_of_job('d.sub_total_lead', f'({LEAD_SALES})', 'parent_job_id = j.id')}, 0) AS sales_from_leads_created,
+       coalesce({_of_job('d.lead_created', f'({LEAD_IDS})', 'parent_job_id = j.id')}, '') AS lead_created,
+       j.id AS invoice_number
+FROM (SELECT * FROM d_job JOIN d_tenant USING (company_id)) j
+JOIN (SELECT company_id, job_id, total_appointments, CAST({local('first_appointment')} AS DATE) AS d_first,
+             CAST({local('start_appointment')} AS DATE) AS d_start, CAST({local('next_appointment')} AS DATE) AS d_next
+      FROM ({WIP}) a JOIN d_tenant USING (company_id)) w
+  ON w.company_id = j.company_id AND w.job_id = j.id
+WHERE greatest(year(w.d_first), year(w.d_start), year(w.d_next)) >= {PARAMS.min_year}
 """
 
 TIMESTAMP_BASE = f"""
@@ -220,8 +216,7 @@ FROM d_tech_dispatch_report
 
 
 def _labelled(parts: dict[str, str]) -> str:
-    items = ", ".join(f"'{label}: ' || coalesce({c}, '0h 00m')" for label, c in parts.items())
-    return f"coalesce(nullif(array_to_string([{items}], ' | '), ''), '-')"
+    return "concat_ws(' | ', " + ", ".join(f"'{label}: ' || coalesce({c}, '0h 00m')" for label, c in parts.items()) + ")"
 
 
 # The labels of the duration columns, by group.
