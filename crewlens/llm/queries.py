@@ -8,7 +8,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from crewlens.llm.interpolation import interpolated_scores
+from crewlens.llm.packing import pack_documents
+from crewlens.llm.quality_ratio import quality_by_ratio
+from crewlens.llm.secret_markov import scan_secrets
 from crewlens.llm.shared import ship
+from crewlens.llm.toxicity_fm import toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,8 +25,32 @@ def op1_deleted_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return interpolated_scores(_table(spark, sf_dir, "documents"))
 
 
+def op2_factorization_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document."""
+    return toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op5_ngram_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts and the quality verdict of every document."""
+    return quality_by_ratio(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op7_secret_markov(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document."""
+    return scan_secrets(_table(spark, sf_dir, "documents"))
+
+
+def op9_differencing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document packed into windows of 1024 tokens."""
+    return pack_documents(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_deleted_interpolation": op1_deleted_interpolation,
+    "op2_factorization_machine": op2_factorization_machine,
+    "op5_ngram_ratio": op5_ngram_ratio,
+    "op7_secret_markov": op7_secret_markov,
+    "op9_differencing": op9_differencing,
 }
 
 ORACLE_SQL: dict[str, str] = {}

@@ -19,6 +19,8 @@ _PIECE = 1 << 18
 
 SPACE = np.zeros(256, bool)
 SPACE[[32, 9, 10, 11, 12, 13]] = True
+#: Everything in ASCII but letters and digits.
+NOT_ALNUM = np.array([i < 128 and not chr(i).isalnum() for i in range(256)])
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
@@ -43,23 +45,26 @@ def _powers() -> tuple[np.ndarray, np.ndarray]:
     return table(_BASE), table(_INVERSE)
 
 
+def runs(solid: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the runs of marked bytes; no run crosses a text's edge."""
+    edge = np.zeros(len(solid) + 1, bool)
+    edge[offsets] = True
+    before = np.zeros(len(solid) + 1, bool)
+    before[1:] = solid
+    after = np.zeros(len(solid) + 1, bool)
+    after[:-1] = solid
+    return np.flatnonzero(after & (~before | edge)), np.flatnonzero(before & (~after | edge))
+
+
 class Words:
     """The words of some texts: byte starts and ends in `data`, hashes, and `first`, the place of each
     text's first word (one more entry closes the last text)."""
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray, lower: bool):
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, lower: bool, breaks: np.ndarray = SPACE):
         self.data, self.offsets = data, offsets
         self.size = len(offsets) - 1
-        solid = ~SPACE[data]
-        edge = np.zeros(len(data) + 1, bool)
-        edge[offsets] = True
-        before = np.zeros(len(data) + 1, bool)
-        before[1:] = solid
-        after = np.zeros(len(data) + 1, bool)
-        after[:-1] = solid
-        self.solid = solid
-        self.start = np.flatnonzero(after & (~before | edge))
-        self.end = np.flatnonzero(before & (~after | edge))
+        self.solid = ~breaks[data]
+        self.start, self.end = runs(self.solid, offsets)
         self.first = np.searchsorted(self.start, offsets)
         self.hash = self._hashes(_LOWER[data] if lower else data)
 
@@ -87,6 +92,16 @@ class Words:
             k = stop
         return mix(out ^ (length * _ODD[0]))
 
+    def heads(self, size: int, lower: bool) -> np.ndarray:
+        """Hashes of the first `size` bytes of each word (of the whole word, if shorter)."""
+        data = _LOWER[self.data] if lower else self.data
+        out = np.full(len(self.start), np.uint64(size))
+        for k in range(size):
+            at = self.start + k
+            inside = at < self.end
+            out[inside] = mix(out[inside] ^ (data[at[inside]].astype(np.uint64) + np.uint64(256)))
+        return out
+
     def counts(self) -> np.ndarray:
         """Words of each text."""
         return np.diff(self.first)
@@ -128,16 +143,22 @@ def _buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def slices(column: pa.Array, lower: bool, limit: int = 2 << 20) -> Iterator[tuple[int, int, Words]]:
-    """The words of rows [a, b), for runs of rows with about `limit` bytes of text (a longer text is one run)."""
+def pieces(column: pa.Array, limit: int = 2 << 20) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Rows [a, b) with about `limit` bytes of text (a longer text is one piece), their bytes and offsets."""
     data, offsets = _buffers(column)
     a, n = 0, len(offsets) - 1
     while a < n:
         b = max(a + 1, int(np.searchsorted(offsets, offsets[a] + limit, "right")) - 1)
-        yield a, b, Words(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], lower)
+        yield a, b, data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
         a = b
 
 
+def slices(column: pa.Array, lower: bool, limit: int = 2 << 20, breaks: np.ndarray = SPACE) -> Iterator[tuple[int, int, Words]]:
+    """The words of rows [a, b), piece by piece."""
+    for a, b, data, offsets in pieces(column, limit):
+        yield a, b, Words(data, offsets, lower, breaks)
+
+
 def pack(values: np.ndarray) -> bytes:
     """Non-negative integers in the narrowest width that holds them, after one byte for the width."""
     kind = np.min_scalar_type(int(values.max())) if len(values) else np.dtype(np.uint8)
