@@ -7,11 +7,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from crewlens.llm.html_blocks import extract_main_text
 from crewlens.llm.interpolation import interpolated_scores
 from crewlens.llm.packing import pack_documents
 from crewlens.llm.quality_ratio import quality_by_ratio
 from crewlens.llm.secret_markov import scan_secrets
 from crewlens.llm.shared import ship
+from crewlens.llm.topk_histogram import top_k
 from crewlens.llm.toxicity_fm import toxicity
 
 
@@ -30,6 +32,16 @@ def op2_factorization_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op3_line_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return extract_main_text(_table(spark, sf_dir, "pages"))
+
+
+def op4_histogram_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best other vectors for every vector whose id is divisible by 20."""
+    return top_k(_table(spark, sf_dir, "embeddings"))
+
+
 def op5_ngram_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts and the quality verdict of every document."""
     return quality_by_ratio(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
@@ -48,9 +60,25 @@ def op9_differencing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_deleted_interpolation": op1_deleted_interpolation,
     "op2_factorization_machine": op2_factorization_machine,
+    "op3_line_blocks": op3_line_blocks,
+    "op4_histogram_selection": op4_histogram_selection,
     "op5_ngram_ratio": op5_ngram_ratio,
     "op7_secret_markov": op7_secret_markov,
     "op9_differencing": op9_differencing,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op4_histogram_selection": """
+        WITH vectors AS (
+            SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS cells FROM embeddings
+            WHERE vec_id IS NOT NULL AND len(embedding) > 0
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), scores AS (
+            SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.cells, c.cells)::BIGINT AS score
+            FROM vectors q JOIN vectors c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id
+        ), ranked AS (
+            SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank, vec_id, score FROM scores
+        )
+        SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
+    """,
+}
