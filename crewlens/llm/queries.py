@@ -7,8 +7,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from crewlens.llm.compact_windows import repeated_passages
 from crewlens.llm.html_blocks import extract_main_text
 from crewlens.llm.interpolation import interpolated_scores
+from crewlens.llm.jaccard_regions import jaccard_components
 from crewlens.llm.packing import pack_documents
 from crewlens.llm.quality_ratio import quality_by_ratio
 from crewlens.llm.secret_markov import scan_secrets
@@ -52,11 +54,21 @@ def op7_secret_markov(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_secrets(_table(spark, sf_dir, "documents"))
 
 
+def op8_jaccard_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of near-duplicate documents."""
+    return jaccard_components(_table(spark, sf_dir, "documents"))
+
+
 def op9_differencing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document packed into windows of 1024 tokens."""
     return pack_documents(_table(spark, sf_dir, "documents"))
 
 
+def op10_compact_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages of 50 words and more that documents share."""
+    return repeated_passages(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_deleted_interpolation": op1_deleted_interpolation,
     "op2_factorization_machine": op2_factorization_machine,
@@ -64,7 +76,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_histogram_selection": op4_histogram_selection,
     "op5_ngram_ratio": op5_ngram_ratio,
     "op7_secret_markov": op7_secret_markov,
+    "op8_jaccard_regions": op8_jaccard_regions,
     "op9_differencing": op9_differencing,
+    "op10_compact_windows": op10_compact_windows,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -81,4 +95,28 @@ ORACLE_SQL: dict[str, str] = {
         )
         SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
     """,
+    "op8_jaccard_regions": r"""
+        WITH RECURSIVE texts AS (
+            SELECT doc_id, coalesce(regexp_extract_all(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'), []) AS words
+            FROM documents
+        ), sets AS (
+            SELECT doc_id, list_distinct(CASE WHEN len(words) = 0 THEN []
+                WHEN len(words) < 5 THEN [array_to_string(words, ' ')]
+                ELSE list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i + 4], ' ')) END) AS shingles
+            FROM texts
+        ), sizes AS (SELECT doc_id, len(shingles)::BIGINT AS n_shingles FROM sets
+        ), held AS (SELECT doc_id, unnest(shingles) AS shingle FROM sets
+        ), shared AS (
+            SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common FROM held a JOIN held b USING (shingle) WHERE a.doc_id <> b.doc_id GROUP BY ALL
+        ), links AS (
+            SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+            WHERE 100 * common >= 75 * (x.n_shingles + y.n_shingles - common)
+        ), reached AS (
+            SELECT doc_id, doc_id AS label FROM sizes
+            UNION
+            SELECT l.b, r.label FROM reached r JOIN links l ON l.a = r.doc_id
+        )
+        SELECT doc_id, any_value(n_shingles) AS n_shingles, min(label) AS component_id FROM reached JOIN sizes USING (doc_id) GROUP BY doc_id
+    """,
 }
