@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from crewlens.llm.graph import best_per, components
-from crewlens.llm.shared import written
+from crewlens.llm.shared import sized, written
 from crewlens.llm.textkit import Words, mix, ngrams, slices
 
 SHINGLE = 5
@@ -43,7 +43,6 @@ MATCH, OF = 75, 100  # the least similarity is MATCH / OF
 HOT = 1 << 16
 DENSE = 32
 REGION = 64
-BROADCAST_ROWS = 1 << 20
 
 
 class Sets:
@@ -263,8 +262,7 @@ class _Comparer:
         nodes = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
         # One document for each node. Few of them are sent to the texts; many are joined by shuffle.
         ids = written(self.rows.join(nodes, "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("doc_id")).select("doc_id").distinct(), "wanted")
-        wanted = F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids
-        sets = self.docs.join(wanted, "doc_id", "left_semi").select("text").mapInArrow(_sets_of, "node long, hashes binary")
+        sets = self.docs.join(sized(ids), "doc_id", "left_semi").select("text").mapInArrow(_sets_of, "node long, hashes binary")
         sets = sets.join(nodes, "node", "left_semi").dropDuplicates(["node"])
         both = pairs.join(sets.select(F.col("node").alias("a"), F.col("hashes").alias("x")), "a").join(sets.select(F.col("node").alias("b"), F.col("hashes").alias("y")), "b")
         return written(both.mapInArrow(_compared, "a long, b long, shared long, together long"), "distances")

@@ -28,6 +28,16 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Rows of a few numbers that may be sent to every executor (some tens of MB).
+BROADCAST_ROWS = 1 << 20
+
+
+def sized(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """`df` marked for broadcast if it has at most `rows` rows; as it is otherwise, to be joined by shuffle. Its
+    counting runs its plan: give it a written table."""
+    return F.broadcast(df) if df.count() <= rows else df
+
+
 def remainder(column: str, base: int) -> Column:
     """crc32 of the column as text, modulo base."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit(""))) % base
