@@ -11,6 +11,7 @@ from crewlens.llm.compact_windows import repeated_passages
 from crewlens.llm.html_blocks import extract_main_text
 from crewlens.llm.interpolation import interpolated_scores
 from crewlens.llm.jaccard_regions import jaccard_components
+from crewlens.llm.maxplus_encode import digest, encode
 from crewlens.llm.packing import pack_documents
 from crewlens.llm.quality_ratio import quality_by_ratio
 from crewlens.llm.secret_markov import scan_secrets
@@ -49,6 +50,11 @@ def op5_ngram_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_by_ratio(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op6_maxplus_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Piece counts, scores and checksums of every document, chunk by chunk, and of the text decoded again."""
+    return digest(encode(_table(spark, sf_dir, "documents")))
+
+
 def op7_secret_markov(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in every document."""
     return scan_secrets(_table(spark, sf_dir, "documents"))
@@ -75,6 +81,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_line_blocks": op3_line_blocks,
     "op4_histogram_selection": op4_histogram_selection,
     "op5_ngram_ratio": op5_ngram_ratio,
+    "op6_maxplus_scan": op6_maxplus_scan,
     "op7_secret_markov": op7_secret_markov,
     "op8_jaccard_regions": op8_jaccard_regions,
     "op9_differencing": op9_differencing,
