@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from crewlens.llm.shared import remainder, written
+from crewlens.llm.shared import remainder, sized, written
 from crewlens.llm.textkit import Words, mix, ngrams, per_text, slices
 
 SYMBOLS = np.zeros(256, bool)
@@ -118,11 +118,11 @@ def quality_by_ratio(docs: DataFrame, labels: DataFrame, cells: int = 1 << 16, l
     """doc_id, the base counts, base_failed, score and kept per row of `docs` (doc_id, text), with `labels`
     (doc_id, quality)."""
     texts = docs.select("doc_id", "text")
-    trusted = labels.where("quality = 1").select("doc_id").distinct()
+    trusted = written(labels.where("quality = 1").select("doc_id").distinct(), "trusted")
     counted_part = remainder("doc_id", 5) != 0
     counted = [
         x.select("text").mapInArrow(_counts(cells), "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toPandas()
-        for x in (texts.join(trusted.where(counted_part), "doc_id", "left_semi"), texts)
+        for x in (texts.join(sized(trusted.where(counted_part)), "doc_id", "left_semi"), texts)
     ]
     target, raw = (np.bincount(x["cell"].to_numpy(np.int64), x["n"].to_numpy(np.float64), cells) for x in counted)
     ratio = log_ratio(target, raw)
