@@ -93,23 +93,24 @@ TECHNICIAN_TIMESHEET_SUMMARY = {
 
 
 def _report(rows: DataFrame, labels: Mapping[str, str], *order: str | Column) -> DataFrame:
-    # The sort may be on a column that the report does not show, so it comes first.
+    # The sort may be on a column that the report does not show, so it comes first. The last keys are ids: rows
+    # that are equal in the first ones have an order too, and are divided over tasks like others.
     if order:
         rows = rows.orderBy(*order)
     return rows.select("company_id", *[F.col(c).alias(label) for label, c in labels.items()])
 
 
 def invoiced_items(src: Sources, params: Params = Params()) -> DataFrame:
-    return _report(invoiced_lines(src, params), INVOICED_ITEMS, "completed_on")
+    return _report(invoiced_lines(src, params), INVOICED_ITEMS, "completed_on", "job_id", "invoice_id", "item_code", "item_description")
 
 
 def sales_master_tracker(src: Sources, params: Params = Params()) -> DataFrame:
-    return _report(sales_master_rows(src, params), SALES_MASTER_TRACKER, "first_appointment")
+    return _report(sales_master_rows(src, params), SALES_MASTER_TRACKER, "first_appointment", "invoice_number", "company_id")
 
 
 def tech_dispatch_report(src: Sources, params: Params = Params()) -> DataFrame:
     rows = plans.tech_dispatch_report(src, params)
-    return _report(rows, TECH_DISPATCH_REPORT, "timesheet_activity_date", "name", "start_time")
+    return _report(rows, TECH_DISPATCH_REPORT, "timesheet_activity_date", "name", "start_time", "job_number", "company_id")
 
 
 def technician_timesheet_summary(src: Sources, params: Params = Params()) -> DataFrame:
@@ -117,8 +118,8 @@ def technician_timesheet_summary(src: Sources, params: Params = Params()) -> Dat
 
 
 def timestamp_base(src: Sources, params: Params = Params()) -> DataFrame:
-    return plans.timestamp_base(src, params).orderBy("source", "emp_name")
+    return plans.timestamp_base(src, params).orderBy("source", "emp_name", "id", "company_id")
 
 
 def wip_appointments(src: Sources, params: Params = Params()) -> DataFrame:
-    return plans.wip_appointments(src, params).orderBy("job_id")
+    return plans.wip_appointments(src, params).orderBy("job_id", "company_id")

@@ -12,8 +12,16 @@ from pyspark.sql import functions as F
 _MAX_OFFSET = dt.timedelta(days=1)
 
 
+def _known_tenant(ts: Column, company_id: Column, zones: Mapping[int, str], value: Column) -> Column:
+    """``value`` where the tenant has a zone; NULL where there is no time; else an error that names the
+    tenant. Without a zone there is no local time, and dropping the row would hide that."""
+    message = F.concat(F.lit("no time zone for company_id "), F.coalesce(company_id.cast("string"), F.lit("NULL")))
+    known = F.coalesce(company_id.isin(sorted(zones)), F.lit(False))
+    return F.when(known, value).when(ts.isNotNull(), F.raise_error(message))
+
+
 def to_local(ts: Column, company_id: Column, zones: Mapping[int, str]) -> Column:
-    """UTC to the tenant's local time. NULL time or unknown tenant gives NULL.
+    """UTC to the tenant's local time. NULL time gives NULL; a time of an unknown tenant is an error.
 
     The tenant list is settings, a few dozen entries in a handful of zones, so it goes into the plan
     as one constant branch per zone: no join, the expression can stand in any projection or filter,
@@ -25,7 +33,7 @@ def to_local(ts: Column, company_id: Column, zones: Mapping[int, str]) -> Column
     instant, local = ts.cast("timestamp"), F.lit(None).cast("timestamp")
     for zone, ids in tenants.items():
         local = F.when(company_id.isin(ids), F.from_utc_timestamp(instant, zone)).otherwise(local)
-    return local.cast("timestamp_ntz")
+    return _known_tenant(ts, company_id, zones, local.cast("timestamp_ntz"))
 
 
 def local_date(ts: Column, company_id: Column, zones: Mapping[int, str]) -> Column:
@@ -49,7 +57,8 @@ def local_year_from(ts: Column, company_id: Column, zones: Mapping[int, str], ye
     turn = dt.datetime(year, 1, 1)
     surely = ts >= F.lit(turn + _MAX_OFFSET).cast("timestamp_ntz")
     maybe = ts >= F.lit(turn - _MAX_OFFSET).cast("timestamp_ntz")
-    return surely | (maybe & (F.year(to_local(ts, company_id, zones)) >= year))
+    recent = surely | (maybe & (F.year(to_local(ts, company_id, zones)) >= year))
+    return _known_tenant(ts, company_id, zones, recent)
 
 
 def in_local_years(

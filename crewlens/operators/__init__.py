@@ -9,15 +9,15 @@ from crewlens.operators.groups import (
     rollup,
     top_n_per_group,
 )
-from crewlens.operators.joins import hot_buckets, lookup_join, merge_on_key, plan_bytes
+from crewlens.operators.joins import HotKeys, lookup_join, merge_on_key, plan_bytes
 from crewlens.operators.sets import stack, union_tenants
 
 __all__ = [
+    "HotKeys",
     "child_rollup",
     "distinct_list",
     "explode_keep",
     "first_per_group",
-    "hot_buckets",
     "lookup_join",
     "merge_on_key",
     "ordered_text",

@@ -39,7 +39,14 @@ def child_rollup(
 
 def _descending(df: DataFrame, name: str) -> list[Column]:
     # A number goes down when its negative goes up; NULLs of a descending key come last.
-    return [F.col(name).isNull(), -F.col(name)]
+    value, kind = F.col(name), df.schema[name].dataType
+    if isinstance(kind, (T.FloatType, T.DoubleType)):
+        # NaN is the greatest number, and its negative is NaN too.
+        return [value.isNull(), ~F.isnan(value), -value]
+    if isinstance(kind, T.IntegralType):
+        # The least integer has no negative of its own type.
+        return [value.isNull(), -value.cast("decimal(20,0)")]
+    return [value.isNull(), -value]
 
 
 def first_per_group(

@@ -6,10 +6,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from crewlens.params import JoinTuning
 
-_BUCKET, _SPLITS, _SALT = "__bucket", "__splits", "__salt"
+_BUCKET, _SPLITS, _SALT, _JOIN = "__bucket", "__splits", "__salt", "__join"
 
 
 def plan_bytes(df: DataFrame) -> int | None:
@@ -21,37 +22,37 @@ def plan_bytes(df: DataFrame) -> int | None:
         return None
 
 
-def _at_most(df: DataFrame, limit: int) -> bool:
-    size = plan_bytes(df)
-    return size is not None and size <= limit
-
-
 def _bucket(keys: Sequence[str], buckets: int) -> Column:
     return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
 
 
-def hot_buckets(df: DataFrame, keys: Sequence[str], tuning: JoinTuning = JoinTuning()) -> DataFrame:
-    """Key buckets that hold far more rows than the mean, and into how many parts to split each.
+class HotKeys:
+    """Which key buckets of a fact hold far more rows than the mean, for all its joins.
 
-    Counts are exact, so every use of the result agrees on it, also after a lost executor. Rows are
-    counted per bucket before the shuffle, so a task sends at most ``buckets`` rows. A bucket is hot
-    above four times the mean; the result therefore has at most ``buckets / 4`` rows, and its parts
-    add up to at most ``buckets`` and one more per hot bucket.
+    The rows are counted once for every list of keys in ``joins``: a row counts once per list, in the
+    bucket of its keys, and counts are summed before the shuffle, so a task sends at most
+    ``buckets`` rows per list. Counts are exact, so every use agrees on them, also after a lost executor.
+    A bucket is hot above four times the mean; its parts are then about one mean each, never more
+    than its rows, and all parts of a list add up to at most ``buckets`` and one more per hot bucket.
     """
-    n = tuning.buckets
-    counts = df.groupBy(_bucket(keys, n).alias(_BUCKET)).agg(F.count(F.lit(1)).alias("rows"))
-    # One row with at most ``buckets`` pairs in it.
-    every = counts.agg(
-        F.sum("rows").alias("total"),
-        F.collect_list(F.struct(F.col(_BUCKET), F.col("rows"))).alias("pairs"),
-    )
-    hot = F.filter(
-        "pairs",
-        lambda p: (p["rows"] * n > F.col("total") * 4) & (p["rows"] >= tuning.min_hot_rows),
-    )
-    return every.select("total", F.inline(hot)).select(
-        _BUCKET, F.ceil(F.col("rows") * n / F.col("total")).cast("int").alias(_SPLITS)
-    )
+
+    def __init__(self, rows: DataFrame, joins: Sequence[Sequence[str]], tuning: JoinTuning = JoinTuning()):
+        self.joins = [tuple(keys) for keys in joins]
+        n = tuning.buckets
+        each = [F.struct(F.lit(i).alias(_JOIN), _bucket(keys, n).alias(_BUCKET)) for i, keys in enumerate(self.joins)]
+        counts = rows.select(F.inline(F.array(*each))).groupBy(_JOIN, _BUCKET).agg(F.count(F.lit(1)).alias("rows"))
+        # One row per list with at most ``buckets`` pairs in it.
+        every = counts.groupBy(_JOIN).agg(
+            F.sum("rows").alias("total"),
+            F.collect_list(F.struct(F.col(_BUCKET), F.col("rows"))).alias("pairs"),
+        )
+        hot = F.filter("pairs", lambda p: (p["rows"] * n > F.col("total") * 4) & (p["rows"] > 1))
+        parts = F.least(F.col("rows"), F.ceil(F.col("rows") * n / F.col("total"))).cast("int")
+        self._hot = every.select(_JOIN, "total", F.inline(hot)).select(_JOIN, _BUCKET, parts.alias(_SPLITS))
+
+    def of(self, keys: Sequence[str]) -> DataFrame:
+        """The hot buckets of one list of keys and into how many parts to split each."""
+        return self._hot.where(F.col(_JOIN) == self.joins.index(tuple(keys))).select(_BUCKET, _SPLITS)
 
 
 def lookup_join(
@@ -61,29 +62,33 @@ def lookup_join(
     how: str = "left",
     *,
     tuning: JoinTuning = JoinTuning(),
-    hot_from: DataFrame | None = None,
+    hot: HotKeys | None = None,
 ) -> DataFrame:
-    """Join a fact to a lookup on equally named columns (``how``: left or inner).
+    """Join a fact to a lookup on equally named columns (``how``: left, inner or left_semi).
 
     - A lookup whose estimated size is within ``tuning.broadcast_bytes`` is broadcast.
-    - Otherwise a fact below ``tuning.plain_bytes`` is joined as it is.
     - Otherwise hot keys are split: fact rows of a hot bucket get a part number, lookup rows of that
       bucket are copied once per part, and the join is on key and part. Each fact row meets each of
-      its lookup rows exactly once, so the rows are those of the plain join. All copies together add
-      at most about one more lookup.
+      its lookup rows exactly once, so the rows are those of the plain join. NULL keys are a bucket like
+      others. All copies together add at most about one more lookup.
 
-    ``hot_from`` is a cheap stand-in (a base table with the same keys) to count keys on, when the
-    fact is itself the result of a long plan. It steers the split only, never the rows.
+    ``hot`` has the counts of rows with the keys of the fact, made once for several joins; without it
+    the fact itself is counted. It steers the split only, never the rows.
     """
-    if how not in ("left", "inner"):
+    if how not in ("left", "inner", "left_semi"):
         raise ValueError(f"lookup_join keeps the fact on the left: how={how!r}")
     on = list(on)
-    if _at_most(lookup, tuning.broadcast_bytes):
+    size = plan_bytes(lookup)
+    if size is not None and size <= tuning.broadcast_bytes:
         return fact.join(F.broadcast(lookup), on, how)
-    counted = (fact if hot_from is None else hot_from).select(*on)
-    if _at_most(counted, tuning.plain_bytes):
-        return fact.join(lookup, on, how)
-    return _split_join(fact, lookup, on, how, counted, tuning)
+    return _split_join(fact, lookup, on, how, hot or HotKeys(fact, [on], tuning), tuning)
+
+
+def _part_of(fact: DataFrame) -> Column:
+    # From the row and its task alone: a task that runs again gives the same parts in whatever order its
+    # rows arrive, the rows of one task spread over the parts, and so do equal rows of several tasks.
+    plain = [f.name for f in fact.schema if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    return F.xxhash64(*plain, F.spark_partition_id())
 
 
 def _split_join(
@@ -91,30 +96,26 @@ def _split_join(
     lookup: DataFrame,
     on: list[str],
     how: str,
-    counted: DataFrame,
+    hot: HotKeys,
     tuning: JoinTuning,
 ) -> DataFrame:
-    # Equal values must hash alike on all sides, so the lookup and the counts take the fact's types.
-    types = {k: fact.schema[k].dataType for k in on}
-    lookup = lookup.withColumns({k: F.col(k).cast(t) for k, t in types.items()})
-    counted = counted.select(*[F.col(k).cast(t).alias(k) for k, t in types.items()])
+    # Equal values must hash alike on both sides, so the lookup takes the fact's types.
+    lookup = lookup.withColumns({k: F.col(k).cast(fact.schema[k].dataType) for k in on})
     # At most buckets / 4 rows by construction.
-    hot = F.broadcast(hot_buckets(counted, on, tuning))
+    splits = F.broadcast(hot.of(on))
     bucket = _bucket(on, tuning.buckets)
 
-    # The part of a row depends on its task only, so a task that runs again gives the same parts in
-    # whatever order its rows arrive, and equal rows still spread over the parts.
-    part = F.coalesce(F.pmod(F.spark_partition_id(), F.col(_SPLITS)), F.lit(0))
+    part = F.coalesce(F.pmod(_part_of(fact), F.col(_SPLITS)).cast("int"), F.lit(0))
     left = (
         fact.withColumn(_BUCKET, bucket)
-        .join(hot, _BUCKET, "left")
+        .join(splits, _BUCKET, "left")
         .withColumn(_SALT, part)
         .drop(_BUCKET, _SPLITS)
     )
     parts = F.sequence(F.lit(0), F.coalesce(F.col(_SPLITS), F.lit(1)) - 1)
     right = (
         lookup.withColumn(_BUCKET, bucket)
-        .join(hot, _BUCKET, "left")
+        .join(splits, _BUCKET, "left")
         .withColumn(_SALT, F.explode(parts))
         .drop(_BUCKET, _SPLITS)
     )

@@ -10,16 +10,13 @@ from dataclasses import dataclass, field
 class JoinTuning:
     """Limits that pick how a fact is joined to a lookup (see ``operators.joins``).
 
-    broadcast_bytes: a lookup is broadcast only when Spark's own size estimate is at most this.
-    plain_bytes: facts below this size are joined as they are; one hot key cannot hurt them.
+    broadcast_bytes: a lookup is broadcast only when Spark's own size estimate is at most this. For
+        files that is their compressed size; in memory a lookup may be some ten times larger.
     buckets: key buckets counted to find hot keys, and the bound on every list made of them.
-    min_hot_rows: a bucket with fewer rows is never split.
     """
 
-    broadcast_bytes: int = 16 * 1024 * 1024
-    plain_bytes: int = 1024 * 1024 * 1024
+    broadcast_bytes: int = 8 * 1024 * 1024
     buckets: int = 8192
-    min_hot_rows: int = 1_000_000
 
 
 @dataclass(frozen=True)

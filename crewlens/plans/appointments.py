@@ -8,23 +8,20 @@ from pyspark.sql import functions as F
 from crewlens.functions import today_utc
 from crewlens.operators import merge_on_key, rollup, top_n_per_group
 from crewlens.params import Params
+from crewlens.plans.scope import KEYS, only_jobs
 from crewlens.sources import Sources
 
-# The tenant comes second: Spark compares sort keys by their first column, and there are few tenants.
-KEYS = ["job_id", "company_id"]
-
-
-def _appointments(src: Sources, params: Params) -> DataFrame:
-    appointments = src.table("appointment")
+def _appointments(src: Sources, params: Params, jobs: DataFrame | None) -> DataFrame:
+    appointments = only_jobs(src.table("appointment"), jobs, params)
     if params.exclude_status:
         appointments = appointments.where(~F.col("status").isin(*params.exclude_status))
     return appointments.select(*KEYS, "start")
 
 
-def past_appointments(src: Sources, params: Params = Params()) -> DataFrame:
+def past_appointments(src: Sources, params: Params = Params(), jobs: DataFrame | None = None) -> DataFrame:
     """First, last and number of the appointments before today (UTC dates)."""
     return rollup(
-        _appointments(src, params),
+        _appointments(src, params, jobs),
         KEYS,
         {
             "first_past_appointment": F.min("start"),
@@ -35,9 +32,9 @@ def past_appointments(src: Sources, params: Params = Params()) -> DataFrame:
     )
 
 
-def next_appointments(src: Sources, params: Params = Params()) -> DataFrame:
+def next_appointments(src: Sources, params: Params = Params(), jobs: DataFrame | None = None) -> DataFrame:
     """The next two appointments from today on. The count is taken after the cut, so it is 1 or 2."""
-    future = _appointments(src, params).where(F.to_date("start") >= today_utc(params.as_of))
+    future = _appointments(src, params, jobs).where(F.to_date("start") >= today_utc(params.as_of))
     top2 = top_n_per_group(future, KEYS, [("start", "asc")], 2, rank="rn")
     return rollup(
         top2,

@@ -6,16 +6,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from crewlens.functions import in_local_years, local_date, money, utrim
-from crewlens.operators import lookup_join
+from crewlens.operators import lookup_join, rollup
 from crewlens.params import Params
-from crewlens.plans.rollups import INVOICE, KEYS, sold_hours_by_job
+from crewlens.plans.rollups import INVOICE, KEYS
 from crewlens.sources import Sources
 
 NOT_LISTED = ("Material", "Equipment")
 
 
 def invoiced_lines(src: Sources, params: Params = Params()) -> DataFrame:
-    """The rows of ``invoiced_items`` with ``completed_on``, on which reports sort."""
+    """The rows of ``invoiced_items`` with ``completed_on`` and the ids, on which reports sort."""
     company, completed = F.col("company_id"), F.col("completed_on")
     # NULL status and NULL type drop out, as NOT IN has it.
     jobs = src.table("job").where(
@@ -31,26 +31,28 @@ def invoiced_lines(src: Sources, params: Params = Params()) -> DataFrame:
         ["job_type_id", "company_id"],
         tuning=params.join,
     )
-    # Hours meet jobs while both are unique per job; later the rows of one job may be very many.
-    jobs = jobs.join(sold_hours_by_job(src, params), KEYS, "left")
-
-    invoices = src.table("invoice")
-    job_invoices = lookup_join(
-        invoices.select("company_id", F.col("id").alias("invoice_id"), "job_id", "sub_total"),
-        jobs,
-        KEYS,
+    # Only what belongs to these jobs is read on: their invoices, then the items of those invoices.
+    invoices = src.table("invoice").select("company_id", F.col("id").alias("invoice_id"), "job_id", "sub_total")
+    job_invoices = lookup_join(invoices, jobs, KEYS, "inner", tuning=params.join)
+    items = src.table("invoice_item")
+    hours = lookup_join(
+        items.where("active").select(*INVOICE, "sold_hours"),
+        job_invoices.select(*INVOICE, "job_id").distinct(),
+        INVOICE,
         "inner",
         tuning=params.join,
-        hot_from=invoices,
     )
-    items = src.table("invoice_item").where(~F.col("type").isin(*NOT_LISTED))
+    hours = rollup(hours, [*INVOICE, "job_id"], {"sold_hours": F.sum("sold_hours")})
+    # Summed per invoice first: here a job has a row per invoice, not per item.
+    hours = rollup(hours, KEYS, {"sold_hours": F.sum("sold_hours").cast("decimal(28,4)")})
+    job_invoices = lookup_join(job_invoices, hours, KEYS, tuning=params.join)
+    listed = items.where(~F.col("type").isin(*NOT_LISTED))
     lines = lookup_join(
-        items.select("company_id", "invoice_id", "sku_name", "display_name", "description", "quantity", "price"),
+        listed.select(*INVOICE, "sku_name", "display_name", "description", "quantity", "price"),
         job_invoices,
         INVOICE,
         "inner",
         tuning=params.join,
-        hot_from=items,
     )
     return lines.select(
         "company_id",
@@ -66,10 +68,12 @@ def invoiced_lines(src: Sources, params: Params = Params()) -> DataFrame:
         money(F.coalesce("sub_total", F.lit(0))).alias("invoice_subtotal"),
         money(F.col("sold_hours")).alias("sold_hours"),
         "completed_on",
+        "job_id",
+        "invoice_id",
     )
 
 
 def invoiced_items(src: Sources, params: Params = Params()) -> DataFrame:
     """Invoice items, without material and equipment, of jobs that are not cancelled and were
     completed in the given local years. The sold hours of the whole job stand on each item."""
-    return invoiced_lines(src, params).drop("completed_on")
+    return invoiced_lines(src, params).drop("completed_on", "job_id", "invoice_id")

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from crewlens.functions import local_date, local_year_from, utrim
 from crewlens.functions.columns import MONEY
-from crewlens.operators import lookup_join
+from crewlens.operators import HotKeys, lookup_join
 from crewlens.params import Params
 from crewlens.plans.appointments import appointment_columns, next_appointments, past_appointments
 from crewlens.plans.rollups import (
@@ -17,15 +19,20 @@ from crewlens.plans.rollups import (
     lead_sales_by_parent,
     sold_estimates_by_job,
 )
+from crewlens.plans.scope import KEYS, only_jobs
 from crewlens.plans.technicians import job_technicians
 from crewlens.plans.timesheets import paid_hours_by_job
 from crewlens.sources import Sources
 
-# The tenant comes second: Spark compares sort keys by their first column, and there are few tenants.
-KEYS = ["job_id", "company_id"]
+def recent_jobs(src: Sources, params: Params = Params()) -> DataFrame:
+    """Keys of the jobs that can pass the year test: the latest of the three dates is itself an appointment,
+    so one of the job's appointments starts in or after ``min_year``, or within a day before it in UTC."""
+    bound = F.lit(dt.datetime(params.min_year, 1, 1) - dt.timedelta(days=1)).cast("timestamp_ntz")
+    starts = src.table("appointment").where(F.col("job_id").isNotNull() & (F.col("start") >= bound))
+    return starts.select(*KEYS).distinct()
 
 
-def _dated_jobs(src: Sources, params: Params) -> DataFrame:
+def _dated_jobs(src: Sources, params: Params, recent: DataFrame) -> DataFrame:
     """Jobs with a first, start or next appointment in or after ``min_year``, and their appointments.
 
     Both halves of the appointments are joined to the jobs directly. Merging them first, as for the
@@ -43,8 +50,10 @@ def _dated_jobs(src: Sources, params: Params) -> DataFrame:
         "completed_on",
         "job_status",
     )
-    halves = jobs.join(past_appointments(src, params), KEYS, "left").join(
-        next_appointments(src, params), KEYS, "left"
+    halves = (
+        only_jobs(jobs, recent, params)
+        .join(past_appointments(src, params, recent), KEYS, "left")
+        .join(next_appointments(src, params, recent), KEYS, "left")
     )
     columns = [column.alias(name) for name, column in appointment_columns().items()]
     appointments = ["first_appointment", "start_appointment", "next_appointment"]
@@ -74,37 +83,42 @@ def _dated_jobs(src: Sources, params: Params) -> DataFrame:
 
 def sales_master_rows(src: Sources, params: Params = Params()) -> DataFrame:
     """The rows of ``sales_master_tracker`` with ``first_appointment``, on which reports sort."""
-    # The appointment test drops most jobs, so it comes first. All rollups are unique per job and
-    # grouped by the join key: jobs are shuffled once for all of them, and no key can be hot.
-    master = _dated_jobs(src, params)
-    by_parent = {"parent_job_id": "job_id"}
-    for per_job in (
-        invoice_total_by_job(src, params),
-        sold_estimates_by_job(src, params).drop("estimates"),
-        installed_estimates_by_job(src, params),
-        paid_hours_by_job(src, params).drop("total_minutes"),
-        lead_sales_by_parent(src, params).withColumnsRenamed(by_parent),
-        lead_ids_by_parent(src, params).withColumnsRenamed(by_parent),
-        job_technicians(src, params, null_jobs=False),
-    ):
-        master = master.join(per_job, KEYS, "left")
+    # The appointment test drops most jobs, so it comes first, and what belongs to other jobs is cut before it is
+    # summed.
+    recent = recent_jobs(src, params)
+    master = _dated_jobs(src, params, recent)
 
     def text(column: str):
         # Trimmed once per lookup row, not once per job.
         return F.col(column) if column == "number" else utrim(F.col(column))
 
-    # Here one value may stand on a third of the jobs.
-    for table, key, columns in (
+    # Lookups meet the jobs while those are narrow. Here one value may stand on a third of the jobs.
+    lookups = (
         ("job_type", "job_type_id", {"name": "job_type"}),
         ("business_unit", "business_unit_id", {"name": "business_unit"}),
         ("technician_copy", "sold_by_id", {"name": "sold_by"}),
         ("project", "project_id", {"number": "project"}),
         ("customer", "customer_id", {"name": "customer_name", "type": "customer_type"}),
-    ):
+    )
+    hot = HotKeys(master, [[key, "company_id"] for _, key, _ in lookups], params.join)
+    for table, key, columns in lookups:
         lookup = src.table(table).select(
             "company_id", F.col("id").alias(key), *[text(c).alias(name) for c, name in columns.items()]
         )
-        master = lookup_join(master, lookup, [key, "company_id"], tuning=params.join, hot_from=src.table("job"))
+        master = lookup_join(master, lookup, [key, "company_id"], tuning=params.join, hot=hot)
+
+    # All rollups are unique per job and grouped by the join key: no key can be hot.
+    by_parent = {"parent_job_id": "job_id"}
+    for per_job in (
+        invoice_total_by_job(src, params, recent),
+        sold_estimates_by_job(src, params, recent).drop("estimates"),
+        installed_estimates_by_job(src, params, recent),
+        paid_hours_by_job(src, params, recent).drop("total_minutes"),
+        lead_sales_by_parent(src, params, recent).withColumnsRenamed(by_parent),
+        lead_ids_by_parent(src, params, recent).withColumnsRenamed(by_parent),
+        job_technicians(src, params, null_jobs=False, jobs=recent),
+    ):
+        master = master.join(per_job, KEYS, "left")
 
     def amount(column: str):
         return F.coalesce(column, F.lit(0).cast(MONEY))

@@ -6,11 +6,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from crewlens.functions import hours_from_minutes, minutes_between, to_local, typed_null
-from crewlens.operators import lookup_join, rollup, stack
+from crewlens.operators import HotKeys, lookup_join, rollup, stack
 from crewlens.params import Params
 from crewlens.plans.people import technicians_employees
+from crewlens.plans.scope import only_jobs
 from crewlens.sources import Sources
 
+CODE, PERSON = ["timesheet_code_id", "company_id"], ["emp_id", "company_id"]
 CODE_COLUMNS = ["code", "description", "applicable_employee_type", "type"]
 
 
@@ -56,7 +58,11 @@ def timestamp_base(src: Sources, params: Params = Params()) -> DataFrame:
         "active",
     )
     others = lookup_join(
-        others, codes, ["timesheet_code_id", "company_id"], tuning=params.join, hot_from=other_sheets
+        others,
+        codes,
+        CODE,
+        tuning=params.join,
+        hot=HotKeys(other_sheets, [CODE], params.join),
     )
     entries = stack(jobs, others)
 
@@ -72,7 +78,7 @@ def timestamp_base(src: Sources, params: Params = Params()) -> DataFrame:
         other_sheets.select("company_id", F.col("employee_id").alias("emp_id")),
     )
     named = lookup_join(
-        entries, people, ["emp_id", "company_id"], tuning=params.join, hot_from=person_keys
+        entries, people, PERSON, tuning=params.join, hot=HotKeys(person_keys, [PERSON], params.join)
     )
     return named.select(
         "company_id",
@@ -93,8 +99,9 @@ def timestamp_base(src: Sources, params: Params = Params()) -> DataFrame:
     )
 
 
-def paid_hours_by_job(src: Sources, params: Params = Params()) -> DataFrame:
+def paid_hours_by_job(src: Sources, params: Params = Params(), jobs: DataFrame | None = None) -> DataFrame:
     """Minutes from dispatch to done per job, and the same as hours. Inactive entries count too."""
     minutes = minutes_between(F.col("dispatched_on"), F.col("done_on"))
-    total = rollup(src.table("timesheet_copy"), ["job_id", "company_id"], {"total_minutes": F.sum(minutes)})
+    sheets = only_jobs(src.table("timesheet_copy").select("job_id", "company_id", "dispatched_on", "done_on"), jobs, params)
+    total = rollup(sheets, ["job_id", "company_id"], {"total_minutes": F.sum(minutes)})
     return total.withColumn("total_paid_time", hours_from_minutes(F.col("total_minutes")))

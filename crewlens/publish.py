@@ -21,14 +21,31 @@ def register_all(
     return published
 
 
-def write_table(spark: SparkSession, df: DataFrame, name: str, description: str = "") -> None:
-    """Store a job as a table partitioned by tenant.
+def write_table(
+    spark: SparkSession, df: DataFrame, name: str, description: str = "", *, replace_all: bool = False
+) -> None:
+    """Store a job as a table partitioned by tenant. Of a table that exists, only the tenants in ``df``
+    are replaced; ``replace_all`` replaces the whole table.
 
     The rebalance step gathers each tenant's rows into few files, and splits a large tenant over
     many tasks, so that neither tiny files nor one long task come out.
     """
     rows = df.hint("rebalance", "company_id")
-    rows.write.mode("overwrite").partitionBy("company_id").format("parquet").saveAsTable(name)
+    if replace_all or not spark.catalog.tableExists(name):
+        rows.write.mode("overwrite").partitionBy("company_id").format("parquet").saveAsTable(name)
+    else:
+        # Columns go in by place, the partition last.
+        columns = spark.table(name).columns
+        if set(columns) != set(df.columns):
+            raise ValueError(f"{name} has other columns: {sorted(set(columns) ^ set(df.columns))}")
+        mode = "spark.sql.sources.partitionOverwriteMode"
+        before = spark.conf.get(mode)
+        spark.conf.set(mode, "dynamic")
+        try:
+            rows.select(*columns).write.insertInto(name, overwrite=True)
+        finally:
+            spark.conf.set(mode, before)
     if description:
         text = description.replace("\\", "\\\\").replace("'", "\\'")
-        spark.sql(f"COMMENT ON TABLE {name} IS '{text}'")
+        quoted = ".".join(f"`{part.strip('`')}`" for part in name.split("."))
+        spark.sql(f"COMMENT ON TABLE {quoted} IS '{text}'")

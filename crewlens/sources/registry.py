@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crewlens.operators.sets import union_tenants
 from crewlens.sources.schemas import SCHEMAS
 
 Table = DataFrame | Callable[[], DataFrame]
@@ -64,11 +64,22 @@ class Sources:
     def from_tenant_roots(
         cls, spark: SparkSession, roots: Mapping[int, str], zones: Mapping[int, str]
     ) -> Sources:
-        """One directory of tables per tenant, as the raw loads leave them: ``<root>/<table>``."""
+        """One directory of tables per tenant, as the raw loads leave them: ``<root>/<table>``.
+
+        A table is one scan over all roots; a row's tenant follows from the path of its file."""
+        by_root = {root.rstrip("/"): cid for cid, root in roots.items()}
 
         def opener(name: str, ddl: str) -> Callable[[], DataFrame]:
-            return lambda: union_tenants(
-                {cid: spark.read.schema(ddl).parquet(f"{root}/{name}") for cid, root in roots.items()}
-            )
+            def open_() -> DataFrame:
+                found = spark.read.schema(ddl).parquet(*[f"{root}/{name}" for root in by_root])
+                # The directory in front of the table's own, with or without a scheme, escaped or not.
+                path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+                tenant = F.lit(None).cast("bigint")
+                for root, cid in sorted(by_root.items(), key=lambda x: len(x[0])):
+                    bare = re.sub(r"^[a-z0-9]+:/*", "/", root)
+                    tenant = F.when(F.contains(path, F.lit(f"{bare}/{name}/")), F.lit(cid).cast("bigint")).otherwise(tenant)
+                return found.withColumn("company_id", tenant)
+
+            return open_
 
         return cls({name: opener(name, ddl) for name, ddl in SCHEMAS.items()}, zones)

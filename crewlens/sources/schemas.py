@@ -7,13 +7,40 @@ missing for some tenants.
 
 from __future__ import annotations
 
-_DURATIONS = (
-    "c643i_o c688i_o c1017i_o c1244i_o c31i_o c1360i_o c657i_o manager_exception hr_orientation "
-    "holiday office_sick_time vacation pto_office temp_c_o meal sick unavab ems morning_meeting"
-).split()
-_SUMMARY_HOURS = (
-    "paid_idle paid_driving job_hrs unpaid_time_off hours_worked regular overtime double_ot paid_time_off"
-).split()
+# The names of the duration columns of timesheet summaries.
+DURATIONS = [
+    "c643i_o",
+    "c688i_o",
+    "c1017i_o",
+    "c1244i_o",
+    "c31i_o",
+    "c1360i_o",
+    "c657i_o",
+    "manager_exception",
+    "hr_orientation",
+    "holiday",
+    "office_sick_time",
+    "vacation",
+    "pto_office",
+    "temp_c_o",
+    "meal",
+    "sick",
+    "unavab",
+    "ems",
+    "morning_meeting",
+]
+# The names of their hour columns.
+SUMMARY_HOURS = [
+    "paid_idle",
+    "paid_driving",
+    "job_hrs",
+    "unpaid_time_off",
+    "hours_worked",
+    "regular",
+    "overtime",
+    "double_ot",
+    "paid_time_off",
+]
 
 
 def _cols(names: list[str], data_type: str) -> str:
@@ -22,13 +49,12 @@ def _cols(names: list[str], data_type: str) -> str:
 
 SCHEMAS: dict[str, str] = {
     "job": "id BIGINT, job_number STRING, job_type_id BIGINT, business_unit_id BIGINT, customer_id BIGINT, "
-    "project_id BIGINT, sold_by_id BIGINT, campaign_id BIGINT, completed_on TIMESTAMP_NTZ, job_status STRING, "
+    "project_id BIGINT, sold_by_id BIGINT, completed_on TIMESTAMP_NTZ, job_status STRING, "
     "job_generated_lead_source_job_id BIGINT, job_generated_lead_source_employee_id BIGINT",
     "job_type": "id BIGINT, name STRING",
     "business_unit": "id BIGINT, name STRING",
     "project": "id BIGINT, number STRING",
     "customer": "id BIGINT, name STRING, type STRING",
-    "campaign": "id BIGINT",
     "invoice": "id BIGINT, job_id BIGINT, sub_total DECIMAL(18,2)",
     "invoice_item": "invoice_id BIGINT, sku_name STRING, display_name STRING, description STRING, "
     "quantity DECIMAL(18,4), price DECIMAL(18,4), sold_hours DECIMAL(18,4), active BOOLEAN, type STRING",
@@ -53,8 +79,8 @@ SCHEMAS: dict[str, str] = {
     "job_number BIGINT, start_time STRING, regular_time DECIMAL(18,4), end_time STRING, invoice_number BIGINT, "
     "job_business_unit STRING, hourly_rate DECIMAL(18,4), duration_dec DECIMAL(18,4), overtime DECIMAL(18,4)",
     "technician_timesheet_summary": "employee_id BIGINT, employee STRING, date TIMESTAMP_NTZ, start STRING, "
-    f"first_arrival_time STRING, end STRING, {_cols(_DURATIONS, 'STRING')}, "
-    f"{_cols(_SUMMARY_HOURS, 'DECIMAL(18,2)')}, payroll_id STRING",
+    f"first_arrival_time STRING, end STRING, {_cols(DURATIONS, 'STRING')}, "
+    f"{_cols(SUMMARY_HOURS, 'DECIMAL(18,2)')}, payroll_id STRING",
     # The two instants may be stored as text in several forms; all other columns pass through.
     "gross_pay_items": "id BIGINT, activity STRING, activity_code STRING, activity_code_id BIGINT, "
     "amount DECIMAL(18,2), amount_adjustment DECIMAL(18,2), budget_code_id BIGINT, business_unit_name STRING, "
