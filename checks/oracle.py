@@ -65,40 +65,45 @@ FROM (SELECT company_id, job_id, min(start) FILTER (WHERE past) AS lo, max(start
       GROUP BY company_id, job_id, CASE WHEN job_id IS NULL THEN past END) x
 """
 
-SPLIT_SIDE = """
-SELECT s.company_id, s.job_id, list_sort(list(DISTINCT trim(coalesce(t.name, '')))) AS names,
-       first(trim(coalesce(t.name, ''))
-             ORDER BY s.split DESC NULLS LAST, s.created_on ASC NULLS FIRST, trim(coalesce(t.name, ''))) AS pick,
-       max(s.split) AS max_split
-FROM d_job_split s LEFT JOIN d_technician t ON s.technician_id = t.id AND s.company_id = t.company_id
-GROUP BY s.company_id, s.job_id
+# One row per assignment and one per split, each with the name it goes by, ranked within its job and kind.
+# A technician's own split of the job is the largest one of that technician there.
+TECHNICIAN_ROWS = f"""
+SELECT a.company_id, a.job_id, 'assigned' AS kind, who, own,
+       row_number() OVER (PARTITION BY a.company_id, a.job_id
+                          ORDER BY a.assigned_on NULLS FIRST, who, own DESC NULLS LAST) AS place
+FROM (SELECT *, coalesce((SELECT trim(p.name) FROM ({PEOPLE}) p WHERE p.id = technician_id AND p.company_id = x.company_id), '') AS who,
+             (SELECT max(s.split) FROM d_job_split s WHERE s.company_id = x.company_id AND s.job_id = x.job_id
+                AND s.technician_id = x.technician_id) AS own
+      FROM d_appointment_assignment x WHERE x.active) a
+UNION ALL
+SELECT b.company_id, b.job_id, 'split', who, b.split,
+       row_number() OVER (PARTITION BY b.company_id, b.job_id
+                          ORDER BY b.split DESC NULLS LAST, b.created_on NULLS FIRST, who)
+FROM (SELECT *, coalesce((SELECT trim(p.name) FROM d_technician p WHERE p.id = technician_id AND p.company_id = x.company_id), '') AS who
+      FROM d_job_split x) b
 """
 
-ASSIGNED_SIDE = f"""
-SELECT a.company_id, a.job_id, list_sort(list(DISTINCT trim(coalesce(t.name, '')))) AS names,
-       first(trim(coalesce(t.name, '')) ORDER BY a.assigned_on ASC NULLS FIRST, trim(coalesce(t.name, '')),
-             s.split DESC NULLS LAST) AS pick,
-       first(s.split ORDER BY a.assigned_on ASC NULLS FIRST, trim(coalesce(t.name, '')),
-             s.split DESC NULLS LAST) AS pick_split
-FROM d_appointment_assignment a
-LEFT JOIN ({PEOPLE}) t ON a.technician_id = t.id AND a.company_id = t.company_id
-LEFT JOIN d_job_split s
-  ON s.job_id = a.job_id AND s.technician_id = a.technician_id AND s.company_id = a.company_id
-WHERE a.active GROUP BY a.company_id, a.job_id
+# Rows without a job stay apart by kind.
+TECHNICIANS = f"""
+SELECT company_id, job_id, list_sort(list(DISTINCT who) FILTER (WHERE kind = 'assigned')) AS assigned,
+       list_sort(list(DISTINCT who) FILTER (WHERE kind = 'split')) AS splitting,
+       max(who) FILTER (WHERE kind = 'assigned' AND place = 1) AS earliest,
+       max(own) FILTER (WHERE kind = 'assigned' AND place = 1) AS share_of_earliest,
+       max(who) FILTER (WHERE kind = 'split' AND place = 1) AS largest, max(own) FILTER (WHERE kind = 'split') AS largest_share
+FROM ({TECHNICIAN_ROWS}) r GROUP BY company_id, job_id, CASE WHEN job_id IS NULL THEN kind END
 """
 
 JOB_TECHNICIANS = f"""
-SELECT coalesce(s.company_id, a.company_id) AS company_id, coalesce(s.job_id, a.job_id) AS job_id,
-       array_to_string(coalesce(a.names, s.names, []), ', ') AS assigned_technicians,
-       CASE WHEN a.pick IS NOT NULL AND coalesce(a.pick_split, 0) >= coalesce(s.max_split, 0) THEN a.pick
-            ELSE coalesce(s.pick, a.pick) END AS primary_technician
-FROM ({ASSIGNED_SIDE}) a FULL OUTER JOIN ({SPLIT_SIDE}) s ON a.company_id = s.company_id AND a.job_id = s.job_id
+SELECT company_id, job_id, array_to_string(coalesce(assigned, splitting), ', ') AS assigned_technicians,
+       CASE WHEN largest IS NULL THEN earliest WHEN earliest IS NULL THEN largest
+            WHEN coalesce(largest_share, 0) > coalesce(share_of_earliest, 0) THEN largest ELSE earliest END AS primary_technician
+FROM ({TECHNICIANS}) t
 """
 
 SOLD_HOURS = """
-SELECT i.company_id, i.job_id, CAST(sum(x.sold_hours) AS DECIMAL(28,4)) AS sold_hours
-FROM d_invoice i LEFT JOIN d_invoice_item x ON x.invoice_id = i.id AND x.company_id = i.company_id
-WHERE x.active IS TRUE GROUP BY i.company_id, i.job_id
+SELECT i.company_id, i.job_id, CAST(sum(hours) AS DECIMAL(28,4)) AS sold_hours
+FROM (SELECT company_id, invoice_id, sum(sold_hours) AS hours FROM d_invoice_item WHERE active GROUP BY ALL) h
+JOIN d_invoice i ON i.id = h.invoice_id AND i.company_id = h.company_id GROUP BY ALL
 """
 
 INVOICE_TOTAL = f"SELECT company_id, job_id, {money('sum(sub_total)')} AS total_invoice FROM d_invoice GROUP BY company_id, job_id"
@@ -121,13 +126,8 @@ WHERE e.status_value = 1 AND e.active GROUP BY j.company_id, j.job_generated_lea
 """
 
 LEAD_IDS = """
-SELECT company_id, parent_job_id, array_to_string(list(CAST(id AS VARCHAR) ORDER BY id), ', ') AS lead_created
-FROM (SELECT l.company_id, l.parent_job_id, j.id
-      FROM (SELECT company_id, job_generated_lead_source_job_id AS parent_job_id, unnest(list(id)) AS lead_id
-            FROM d_job WHERE job_generated_lead_source_job_id IS NOT NULL
-            GROUP BY company_id, job_generated_lead_source_job_id) l
-      LEFT JOIN d_job j ON j.id = l.lead_id AND j.company_id = l.company_id) x
-GROUP BY company_id, parent_job_id
+SELECT company_id, job_generated_lead_source_job_id AS parent_job_id, string_agg(CAST(id AS VARCHAR), ', ' ORDER BY id) AS lead_created
+FROM d_job WHERE job_generated_lead_source_job_id IS NOT NULL GROUP BY ALL
 """
 
 PAID_HOURS = f"""
@@ -187,22 +187,29 @@ JOIN (SELECT company_id, job_id, total_appointments, CAST({local('first_appointm
 WHERE greatest(year(w.d_first), year(w.d_start), year(w.d_next)) >= {PARAMS.min_year}
 """
 
+
+
+def _of(column: str, table: str, match: str) -> str:
+    """A column looked up for the entry ``e``."""
+    return f"(SELECT d.{column} FROM {table} d WHERE d.company_id = e.company_id AND d.id = e.{match})"
+
+
+def _entries(table: str, source: str, person: str, times: dict[str, str], extra: str) -> str:
+    """The active entries of one kind, each with its person looked up by id."""
+    who = ", ".join(f"{_of(c, f'({PEOPLE})', person)} AS {name}" for c, name in (("name", "emp_name"), ("emp_type", "emp_type"), ("business_unit_id", "business_unit_id")))
+    shown = ", ".join(f"{local(f'e.{c}')} AS {name}" for name, c in times.items())
+    return f"SELECT e.company_id, e.id, e.active, '{source}' AS source, e.{person} AS emp_id, {who}, {shown}, {extra} FROM (SELECT * FROM {table} JOIN d_tenant USING (company_id)) e WHERE e.active"
+
+
+_CODE_COLUMNS = ("code", "description", "applicable_employee_type", "type")
 TIMESTAMP_BASE = f"""
-SELECT ts.company_id, emp.name AS emp_name, emp.emp_type, emp.business_unit_id, ts.id, ts.emp_id, ts.source, ts.job_id,
-       ts.created_on, ts.start_ts, ts.arrival_ts, ts.end_ts, ts.timesheet_code_id, ts.active, tc.code, tc.description,
-       tc.applicable_employee_type, tc.type
-FROM (
-  SELECT t.company_id, id, technician_id AS emp_id, 'Job' AS source, job_id, {local('created_on')} AS created_on,
-         {local('dispatched_on')} AS start_ts, {local('arrived_on')} AS arrival_ts, {local('done_on')} AS end_ts,
-         CAST(NULL AS BIGINT) AS timesheet_code_id, active
-  FROM d_timesheet t JOIN d_tenant z ON z.company_id = t.company_id WHERE active IS TRUE
-  UNION ALL
-  SELECT t.company_id, id, employee_id, 'Non-Job', CAST(NULL AS BIGINT), {local('created_on')}, {local('started_on')},
-         {local('created_on')}, {local('ended_on')}, timesheet_code_id, active
-  FROM d_non_job_timesheets t JOIN d_tenant z ON z.company_id = t.company_id WHERE active IS TRUE
-) ts
-LEFT JOIN ({PEOPLE}) emp ON ts.emp_id = emp.id AND ts.company_id = emp.company_id
-LEFT JOIN d_timesheet_code tc ON tc.id = ts.timesheet_code_id AND tc.company_id = ts.company_id
+{_entries("d_timesheet", "Job", "technician_id",
+          {"created_on": "created_on", "start_ts": "dispatched_on", "arrival_ts": "arrived_on", "end_ts": "done_on"},
+          "e.job_id, NULL::BIGINT AS timesheet_code_id, " + ", ".join(f"NULL::VARCHAR AS {c}" for c in _CODE_COLUMNS))}
+UNION ALL BY NAME
+{_entries("d_non_job_timesheets", "Non-Job", "employee_id",
+          {"created_on": "created_on", "start_ts": "started_on", "arrival_ts": "created_on", "end_ts": "ended_on"},
+          "NULL::BIGINT AS job_id, e.timesheet_code_id, " + ", ".join(f"{_of(c, 'd_timesheet_code', 'timesheet_code_id')} AS {c}" for c in _CODE_COLUMNS))}
 """
 
 DISPATCH = f"""
@@ -258,20 +265,25 @@ ORACLES: dict[str, str] = {
     "tech_dispatch_report": DISPATCH,
     "timesheet_summary": SUMMARY,
     "gross_pay_items": GROSS_PAY,
+    # The same with every lookup join on the split path
+    "timestamp_base_split": TIMESTAMP_BASE,
+    "job_technicians_split": JOB_TECHNICIANS,
+    "invoiced_items_split": INVOICED,
+    "sales_master_split": SALES_MASTER,
     # Reports with the published labels
     "invoiced_items_report": _relabelled(INVOICED, display.INVOICED_ITEMS),
     "sales_master_report": _relabelled(SALES_MASTER, display.SALES_MASTER_TRACKER),
     "tech_dispatch_labelled": _relabelled(DISPATCH, display.TECH_DISPATCH_REPORT),
     "timesheet_summary_labelled": _relabelled(SUMMARY, display.TECHNICIAN_TIMESHEET_SUMMARY),
-    "timestamp_base_sorted": f"{TIMESTAMP_BASE} ORDER BY source NULLS FIRST, emp_name NULLS FIRST",
+    "timestamp_base_sorted": f"SELECT * FROM ({TIMESTAMP_BASE}) x ORDER BY source NULLS FIRST, emp_name NULLS FIRST, id, company_id",
     "wip_appointments_sorted": f"SELECT * FROM ({WIP}) x ORDER BY job_id NULLS FIRST",
     # Parts of the jobs
     "past_appointments": PAST,
     "next_appointments": NEXT,
-    "split_technicians": f"""SELECT company_id, job_id, array_to_string(names, ', ') AS assigned_technicians_split,
-        pick AS pt_split_desc, max_split FROM ({SPLIT_SIDE}) x""",
-    "assigned_technicians": f"""SELECT company_id, job_id, array_to_string(names, ', ') AS assigned_technicians2,
-        pick AS primary_technician2, pick_split AS pt_appt_split FROM ({ASSIGNED_SIDE}) x""",
+    "split_technicians": f"""SELECT company_id, job_id, array_to_string(splitting, ', ') AS assigned_technicians_split,
+        largest AS pt_split_desc, largest_share AS max_split FROM ({TECHNICIANS}) x WHERE splitting IS NOT NULL""",
+    "assigned_technicians": f"""SELECT company_id, job_id, array_to_string(assigned, ', ') AS assigned_technicians2,
+        earliest AS primary_technician2, share_of_earliest AS pt_appt_split FROM ({TECHNICIANS}) x WHERE assigned IS NOT NULL""",
     "sold_hours_by_job": SOLD_HOURS,
     "invoice_total_by_job": INVOICE_TOTAL,
     "lead_invoice_total": f"""SELECT j.company_id, j.id AS lead_job_id, j.job_generated_lead_source_job_id AS job_id,
@@ -324,6 +336,10 @@ ORACLES: dict[str, str] = {
     "first_per_group": """SELECT l_orderkey, l_partkey, l_suppkey FROM (
         SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_quantity DESC NULLS LAST,
             l_shipdate NULLS FIRST, l_partkey, l_suppkey) AS rn FROM lineitem) x WHERE rn = 1""",
+    "first_nan": """SELECT l_orderkey, l_partkey, l_suppkey FROM (
+        SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY
+            CASE WHEN l_linenumber = 3 THEN 'NaN'::DOUBLE WHEN l_linenumber <> 5 THEN l_extendedprice END DESC NULLS LAST,
+            l_partkey, l_suppkey) AS rn FROM lineitem) x WHERE rn = 1""",
     "latest_per_group": """SELECT user_id, event_id, event_type FROM (
         SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC NULLS LAST, event_id) AS rn
         FROM events) x WHERE rn = 1""",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,21 +16,12 @@ from crewlens.plans import appointments, rollups, technicians, timesheets
 Query = Callable[[SparkSession, str], DataFrame]
 
 # Forces the split join on data of any size.
-SPLIT = JoinTuning(broadcast_bytes=-1, plain_bytes=-1, buckets=64, min_hot_rows=1)
+SPLIT = JoinTuning(broadcast_bytes=-1, buckets=64)
+SPLIT_PARAMS = replace(PARAMS, join=SPLIT)
 
 
-def _job(fn: Callable[[Sources, Params], DataFrame]) -> Query:
-    return lambda spark, sf_dir: fn(sources(spark, sf_dir), PARAMS)
-
-
-def lead_summary_by_parent(src: Sources, params: Params) -> DataFrame:
-    """Number of leads per parent and the names of who made them."""
-    leads = rollups.lead_jobs(src, params)
-    keys = ["company_id", "parent_job_id"]
-    counts = operators.rollup(leads, keys, {"lead_count": F.count("job_id")})
-    named = leads.where(F.col("technician_name").isNotNull())
-    names = operators.distinct_list(named, keys, functions.utrim(F.col("technician_name")), "created_by")
-    return counts.join(names, keys, "left")
+def _job(fn: Callable[[Sources, Params], DataFrame], params: Params = PARAMS) -> Query:
+    return lambda spark, sf_dir: fn(sources(spark, sf_dir), params)
 
 
 def _lookup(tuning: JoinTuning) -> Query:
@@ -55,6 +47,14 @@ def lookup_join_two_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return operators.lookup_join(splits, counts, keys, tuning=PARAMS.join)
 
 
+def first_nan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pick with a descending DOUBLE that is NaN, NULL or a number."""
+    price = F.when(F.col("l_linenumber") == 3, F.lit(float("nan"))).when(F.col("l_linenumber") != 5, F.col("l_extendedprice"))
+    lines = read(spark, sf_dir, "lineitem").withColumn("price", price)
+    order = [("price", "desc"), ("l_partkey", "asc"), ("l_suppkey", "asc")]
+    return operators.first_per_group(lines, ["l_orderkey"], order, ["l_partkey", "l_suppkey"])
+
+
 def hot_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     return operators.rollup(read(spark, sf_dir, "events"), ["user_id"], {"events": F.count(F.lit(1))})
 
@@ -283,6 +283,11 @@ QUERIES: dict[str, Query] = {
     "tech_dispatch_report": _job(plans.tech_dispatch_report),
     "timesheet_summary": _job(plans.technician_timesheet_summary),
     "gross_pay_items": _job(plans.gross_pay_items),
+    # The same with every lookup join on the split path
+    "timestamp_base_split": _job(plans.timestamp_base, SPLIT_PARAMS),
+    "job_technicians_split": _job(plans.job_technicians, SPLIT_PARAMS),
+    "invoiced_items_split": _job(plans.invoiced_items, SPLIT_PARAMS),
+    "sales_master_split": _job(plans.sales_master_tracker, SPLIT_PARAMS),
     # Reports with the published labels
     "invoiced_items_report": _job(display.invoiced_items),
     "sales_master_report": _job(display.sales_master_tracker),
@@ -303,7 +308,7 @@ QUERIES: dict[str, Query] = {
     "lead_sales_by_parent": _job(rollups.lead_sales_by_parent),
     "lead_ids_by_parent": _job(rollups.lead_ids_by_parent),
     "lead_jobs": _job(rollups.lead_jobs),
-    "lead_summary_by_parent": _job(lead_summary_by_parent),
+    "lead_summary_by_parent": _job(rollups.lead_summary_by_parent),
     "purchase_order_total_by_job": _job(rollups.purchase_order_total_by_job),
     "return_total_by_job": _job(rollups.return_total_by_job),
     "paid_hours_by_job": _job(timesheets.paid_hours_by_job),
@@ -312,6 +317,7 @@ QUERIES: dict[str, Query] = {
     "lookup_join_split": _lookup(SPLIT),
     "lookup_join_split_inner": lookup_join_split_inner,
     "lookup_join_two_keys": lookup_join_two_keys,
+    "first_nan": first_nan,
     "hot_users": hot_users,
     "merge_on_key": merge_on_key,
     "self_join": self_join,

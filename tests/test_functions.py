@@ -93,7 +93,7 @@ def test_local_time_follows_the_tenant(rows):
             (1, TS(2025, 1, 1, 3)),
             (2, TS(2025, 7, 1, 3)),
             (3, TS(2025, 1, 1, 3)),
-            (9, TS(2025, 1, 1, 3)),
+            (9, None),
             (1, None),
         ],
     )
@@ -108,6 +108,16 @@ def test_local_time_follows_the_tenant(rows):
     ]
 
 
+def test_a_time_of_an_unknown_tenant_is_an_error(spark, rows):
+    zones = {1: "America/Phoenix"}
+    for company in (9, None):
+        df = rows("company_id bigint, ts timestamp_ntz", [(1, TS(2025, 6, 1, 3)), (company, TS(2025, 6, 1, 3))])
+        args = (F.col("ts"), F.col("company_id"), zones)
+        for column in (fn.to_local(*args), fn.in_local_years(*args, 2024, 2025), fn.local_year_from(*args, 2024)):
+            with pytest.raises(Exception, match="no time zone for company_id"):
+                df.select(column.alias("x")).collect()
+
+
 def test_local_year_tests_agree_with_the_plain_year(spark):
     zones = {1: "America/Phoenix", 2: "Pacific/Kiritimati", 3: "Pacific/Pago_Pago"}
     hours = spark.range(0, 24 * 365 * 3, 1).select(

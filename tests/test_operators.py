@@ -6,7 +6,7 @@ from crewlens import operators as op
 from crewlens.params import JoinTuning
 
 # Every bucket with a row in it counts as hot, so that the split path takes part on tiny data.
-SPLIT = JoinTuning(broadcast_bytes=-1, plain_bytes=-1, buckets=64, min_hot_rows=1)
+SPLIT = JoinTuning(broadcast_bytes=-1, buckets=64)
 PICK = [("split", "desc"), ("created", "asc")]
 
 
@@ -95,7 +95,24 @@ def _fact(spark):
     )
 
 
-@pytest.mark.parametrize("how", ["left", "inner"])
+def _hot(df, keys=("k",)):
+    return op.HotKeys(df, [keys], SPLIT).of(keys)
+
+
+def _sizes(spark, df):
+    """Rows per task of a join whose sides are shuffled, with no help from adaptive execution."""
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "16"}
+    before = {name: spark.conf.get(name) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        return [r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
+@pytest.mark.parametrize("how", ["left", "inner", "left_semi"])
 @pytest.mark.parametrize("key_type", ["bigint", "int"])
 def test_split_join_equals_plain_join(spark, how, key_type):
     fact = _fact(spark)
@@ -105,33 +122,38 @@ def test_split_join_equals_plain_join(spark, how, key_type):
     plain, split = fact.join(lookup, ["k"], how), op.lookup_join(fact, lookup, ["k"], how, tuning=SPLIT)
     assert split.columns == plain.columns
     assert got(split) == got(plain)
-    assert op.hot_buckets(fact, ["k"], SPLIT).count() > 0
+    assert _hot(fact).count() > 0
 
 
-def test_split_join_spreads_the_hot_key(spark):
+@pytest.mark.parametrize("hot_key", [7, None])
+def test_a_hot_key_in_one_input_task_is_split(spark, hot_key):
+    """Half the rows on one key (a value, or NULL), all of them in one input partition."""
+    rows = [(hot_key, i) for i in range(2000)] + [(100 + i % 500, i) for i in range(2000)]
+    fact = spark.createDataFrame(rows, "k bigint, v bigint").coalesce(1)
+    lookup = spark.range(0, 600).select(F.col("id").alias("k"), F.lit("x").alias("name"))
+    split = op.lookup_join(fact, lookup, ["k"], "left", tuning=SPLIT)
+    sizes = _sizes(spark, split)
+    assert sum(sizes) == 4000 and max(sizes) <= 0.25 * sum(sizes)
+
+
+def test_equal_rows_of_one_key_are_split_by_task(spark):
+    fact = spark.range(0, 4000, 1, 8).select(F.lit(7).cast("bigint").alias("k"))
     lookup = spark.createDataFrame([(7, "x")], "k bigint, name string")
-    split = op.lookup_join(_fact(spark), lookup, ["k"], "inner", tuning=SPLIT)
-    hot = op.hot_buckets(_fact(spark), ["k"], SPLIT)
-    assert hot.agg(F.max("__splits")).first()[0] >= 20
-    # Neither side is broadcast and partitions stay as shuffled.
-    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
-    for name, value in settings.items():
-        spark.conf.set(name, value)
-    try:
-        sizes = [r["count"] for r in split.groupBy(F.spark_partition_id()).count().collect()]
-    finally:
-        for name in settings:
-            spark.conf.unset(name)
-    assert len(sizes) >= 3 and max(sizes) < 0.6 * sum(sizes)
+    sizes = _sizes(spark, op.lookup_join(fact, lookup, ["k"], "inner", tuning=SPLIT))
+    assert sum(sizes) == 4000 and max(sizes) <= 0.5 * sum(sizes)
 
 
-def test_hot_buckets_are_bounded(spark):
-    tuning = JoinTuning(buckets=64, min_hot_rows=1)
-    hot = op.hot_buckets(_fact(spark), ["k"], tuning).collect()
+def test_hot_keys_are_bounded_and_counted_once_for_several_joins(spark):
+    fact = _fact(spark)
+    both = op.HotKeys(fact, [("k",), ("v", "k")], SPLIT)
+    hot = both.of(["k"]).collect()
     assert 1 <= len(hot) <= 16
     assert sum(r["__splits"] for r in hot) <= 64 + len(hot)
+    assert sorted(map(tuple, hot)) == sorted(map(tuple, _hot(fact).collect()))
+    assert both.of(["v", "k"]).count() == _hot(fact, ("v", "k")).count()
     even = spark.range(64_000).withColumnRenamed("id", "k")
-    assert op.hot_buckets(even, ["k"], tuning).count() == 0
+    assert _hot(even).count() == 0
+    assert _hot(spark.createDataFrame([(1,)], "k bigint")).where("__splits > 1").count() == 0
 
 
 def test_lookup_join_broadcasts_only_small_lookups(spark):
@@ -141,10 +163,23 @@ def test_lookup_join_broadcasts_only_small_lookups(spark):
         joined = op.lookup_join(fact, lookup, ["k"], tuning=JoinTuning(**limits))
         return joined._jdf.queryExecution().optimizedPlan().toString()
 
-    assert "strategy=broadcast" in plan()
-    plain = plan(broadcast_bytes=-1)
-    assert "strategy=broadcast" not in plain and "__salt" not in plain
-    assert "__salt" in plan(broadcast_bytes=-1, plain_bytes=-1)
+    assert "strategy=broadcast" in plan() and "__salt" not in plan()
+    assert "__salt" in plan(broadcast_bytes=-1)
+
+
+@pytest.mark.parametrize("ddl, values", [
+    ("double", [1.0, float("nan"), None, -2.0, float("inf"), float("nan")]),
+    ("bigint", [1, -(2**63), None, 2**63 - 1, 0, -(2**63)]),
+    ("string", ["b", None, "", "a", "c", "a"]),
+])
+@pytest.mark.parametrize("way", ["asc", "desc"])
+def test_first_per_group_equals_top_one(spark, ddl, values, way):
+    rows = [(g, v, i) for g in range(6) for i, v in enumerate(values[g:] + [None] * (g == 5))]
+    df = spark.createDataFrame(rows, f"g bigint, v {ddl}, i bigint")
+    order = [("v", way), ("i", "asc")]
+    first = op.first_per_group(df, ["g"], order, ["i"])
+    top = op.top_n_per_group(df, ["g"], order, 1).select("g", "i")
+    assert got(first) == got(top)
 
 
 def test_lookup_join_rejects_other_joins(spark):

@@ -11,11 +11,13 @@ from checks.testbed import PARAMS, ZONES, sources
 from crewlens import Params, Sources, display, plans, publish
 from crewlens.params import JoinTuning
 from crewlens.plans import JOBS, rollups, technicians, timesheets
+from crewlens.plans.invoiced import invoiced_lines
+from crewlens.plans.sales_master import recent_jobs, sales_master_rows
 from crewlens.sources import SCHEMAS
 
 TODAY = dt.date(2025, 6, 15)
 P = Params(as_of=TODAY)
-SPLIT = JoinTuning(broadcast_bytes=-1, plain_bytes=-1, buckets=64, min_hot_rows=1)
+SPLIT = JoinTuning(broadcast_bytes=-1, buckets=64)
 
 
 def day(n):
@@ -376,6 +378,68 @@ def test_reports_are_sorted(spark):
     assert keys == sorted(keys)
 
 
+def test_all_sorted_reports_are_in_order(spark):
+    """Rows by the published key, then by ids; NULLs come first."""
+    src = sources(spark, SF)
+
+    def key(row):
+        return [(v is not None, v if v is not None else 0) for v in row]
+
+    hidden = invoiced_lines(src, PARAMS)
+    by_job = {(r[0], r[1]): r[2] for r in hidden.select("company_id", "job_number", "completed_on").collect()}
+    lines = display.invoiced_items(src, PARAMS).select("company_id", "`Job #`").collect()
+    starts = {(r[0], r[1]): r[2] for r in sales_master_rows(src, PARAMS).select("company_id", "invoice_number", "first_appointment").collect()}
+    master = display.sales_master_tracker(src, PARAMS).select("company_id", "`Invoice #`").collect()
+    for found in (
+        [(by_job[tuple(r)], int(r[1])) for r in lines],
+        [(starts[tuple(r)], r[1], r[0]) for r in master],
+        display.timestamp_base(src, PARAMS).select("source", "emp_name", "id", "company_id").collect(),
+        display.wip_appointments(src, PARAMS).select("job_id", "company_id").collect(),
+        display.tech_dispatch_report(src, PARAMS).select("`Timesheet Activity Date`", "Name", "`Start Time`", "`Job Number`").collect(),
+    ):
+        keys = [key(r) for r in found]
+        assert len(keys) > 1 and keys == sorted(keys)
+
+
+def test_publishing_one_tenant_keeps_the_others(spark):
+    src, table = sources(spark, SF), "published_people"
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    try:
+        publish.write_table(spark, plans.technicians_employees(src), table)
+        before = got(spark.table(table))
+        one = plans.technicians_employees(src.for_company(2)).withColumn("name", F.lit("new"))
+        publish.write_table(spark, one, table, "Second")
+        after = spark.table(table)
+        assert got(after.where("company_id <> 2")) == [r for r in before if r[after.columns.index("company_id")] != 2]
+        assert [r[0] for r in after.where("company_id = 2").select("name").distinct().collect()] == ["new"]
+        with pytest.raises(ValueError):
+            publish.write_table(spark, one.drop("name"), table)
+        publish.write_table(spark, one, table, replace_all=True)
+        assert spark.table(table).select("company_id").distinct().count() == 1
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+
+
+def test_job_technicians_sorts_no_pairs(spark):
+    src = sources(spark, SF)
+    plan = technicians._pairs(technicians._facts(src, True), True)._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "HashAggregate" in plan
+    split = technicians.split_technicians(src, PARAMS)._jdf.queryExecution().optimizedPlan().toString()
+    assert "assigned_on" not in split.split("is_assignment")[0]
+
+
+def test_recent_jobs_reach_the_scan_and_hold_all_that_pass(spark, tmp_path):
+    src = sources(spark, SF)
+    recent = recent_jobs(src, PARAMS)
+    keys = {tuple(r) for r in recent.select("company_id", "job_id").collect()}
+    master = plans.sales_master_tracker(src, PARAMS).select("company_id", "invoice_number").collect()
+    assert {tuple(r) for r in master} <= keys
+    src.table("appointment").write.partitionBy("company_id").parquet(f"{tmp_path}/appointment")
+    stored = recent_jobs(Sources.from_parquet(spark, str(tmp_path), ZONES), PARAMS)
+    assert {tuple(r) for r in stored.select("company_id", "job_id").collect()} == keys
+    assert "GreaterThanOrEqual(start" in stored._jdf.queryExecution().executedPlan().toString()
+
+
 def test_views_and_tables(spark):
     src = sources(spark, SF)
     views = publish.register_all(src, PARAMS)
