@@ -311,6 +311,9 @@ ORACLES: dict[str, str] = {
     "return_total_by_job": f"""SELECT company_id, job_id, {money('sum(return_amount)')} AS returns_amount_total
         FROM d_return GROUP BY company_id, job_id""",
     "paid_hours_by_job": PAID_HOURS,
+    # The packaged readers, over tables written from the test tables
+    "people_partitioned": PEOPLE,
+    "people_tenant_roots": PEOPLE,
     # Operators on the test tables as they are
     "lookup_join": """SELECT l_orderkey, l_linenumber, l_partkey, l_extendedprice, p_name, p_brand
         FROM lineitem LEFT JOIN part ON p_partkey = l_partkey""",

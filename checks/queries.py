@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
 from dataclasses import replace
 
@@ -24,6 +26,31 @@ def _job(fn: Callable[[Sources, Params], DataFrame], params: Params = PARAMS) ->
     return lambda spark, sf_dir: fn(sources(spark, sf_dir), params)
 
 
+def _stored(spark: SparkSession) -> str:
+    """A new folder for tables that a query writes first: in the shared one, if the cluster names it."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    return f"{shared.rstrip('/')}/readers-{uuid.uuid4().hex}" if shared else tempfile.mkdtemp(prefix="readers-")
+
+
+def people_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The people, read from one partitioned dataset per table."""
+    root, src = _stored(spark), sources(spark, sf_dir)
+    for name in ("technician", "employee"):
+        src.table(name).write.mode("overwrite").partitionBy("company_id").parquet(f"{root}/{name}")
+    return plans.technicians_employees(Sources.from_parquet(spark, root, ZONES))
+
+
+def people_tenant_roots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The people, read from one directory of tables per tenant."""
+    root, src = _stored(spark), sources(spark, sf_dir)
+    for name in ("technician", "employee"):
+        for cid in ZONES:
+            tenant = src.for_company(cid).table(name).drop("company_id")
+            tenant.write.mode("overwrite").parquet(f"{root}/tenant {cid}/{name}")
+    roots = {cid: f"{root}/tenant {cid}" for cid in ZONES}
+    return plans.technicians_employees(Sources.from_tenant_roots(spark, roots, ZONES))
+
+
 def _lookup(tuning: JoinTuning) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         lines = read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice")
@@ -312,6 +339,9 @@ QUERIES: dict[str, Query] = {
     "purchase_order_total_by_job": _job(rollups.purchase_order_total_by_job),
     "return_total_by_job": _job(rollups.return_total_by_job),
     "paid_hours_by_job": _job(timesheets.paid_hours_by_job),
+    # The packaged readers, over tables written from the test tables
+    "people_partitioned": people_partitioned,
+    "people_tenant_roots": people_tenant_roots,
     # Operators on the test tables as they are
     "lookup_join": _lookup(PARAMS.join),
     "lookup_join_split": _lookup(SPLIT),
