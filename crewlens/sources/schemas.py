@@ -47,6 +47,7 @@ def _cols(names: list[str], data_type: str) -> str:
     return ", ".join(f"{n} {data_type}" for n in names)
 
 
+# Table and column names.
 SCHEMAS: dict[str, str] = {
     "job": "id BIGINT, job_number STRING, job_type_id BIGINT, business_unit_id BIGINT, customer_id BIGINT, "
     "project_id BIGINT, sold_by_id BIGINT, completed_on TIMESTAMP_NTZ, job_status STRING, "
