@@ -9,15 +9,23 @@ sure to share two cells with every partner; that is where a document is replicat
 
 Regions. Inside a cell (region) a document becomes the pivot, and only the distances of the others to it are
 computed: a star, not all pairs. Members within the threshold of it are one component and need no comparison with each
-other. Regions that still hold several components recur: a large one is split by the second shared cell, a small one
-compares members of different components whose sizes and whose distances to the region's pivot lie within the triangle
-inequality's window. So all components are exact, and a group of copies costs as many comparisons as it has members.
+other. Regions that still hold several components recur. A small one compares members of different components. A large
+one takes as pivot the member that shares cells with most others (the text that edited copies go back to), and
+members are compared with it. Two members x, y that have a, b shingles in common with the pivot share at most min(a, b)
+shingles inside it; so either that is enough for a link, and their distances to the pivot lie within the triangle
+inequality's window, or they share a shingle outside the pivot. The first are few and are found by sizes; for the others, what
+lies outside the pivot is joined by windows again, in regions of its own. So all components are exact, and a group of
+copies costs as many comparisons as it has members.
 
 The global order only needs to be the same for all documents; it ranks shingles by how often blocks of documents repeat
 them (a bounded table of the most repeated ones), which keeps common passages out of the windows. Hot cells:
 a block of documents sends at most `dense` members of a cell to the cell's home; the rest stay with a pivot of their
 block, in a range that depends on the block.
 
+Comparing. Counting a set's shingles in 256 parts of the hash space maps it to a vector, and the sum of differences
+of two vectors is never more than the number of shingles that only one set holds. Candidates whose vectors are too far
+apart cannot be linked and go before any set is read; the others are compared set against set.
+
 Sets and shingles are 64-bit hashes. Documents with equal sets are one node. Defined cases: null texts and texts without
 words have the empty set, link with nothing and are their own component; rows without doc_id take no part and get a null
 component; repeated rows are linked like other copies.
@@ -31,7 +39,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from crewlens.llm.graph import best_per, components
@@ -43,6 +51,7 @@ MATCH, OF = 75, 100  # the least similarity is MATCH / OF
 HOT = 1 << 16
 DENSE = 32
 REGION = 64
+PARTS = 256
 
 
 class Sets:
@@ -69,6 +78,12 @@ class Sets:
         self.size = np.bincount(self.owner, minlength=words.size)
         self.first = np.concatenate([[0], np.cumsum(self.size)])
 
+    def vectors(self) -> np.ndarray:
+        """Shingles of each text in each part of the hash space, at most 255."""
+        part = (self.hash >> np.uint64(56)).astype(np.int64)
+        counts = np.bincount(self.owner * PARTS + part, minlength=len(self.size) * PARTS)
+        return np.minimum(counts, 255).astype(np.uint8).reshape(-1, PARTS)
+
     def nodes(self) -> np.ndarray:
         """A hash of each text's set."""
         sums = np.zeros(len(self.hash) + 1, np.uint64)
@@ -85,21 +100,30 @@ def _nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for a, b, words in slices(batch.column("text"), lower=True):
             sets = Sets(words)
-            arrays = [batch.column("doc_id").slice(a, b - a), pa.array(sets.size, pa.int64()), pa.array(sets.nodes())]
-            yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "n_shingles", "node"])
+            vectors = pa.array([v.tobytes() for v in sets.vectors()], pa.binary())
+            arrays = [batch.column("doc_id").slice(a, b - a), pa.array(sets.size, pa.int64()), pa.array(sets.nodes()), vectors]
+            yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "n_shingles", "node", "vector"])
 
 
 def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Shingles that several sets of one block hold."""
+    """Shingles that several sets of one block hold (some MB of text)."""
+    held, size = [], 0
+
+    def counted() -> pa.RecordBatch:
+        keys, n = np.unique(np.concatenate([*held, np.empty(0, np.uint64)]), return_counts=True)
+        many = n >= 4
+        return pa.RecordBatch.from_arrays([pa.array(keys[many].view(np.int64)), pa.array(n[many], pa.int64())], ["key", "n"])
+
     for batch in batches:
-        held = []
         for _, _, words in slices(batch.column("text"), lower=True):
             sets = Sets(words)
             _, once = np.unique(sets.nodes(), return_index=True)
             held.append(sets.hash[np.isin(sets.owner, once)])
-        keys, n = np.unique(np.concatenate([*held, np.empty(0, np.uint64)]), return_counts=True)
-        many = n >= 4
-        yield pa.RecordBatch.from_arrays([pa.array(keys[many].view(np.int64)), pa.array(n[many], pa.int64())], ["key", "n"])
+            size += len(held[-1])
+            if size >= 1 << 20:
+                yield counted()
+                held, size = [], 0
+    yield counted()
 
 
 def hot_shingles(docs: DataFrame, most: int = HOT) -> tuple[np.ndarray, np.ndarray]:
@@ -239,6 +263,18 @@ def _sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(sets.nodes()), pa.array(raw, pa.binary())], ["node", "hashes"])
 
 
+def _near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs whose vectors do not rule out a link: at most a seventh of both sizes may be in one set only."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, PARTS).astype(np.int32) for c in ("x", "y"))
+        apart = np.abs(x - y).sum(1)
+        both = batch.column("n").to_numpy() + batch.column("m").to_numpy()
+        keep = apart * (MATCH + OF) <= both * (OF - MATCH)
+        yield batch.select(["a", "b"]).filter(pa.array(keep))
+
+
 def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         shared, union = [], []
@@ -255,66 +291,118 @@ class _Comparer:
 
     def __init__(self, docs: DataFrame, rows: DataFrame):
         self.docs, self.rows = docs, rows
+        self.nodes = written(rows.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"), F.first("vector").alias("vector")), "nodes")
 
     def __call__(self, pairs: DataFrame) -> DataFrame:
         """a, b, shared and together for the pairs (a, b) of nodes."""
-        pairs = written(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct(), "pairs")
-        nodes = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-        # One document for each node. Few of them are sent to the texts; many are joined by shuffle.
-        ids = written(self.rows.join(nodes, "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("doc_id")).select("doc_id").distinct(), "wanted")
-        sets = self.docs.join(sized(ids), "doc_id", "left_semi").select("text").mapInArrow(_sets_of, "node long, hashes binary")
-        sets = sets.join(nodes, "node", "left_semi").dropDuplicates(["node"])
+        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct()
+        one = self.nodes.select(F.col("node").alias("a"), "n", F.col("vector").alias("x"))
+        two = self.nodes.select(F.col("node").alias("b"), F.col("n").alias("m"), F.col("vector").alias("y"))
+        pairs = written(pairs.join(one, "a").join(two, "b").mapInArrow(_near, "a long, b long"), "pairs")
+        sets = self.sets(pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct())
         both = pairs.join(sets.select(F.col("node").alias("a"), F.col("hashes").alias("x")), "a").join(sets.select(F.col("node").alias("b"), F.col("hashes").alias("y")), "b")
         return written(both.mapInArrow(_compared, "a long, b long, shared long, together long"), "distances")
 
+    def sets(self, nodes: DataFrame) -> DataFrame:
+        """node and its shingles, for some nodes: one document is read for each. Few ids are sent to the texts; many
+        are joined by shuffle."""
+        ids = written(self.nodes.join(nodes, "node", "left_semi").select("doc_id").distinct(), "wanted")
+        found = self.docs.join(sized(ids), "doc_id", "left_semi").select("text").mapInArrow(_sets_of, "node long, hashes binary")
+        return found.join(nodes, "node", "left_semi").dropDuplicates(["node"])
+
 
 def _linked(distances: DataFrame) -> DataFrame:
     return distances.where(F.col("shared") * OF >= F.col("together") * MATCH).select("a", "b")
 
 
-def _fits(n: str, m: str) -> F.Column:
+def _fits(n: str, m: str) -> Column:
     """Whether sets of these sizes can be similar enough."""
     return F.least(n, m) * OF >= F.greatest(n, m) * MATCH
 
 
-def _rest(members: DataFrame, roots: DataFrame, distances: DataFrame) -> DataFrame:
-    """Pairs of members of one region in different components that may still be linked."""
-    root = F.coalesce("root", "node").alias("root")
-    named = members.select("key", "node", "n").distinct().join(roots, "node", "left").select("key", "node", "n", root)
-    mixed = named.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("members")).where("low < high")
-    open_ = written(named.join(mixed.select("key", "members"), "key"), "open-regions")
-
-    def pairs(regions: DataFrame, keys: list[str]) -> DataFrame:
-        other = regions.select(*keys, *(F.col(c).alias(f"{c}2") for c in ("node", "n", "root")))
-        return regions.join(other, keys).where((F.col("node") < F.col("node2")) & (F.col("root") != F.col("root2")) & _fits("n", "n2")).select(F.col("node").alias("a"), F.col("node2").alias("b"))
-
-    small = open_.where(F.col("members") <= REGION).drop("members")
-    large = open_.where(F.col("members") > REGION).drop("members")
-    # A partner shares a second cell: split large regions by it. Only cells of open regions can be that second one.
-    second = open_.select("node", F.col("key").alias("key2"))
-    split = large.join(second, "node").where("key < key2")
-    found = pairs(small, ["key"]).unionByName(pairs(split, ["key", "key2"])).distinct()
-    # The triangle inequality, by the distances to pivots that both were compared with.
-    to = distances.select(F.col("a").alias("pivot"), F.col("b").alias("node"), (1 - F.col("shared") / F.col("together")).alias("far"))
-    to = to.unionByName(distances.select(F.col("b").alias("pivot"), F.col("a").alias("node"), (1 - F.col("shared") / F.col("together")).alias("far")))
-    apart = (
-        found.join(to.select(F.col("node").alias("a"), "pivot", "far"), "a")
-        .join(to.select(F.col("node").alias("b"), "pivot", F.col("far").alias("far2")), ["b", "pivot"])
-        .where(F.abs(F.col("far") - F.col("far2")) > 1 - MATCH / OF + 1e-9)
-        .select("a", "b")
-        .distinct()
-    )
-    return found.join(apart, ["a", "b"], "left_anti")
-
-
-def jaccard_components(docs: DataFrame, ranges: int | None = None, block_bytes: int = 8 << 20) -> DataFrame:
+def _open_regions(members: DataFrame, roots: DataFrame, keys: list[str]) -> DataFrame:
+    """Members of the regions that hold several components, with their roots and the regions' sizes."""
+    named = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    mixed = named.groupBy(*keys).agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("members")).where("low < high")
+    return named.join(mixed.select(*keys, "members"), keys)
+
+
+def _pairs(regions: DataFrame, keys: list[str], *more: str, when: Column | None = None) -> DataFrame:
+    """Members of different components whose sizes allow a link."""
+    other = regions.select(*keys, *(F.col(c).alias(f"{c}2") for c in ("node", "n", "root", *more)))
+    fits = (F.col("node") < F.col("node2")) & (F.col("root") != F.col("root2")) & _fits("n", "n2")
+    both = regions.select(*keys, "node", "n", "root", *more).join(other, keys).where(fits if when is None else fits & when)
+    return both.select(F.col("node").alias("a"), F.col("node2").alias("b")).distinct()
+
+
+def _outside(hot: np.ndarray, ranks: np.ndarray):
+    """What a member shares with its pivot, and the window of its shingles outside the pivot: a partner that cannot do with
+    what both have inside shares one of these."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            shared, keys = [], []
+            for x, y in zip(batch.column("x"), batch.column("y"), strict=True):
+                own, pivot = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
+                rest = np.setdiff1d(own, pivot, assume_unique=True)
+                inside = len(own) - len(rest)
+                rank = np.zeros(len(rest), np.int64)
+                if len(hot):
+                    at = np.minimum(np.searchsorted(hot, rest), len(hot) - 1)
+                    rank = np.where(hot[at] == rest, ranks[at], 0)
+                need = max(1, -(-MATCH * len(own) // OF) - inside)
+                keys.append(rest[np.lexsort((rest, rank))][: max(0, len(rest) - need + 1)].view(np.int64))
+                shared.append(inside)
+            cuts = np.cumsum([0, *map(len, keys)])
+            lists = pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(np.concatenate([*keys, np.empty(0, np.int64)])))
+            columns = [batch.column(c) for c in ("node", "pivot", "n", "m")]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(shared, pa.int64()), lists], ["node", "pivot", "n", "m", "inside", "outside"])
+
+    return run
+
+
+def _split_by_pivot(large: DataFrame, compare: _Comparer, hot: np.ndarray, ranks: np.ndarray) -> DataFrame:
+    """node, pivot, sizes n and m, inside, outside: the members of large regions against their regions' pivots."""
+    degree = large.groupBy("node").agg(F.sum("members").alias("degree"))
+    pivots = large.join(degree, "node").groupBy("key").agg(F.max(F.struct("degree", "node"))["node"].alias("pivot"))
+    groups = written(large.select("key", "node").join(pivots, "key").select("node", "pivot").distinct(), "pivot-groups")
+    sizes = compare.nodes.select("node", "n")
+    sets = compare.sets(groups.select("node").unionByName(groups.select(F.col("pivot").alias("node"))).distinct())
+    sets = sets.join(sizes, "node")
+    both = groups.join(sets.withColumnRenamed("hashes", "x"), "node").join(sets.select(F.col("node").alias("pivot"), F.col("hashes").alias("y"), F.col("n").alias("m")), "pivot")
+    return written(both.select("node", "pivot", "n", "m", "x", "y").mapInArrow(_outside(hot, ranks), "node long, pivot long, n long, m long, inside long, outside array<long>"), "inside-pivots")
+
+
+def _last_links(members: DataFrame, roots: DataFrame, links: DataFrame, compare: _Comparer, hot: np.ndarray, ranks: np.ndarray) -> DataFrame:
+    """The links that stars have not shown, so far as they join components."""
+    open_ = written(_open_regions(members.select("key", "node", "n").distinct(), roots, ["key"]), "open-regions")
+    found = _pairs(open_.where(F.col("members") <= REGION), ["key"])
+    large = open_.where(F.col("members") > REGION)
+    if large.isEmpty():
+        return _linked(compare(found))
+    inside = _split_by_pivot(large, compare, hot, ranks)
+    near = inside.where("node <> pivot").where(F.col("inside") * OF >= (F.col("n") + F.col("m") - F.col("inside")) * MATCH)
+    near = near.select(F.col("node").alias("a"), F.col("pivot").alias("b"))
+    roots = written(components(links.unionByName(near), "roots"), "roots")
+    far = 1 - F.col("inside") / (F.col("n") + F.col("m") - F.col("inside"))
+    named = inside.withColumn("far", far).join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    window = F.abs(F.col("far") - F.col("far2")) <= 1 - MATCH / OF + 1e-9
+    enough = F.least("inside", "inside2") * (MATCH + OF) >= (F.col("n") + F.col("n2")) * MATCH
+    by_size = _pairs(named.drop("outside"), ["pivot"], "inside", "far", when=window & enough)
+    outside = inside.withColumn("far", far).select("pivot", "node", "n", "far", F.explode("outside").alias("key"))
+    regions = _open_regions(outside, roots, ["pivot", "key"])
+    found = found.unionByName(by_size).unionByName(_pairs(regions, ["pivot", "key"], "far", when=window)).distinct()
+    return near.unionByName(_linked(compare(found)))
+
+
+def jaccard_components(docs: DataFrame, ranges: int | None = None, block_bytes: int = 6 << 20) -> DataFrame:
     """doc_id, n_shingles, component_id per row of `docs` (doc_id, text)."""
     spark = docs.sparkSession
     if ranges is None:
         ranges = 1 << max(0, math.ceil(math.log2(int(spark.conf.get("spark.sql.shuffle.partitions")))))
     kind = docs.schema["doc_id"].dataType.simpleString()
     docs = docs.select("doc_id", "text")
-    rows = written(docs.mapInArrow(_nodes, f"doc_id {kind}, n_shingles long, node long"), "sets")
+    rows = written(docs.mapInArrow(_nodes, f"doc_id {kind}, n_shingles long, node long, vector binary"), "sets")
     known = rows.where("n_shingles > 0 AND doc_id IS NOT NULL")
     usable = docs.where("doc_id IS NOT NULL AND text IS NOT NULL")
 
@@ -328,18 +416,17 @@ def jaccard_components(docs: DataFrame, ranges: int | None = None, block_bytes:
     edges = written(edges, "stars")
     compare = _Comparer(usable, known)
     first = best_per(edges, "node", F.desc("count"), "pivot")
-    distances = compare(first.select(F.col("node").alias("a"), F.col("pivot").alias("b")))
-    links = _linked(distances)
+    links = _linked(compare(first.select(F.col("node").alias("a"), F.col("pivot").alias("b"))))
     roots = components(links, "roots")
 
     apart = edges.join(roots, "node", "left").withColumnRenamed("root", "one").join(roots.select(F.col("node").alias("pivot"), F.col("root").alias("two")), "pivot", "left")
     apart = apart.where(~F.coalesce(F.col("one") == F.col("two"), F.lit(False))).select(F.col("node").alias("a"), F.col("pivot").alias("b"))
     more = compare(apart.join(first.select(F.col("node").alias("a"), F.col("pivot").alias("b")), ["a", "b"], "left_anti"))
-    distances, links = distances.unionByName(more), links.unionByName(_linked(more))
+    links = links.unionByName(_linked(more))
     roots = written(components(links, "roots"), "roots")
 
-    last = compare(_rest(members, roots, distances))
-    roots = components(links.unionByName(_linked(last)), "roots")
+    last = _last_links(members, roots, links, compare, hot, ranks)
+    roots = components(links.unionByName(last), "roots")
 
     least = known.groupBy("node").agg(F.min("doc_id").alias("least")).join(roots, "node", "left")
     least = least.withColumn("root", F.coalesce("root", "node"))

@@ -12,8 +12,8 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 
-_BASE = np.uint64(0x9E6C63D0876A9A47)
-_INVERSE = np.uint64(pow(0x9E6C63D0876A9A47, -1, 1 << 64))
+BASE = np.uint64(0x9E6C63D0876A9A47)
+INVERSE = np.uint64(pow(0x9E6C63D0876A9A47, -1, 1 << 64))
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
 _PIECE = 1 << 18
 
@@ -42,7 +42,7 @@ def _powers() -> tuple[np.ndarray, np.ndarray]:
         x[0] = 1
         return np.cumprod(x, dtype=np.uint64)
 
-    return table(_BASE), table(_INVERSE)
+    return table(BASE), table(INVERSE)
 
 
 def runs(solid: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -87,7 +87,7 @@ class Words:
                 for i in range(at, to, _PIECE):
                     part = data[i : min(i + _PIECE, to)].astype(np.uint64) + np.uint64(1)
                     total += int(np.sum(part * power[: len(part)], dtype=np.uint64)) * place
-                    place = place * pow(int(_BASE), len(part), 1 << 64) % (1 << 64)
+                    place = place * pow(int(BASE), len(part), 1 << 64) % (1 << 64)
                 out[k] = np.uint64(total % (1 << 64))
             k = stop
         return mix(out ^ (length * _ODD[0]))
