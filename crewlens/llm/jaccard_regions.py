@@ -301,7 +301,7 @@ class _Comparer:
         pairs = written(pairs.join(one, "a").join(two, "b").mapInArrow(_near, "a long, b long"), "pairs")
         sets = self.sets(pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct())
         both = pairs.join(sets.select(F.col("node").alias("a"), F.col("hashes").alias("x")), "a").join(sets.select(F.col("node").alias("b"), F.col("hashes").alias("y")), "b")
-        return written(both.mapInArrow(_compared, "a long, b long, shared long, together long"), "distances")
+        return written(both.mapInArrow(_compared, "a long, b long, shared long, together long"), "distances", 256)
 
     def sets(self, nodes: DataFrame) -> DataFrame:
         """node and its shingles, for some nodes: one document is read for each. Few ids are sent to the texts; many
@@ -370,7 +370,7 @@ def _split_by_pivot(large: DataFrame, compare: _Comparer, hot: np.ndarray, ranks
     sets = compare.sets(groups.select("node").unionByName(groups.select(F.col("pivot").alias("node"))).distinct())
     sets = sets.join(sizes, "node")
     both = groups.join(sets.withColumnRenamed("hashes", "x"), "node").join(sets.select(F.col("node").alias("pivot"), F.col("hashes").alias("y"), F.col("n").alias("m")), "pivot")
-    return written(both.select("node", "pivot", "n", "m", "x", "y").mapInArrow(_outside(hot, ranks), "node long, pivot long, n long, m long, inside long, outside array<long>"), "inside-pivots")
+    return written(both.select("node", "pivot", "n", "m", "x", "y").mapInArrow(_outside(hot, ranks), "node long, pivot long, n long, m long, inside long, outside array<long>"), "inside-pivots", 256)
 
 
 def _last_links(members: DataFrame, roots: DataFrame, links: DataFrame, compare: _Comparer, hot: np.ndarray, ranks: np.ndarray) -> DataFrame:
@@ -402,13 +402,13 @@ def jaccard_components(docs: DataFrame, ranges: int | None = None, block_bytes:
         ranges = 1 << max(0, math.ceil(math.log2(int(spark.conf.get("spark.sql.shuffle.partitions")))))
     kind = docs.schema["doc_id"].dataType.simpleString()
     docs = docs.select("doc_id", "text")
-    rows = written(docs.mapInArrow(_nodes, f"doc_id {kind}, n_shingles long, node long, vector binary"), "sets")
+    rows = written(docs.mapInArrow(_nodes, f"doc_id {kind}, n_shingles long, node long, vector binary"), "sets", 1024)
     known = rows.where("n_shingles > 0 AND doc_id IS NOT NULL")
     usable = docs.where("doc_id IS NOT NULL AND text IS NOT NULL")
 
     hot, ranks = hot_shingles(usable)
     sent = usable.select("text", F.spark_partition_id().alias("part")).mapInArrow(_windows(ranges, hot, ranks, block_bytes), PACKED)
-    members = written(sent.groupBy("range").applyInArrow(_regions, MEMBERS), "members")
+    members = written(sent.groupBy("range").applyInArrow(_regions, MEMBERS), "members", 1024)
 
     # Stars: first the pivot that a node shares most cells with, then the others it is not yet connected to.
     sizes = known.select("node", F.col("n_shingles").alias("n")).distinct()

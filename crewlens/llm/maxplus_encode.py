@@ -53,12 +53,12 @@ class Lattice:
         self.bytes = np.full(256, -1, np.int32)
         self.names = [model.id_to_piece(i) for i in range(size)]
         self.pieces: dict[str, tuple[float, int]] = {}
-        self.silent = set()
+        silent = set()
         for i, name in enumerate(self.names):
             if model.is_byte(i):
                 self.bytes[int(name[3:5], 16)] = i
             elif model.is_control(i) or model.is_unknown(i):
-                self.silent.add(i)
+                silent.add(i)
             elif not model.is_unused(i):
                 self.pieces[name] = model.get_score(i), i
         self.longest = max(map(len, self.pieces))
@@ -66,7 +66,8 @@ class Lattice:
         for name in self.pieces:
             if MARK in name.lstrip(MARK):
                 raise ValueError(f"piece {name!r} goes beyond a space mark")
-        self.byte_of = {int(i): b for b, i in enumerate(self.bytes) if i >= 0}
+        byte_of = {int(i): bytes([b]) for b, i in enumerate(self.bytes) if i >= 0}
+        self.raw = [b"" if i in silent else byte_of.get(i, name.encode()) for i, name in enumerate(self.names)]
         self._table()
 
     def _table(self) -> None:
@@ -220,12 +221,7 @@ class Lattice:
         return np.concatenate([ids, np.array(end, np.int32)]), float(scores.sum()) + score
 
     def decode(self, ids: list[int], first: bool) -> str:
-        raw = bytearray()
-        for i in ids:
-            if i in self.byte_of:
-                raw.append(self.byte_of[i])
-            elif i not in self.silent:
-                raw += self.names[i].encode()
+        raw = b"".join(map(self.raw.__getitem__, ids))
         text = raw.decode("utf-8", "replace").replace(MARK, " ")
         return text[1:] if first and text.startswith(" ") else text
 

@@ -20,11 +20,19 @@ def shared_dir(spark: SparkSession) -> str:
     return found
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """The rows written once as Parquet to the shared folder and read back: lineage ends there."""
+def written(df: DataFrame, name: str, batch: int | None = None) -> DataFrame:
+    """The rows written once as Parquet to the shared folder and read back: lineage ends there. `batch`: rows that a
+    Python function gets at a time, fewer than Spark's default where rows are large."""
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(setting)
+    if batch:
+        spark.conf.set(setting, str(batch))
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(setting, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
