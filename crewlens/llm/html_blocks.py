@@ -1,11 +1,13 @@
 """Main text of web pages by line-block distribution.
 
-Markup is stripped into lines: every block element starts one, and what sits in menus, page headers, footers, sidebars,
-forms, adverts, notices, comments and code leaves an empty line behind. Where a page names its article (`article` or
-`main` with text in it), lines outside it are empty as well. Then the lengths of lines are summed over windows of
-`width` lines. A surge is a line whose window rises from nothing; a dive is where the windows fall back to nothing
-(`width` empty lines in a row). The text between a surge and its dive is one region. All regions of a named article are
-kept; of other pages the heaviest one and those with a `share` of its length, whose text is not mostly links.
+Markup is stripped into lines: every block element starts one, and adjacent block tags are one break. What sits in menus,
+page headers, footers, sidebars, forms, adverts, notices, comments and code leaves an empty line behind for each of its blocks, and so
+does a rule. Lengths of lines, none for lines mostly of links outside headings, are summed over windows of `width` lines. A surge is a
+line whose window rises from nothing; a dive is where the windows fall back to nothing (`width` such lines in a row). The
+text between a surge and its dive is one region; what a page names its article (`article` or `main`) and what lies outside it have
+regions of their own. The heaviest region and those with a `share` of its length stay, and small ones between two that stay.
+An article counts as a whole: all its regions stay, and others only if they outweigh it, unless it is
+less than a `share` of the heaviest region outside it.
 
 Defined cases: null and empty pages, and pages without text, give the empty string; an element that never closes reaches
 to the end, but an article opens even inside an unclosed menu or page header; repeated rows give repeated results.
@@ -137,15 +139,25 @@ def regions(lengths: np.ndarray, width: int) -> list[tuple[int, int]]:
 
 def main_text(page: str | None, width: int = 3, share: float = 0.25) -> str:
     lines, named = lines_of(page or "")
-    texts = [text if inside or not named else "" for text, inside, _ in lines]
-    found = regions(np.array([len(t) for t in texts], np.int64), width)
-    if not named and found:
-        weight = [sum(len(t) for t in texts[a:b]) for a, b in found]
-        links = [sum(x[2] for x in lines[a:b]) for a, b in found]
-        prose = [i for i in range(len(found)) if links[i] * 2 <= weight[i]] or range(len(found))
-        most = max(weight[i] for i in prose)
-        found = [found[i] for i in prose if weight[i] >= share * most]
-    return "\n\n".join(t for a, b in found for t in texts[a:b] if t)
+    size = np.array([len(t) for t, _, _ in lines], np.int64)
+    prose = np.where(np.array([x[2] for x in lines], np.int64) * 2 > size, 0, size)
+    length = prose if prose.any() else size  # a page of links alone is its own text
+    inside = np.array([x[1] for x in lines], bool)
+    bounds = [0, *(np.flatnonzero(inside[1:] != inside[:-1]) + 1).tolist(), len(lines)]
+    found = [(a + x, a + y) for a, b in zip(bounds[:-1], bounds[1:], strict=True) for x, y in regions(length[a:b], width)]
+    if not found:
+        return ""
+    weight = np.array([length[a:b].sum() for a, b in found])
+    within = np.array([inside[a] for a, _ in found])
+    article = weight[within].sum()
+    most = weight[~within].max(initial=0)
+    if named and article and article >= share * most:
+        stays = within | (weight >= article)
+    else:
+        stays = ~within & (weight >= share * most)
+        at = np.flatnonzero(stays)
+        stays[at[0] : at[-1] + 1] |= ~within[at[0] : at[-1] + 1]
+    return "\n\n".join(t for (a, b), stay in zip(found, stays.tolist(), strict=True) if stay for t, _, _ in lines[a:b] if t)
 
 
 def _extract(width: int, share: float):

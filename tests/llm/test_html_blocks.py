@@ -72,3 +72,19 @@ def test_clashing_columns_repeated_rows_and_nulls(spark):
     pages = spark.createDataFrame([(1, "u", "<p>a</p>", "x"), (1, "u", "<p>a</p>", "x"), (None, None, None, None)], "page_id long, url string, html string, text string")
     assert sorted((r["text"], r["n_chars"]) for r in extract_main_text(pages).collect()) == [("", 0), ("a", 1), ("a", 1)]
     assert extract_main_text(pages.limit(0)).collect() == []
+
+
+LONG = " ".join(["Prose of some length."] * 10)
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        (f"<div>{'<div><a>menu</a></div>' * 5}</div><article><a>Read</a> on.</article><div><p>{LONG}</p><p>{LONG}</p></div>", f"{LONG}\n\n{LONG}"),
+        (f"<article><p>{LONG}</p><ul>{'<li><a>link</a></li>' * 4}</ul></article>", LONG),
+        (f"<div>Aside.</div><article><h1><a>Title</a></h1><p>{LONG}</p></article><div>{LONG[:60]}</div>", f"Title\n\n{LONG}"),
+        (f"<article><p>{LONG}</p><nav>{'<li>x</li>' * 5}</nav><p>End.</p></article>", f"{LONG}\n\nEnd."),
+    ],
+)
+def test_density_decides_inside_and_outside_articles(page, text):
+    assert main_text(page) == text
