@@ -38,6 +38,7 @@ _NOISE = frozenset(
     overlay paywall popup promo promotion related replies reply search share sharing sidebar signup social sponsor sponsored subscribe
     subscription toolbar widget""".split()
 )
+_HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
 _ENDS_ITSELF = frozenset(("p", "li", "dt", "dd", "td", "th", "tr", "option"))
 
 
@@ -59,13 +60,14 @@ def lines_of(page: str) -> tuple[list[tuple[str, bool, int]], bool]:
     lines: list[tuple[str, bool, int]] = []
     parts: list[str] = []
     linked, in_link, article, named = 0, False, 0, False
-    skip, depth = "", 0
+    skip, depth, heading = "", 0, False
 
     def close() -> None:
         nonlocal linked, named
         text = " ".join(html.unescape("".join(parts)).split())
         parts.clear()
-        lines.append((text, article > 0, linked))
+        if text:
+            lines.append((text, article > 0, 0 if heading else linked))
         named = named or bool(text and article)
         linked = 0
 
@@ -101,6 +103,8 @@ def lines_of(page: str) -> tuple[list[tuple[str, bool, int]], bool]:
                     depth += -1 if closing else 1
                     if depth == 0:
                         skip = ""
+                if skip in _BLOCK and name in _BLOCK and not closing:
+                    lines.append(("", article > 0, 0))
                 continue
         if name == "a":
             in_link = not closing
@@ -111,6 +115,9 @@ def lines_of(page: str) -> tuple[list[tuple[str, bool, int]], bool]:
                 skip, depth = name, 1
             continue
         close()
+        heading = not closing and name in _HEADINGS
+        if name == "hr":
+            lines.append(("", article > 0, 0))
         if name in ("article", "main"):
             article = max(0, article + (-1 if closing else 1))
         if not closing and (_noisy(name, attributes) and name not in ("body", "html") or name == "header" and not article):
@@ -118,6 +125,7 @@ def lines_of(page: str) -> tuple[list[tuple[str, bool, int]], bool]:
                 skip, depth = name, 1
                 if name in ("article", "main"):
                     article -= 1
+                lines.append(("", article > 0, 0))
     close()
     return lines, named
 

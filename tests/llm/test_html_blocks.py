@@ -88,3 +88,16 @@ LONG = " ".join(["Prose of some length."] * 10)
 )
 def test_density_decides_inside_and_outside_articles(page, text):
     assert main_text(page) == text
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        (f"<body><div><p>{LONG}</p></div><div><p>Short.</p></div></body>", f"{LONG}\n\nShort."),
+        (f"<div><div><h1>Title</h1></div></div><div><div><p>{LONG}</p></div></div>", f"Title\n\n{LONG}"),
+        (f"<div><p>{LONG}</p></div><table><tbody><tr><td>a</td><td>b</td></tr></tbody></table><ul><li>c</li></ul>", f"{LONG}\n\na\n\nb\n\nc"),
+        (f"<p>{LONG}</p>{'<hr>' * 4}<p>Between.</p>{'<hr>' * 4}<p>{LONG}</p>", f"{LONG}\n\nBetween.\n\n{LONG}"),
+    ],
+)
+def test_wrapped_blocks_stay_without_an_article(page, text):
+    assert main_text(page) == text
