@@ -11,6 +11,8 @@ from crewlens.llm.compact_windows import repeated_passages
 from crewlens.llm.html_blocks import extract_main_text
 from crewlens.llm.interpolation import interpolated_scores
 from crewlens.llm.jaccard_regions import jaccard_components
+from crewlens.llm.line_bitmaps import ORACLE_SQL as LINE_SQL
+from crewlens.llm.line_bitmaps import line_digest
 from crewlens.llm.maxplus_encode import digest, encode
 from crewlens.llm.packing import pack_documents
 from crewlens.llm.quality_ratio import quality_by_ratio
@@ -75,6 +77,11 @@ def op10_compact_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_passages(_table(spark, sf_dir, "documents"))
 
 
+def op11_line_bitmaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of every document, and what is left of it without those that an earlier document has."""
+    return line_digest(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_deleted_interpolation": op1_deleted_interpolation,
     "op2_factorization_machine": op2_factorization_machine,
@@ -86,9 +93,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_jaccard_regions": op8_jaccard_regions,
     "op9_differencing": op9_differencing,
     "op10_compact_windows": op10_compact_windows,
+    "op11_line_bitmaps": op11_line_bitmaps,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op11_line_bitmaps": LINE_SQL,
     "op4_histogram_selection": """
         WITH vectors AS (
             SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS cells FROM embeddings

@@ -12,9 +12,12 @@ from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; a fresh temporary one only where none is set (tests)."""
+    """The folder in spark.checkpoint.dir. Where none is set, a fresh temporary one, but only if the driver is all there
+    is (tests): executors elsewhere would each write to a disk of their own."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = tempfile.mkdtemp(prefix="crewlens-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found
