@@ -8,6 +8,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from crewlens.llm.compact_windows import repeated_passages
+from crewlens.llm.crc_resampling import ORACLE_SQL as RESAMPLING_SQL
+from crewlens.llm.crc_resampling import resample
+from crewlens.llm.dense_ranking import ORACLE_SQL as RANKING_SQL
+from crewlens.llm.dense_ranking import rank_documents
 from crewlens.llm.html_blocks import extract_main_text
 from crewlens.llm.interpolation import interpolated_scores
 from crewlens.llm.jaccard_regions import jaccard_components
@@ -82,6 +86,16 @@ def op11_line_bitmaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_digest(_table(spark, sf_dir, "documents"))
 
 
+def op12_dense_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten documents that rank highest for every benchmark item."""
+    return rank_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op13_crc_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weight, score and draw of every document, with the benchmark's texts as the target."""
+    return resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_deleted_interpolation": op1_deleted_interpolation,
     "op2_factorization_machine": op2_factorization_machine,
@@ -94,10 +108,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_differencing": op9_differencing,
     "op10_compact_windows": op10_compact_windows,
     "op11_line_bitmaps": op11_line_bitmaps,
+    "op12_dense_ranking": op12_dense_ranking,
+    "op13_crc_resampling": op13_crc_resampling,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op11_line_bitmaps": LINE_SQL,
+    "op12_dense_ranking": RANKING_SQL,
+    "op13_crc_resampling": RESAMPLING_SQL,
     "op4_histogram_selection": """
         WITH vectors AS (
             SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS cells FROM embeddings

@@ -114,6 +114,21 @@ class Words:
         return self.data[self.offsets[i] : self.offsets[i + 1]].tobytes().decode("utf-8", "replace")
 
 
+def terms(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Runs of letters, digits and bytes beyond ASCII, A-Z lower-cased: their bytes without what lies between them, the
+    places where each starts there (one more entry closes the last), and the first term of each text (likewise)."""
+    solid = ~NOT_ALNUM[data]
+    start, end = runs(solid, offsets)
+    places = np.zeros(len(start) + 1, np.int64)
+    np.cumsum(end - start, out=places[1:])
+    return _LOWER[data[solid]], places, np.searchsorted(start, offsets)
+
+
+def binaries(data: np.ndarray, places: np.ndarray) -> pa.LargeBinaryArray:
+    """Bytes between places as an Arrow column."""
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(places) - 1, [None, pa.py_buffer(np.ascontiguousarray(places)), pa.py_buffer(np.ascontiguousarray(data))])
+
+
 def ngrams(words: np.ndarray, n: int) -> np.ndarray:
     """Hashes of the n-grams that start at each place; the last n-1 places have none."""
     size = max(0, len(words) - n + 1)
