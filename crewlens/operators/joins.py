@@ -10,7 +10,9 @@ from pyspark.sql import types as T
 
 from crewlens.params import JoinTuning
 
-_BUCKET, _SPLITS, _SALT, _JOIN = "__bucket", "__splits", "__salt", "__join"
+_BUCKET, _SPLITS, _SALT, _JOIN, _WEIGHT = "__bucket", "__splits", "__salt", "__join", "__weight"
+# A row that stands for more equal rows than this is several rows, which bounds the array it is repeated by.
+_COPIES = 1 << 20
 
 
 def plan_bytes(df: DataFrame) -> int | None:
@@ -34,13 +36,18 @@ class HotKeys:
     ``buckets`` rows per list. Counts are exact, so every use agrees on them, also after a lost executor.
     A bucket is hot above four times the mean; its parts are then about one mean each, never more
     than its rows, and all parts of a list add up to at most ``buckets`` and one more per hot bucket.
+    ``weight`` names a column that says how many rows a row stands for.
     """
 
-    def __init__(self, rows: DataFrame, joins: Sequence[Sequence[str]], tuning: JoinTuning = JoinTuning()):
+    def __init__(
+        self, rows: DataFrame, joins: Sequence[Sequence[str]], tuning: JoinTuning = JoinTuning(), weight: str | None = None
+    ):
         self.joins = [tuple(keys) for keys in joins]
         n = tuning.buckets
         each = [F.struct(F.lit(i).alias(_JOIN), _bucket(keys, n).alias(_BUCKET)) for i, keys in enumerate(self.joins)]
-        counts = rows.select(F.inline(F.array(*each))).groupBy(_JOIN, _BUCKET).agg(F.count(F.lit(1)).alias("rows"))
+        counted = (F.col(weight) if weight else F.lit(1).cast("bigint")).alias("weight")
+        keyed = rows.select(counted, F.inline(F.array(*each)))
+        counts = keyed.groupBy(_JOIN, _BUCKET).agg(F.sum("weight").alias("rows"))
         # One row per list with at most ``buckets`` pairs in it.
         every = counts.groupBy(_JOIN).agg(
             F.sum("rows").alias("total"),
@@ -63,6 +70,7 @@ def lookup_join(
     *,
     tuning: JoinTuning = JoinTuning(),
     hot: HotKeys | None = None,
+    distinct_rows: bool = False,
 ) -> DataFrame:
     """Join a fact to a lookup on equally named columns (``how``: left, inner or left_semi).
 
@@ -72,6 +80,11 @@ def lookup_join(
       its lookup rows exactly once, so the rows are those of the plain join. NULL keys are a bucket like
       others. All copies together add at most about one more lookup.
 
+    Equal fact rows are first counted, in their tasks and then over all of them: one row with a weight.
+    A hot row's weight is shared out over the parts of its bucket, and every joined row is repeated as often as
+    its share says, so not even one row that makes up half the fact ends in one task. ``distinct_rows`` says
+    that no two rows are equal (they hold an id), which spares that count and its shuffle.
+
     ``hot`` has the counts of rows with the keys of the fact, made once for several joins; without it
     the fact itself is counted. It steers the split only, never the rows.
     """
@@ -81,14 +94,53 @@ def lookup_join(
     size = plan_bytes(lookup)
     if size is not None and size <= tuning.broadcast_bytes:
         return fact.join(F.broadcast(lookup), on, how)
-    return _split_join(fact, lookup, on, how, hot or HotKeys(fact, [on], tuning), tuning)
+    if distinct_rows or not _countable(fact):
+        return _split_join(fact, lookup, on, how, hot or HotKeys(fact, [on], tuning), tuning)
+    weighed = fact.groupBy(*[_quoted(c) for c in fact.columns]).agg(F.count(F.lit(1)).alias(_WEIGHT))
+    joined = _split_join(weighed, lookup, on, how, hot or HotKeys(weighed, [on], tuning, _WEIGHT), tuning)
+    copies = joined.withColumn(_SALT, F.explode(F.array_repeat(F.lit(True), F.col(_WEIGHT).cast("int"))))
+    return copies.drop(_SALT, _WEIGHT)
+
+
+def _quoted(name: str) -> str:
+    return f"`{name.replace('`', '``')}`"
+
+
+def _countable(fact: DataFrame) -> bool:
+    """Whether equal rows can stand for each other: no column that cannot be grouped, or whose equal values may
+    look different (text under a collation)."""
+
+    def plain(kind: T.DataType) -> bool:
+        if isinstance(kind, T.ArrayType):
+            return plain(kind.elementType)
+        if isinstance(kind, T.StructType):
+            return all(plain(f.dataType) for f in kind)
+        if isinstance(kind, T.StringType):
+            return kind.collation == "UTF8_BINARY"
+        return not isinstance(kind, (T.MapType, T.VariantType))
 
+    return plain(fact.schema)
 
-def _part_of(fact: DataFrame) -> Column:
-    # From the row and its task alone: a task that runs again gives the same parts in whatever order its
-    # rows arrive, the rows of one task spread over the parts, and so do equal rows of several tasks.
-    plain = [f.name for f in fact.schema if not isinstance(f.dataType, (T.MapType, T.VariantType))]
-    return F.xxhash64(*plain, F.spark_partition_id())
+
+def _row_hash(fact: DataFrame) -> Column:
+    # From the row alone, or from the row and its task where equal rows may be left: a task that runs again
+    # gives the same parts in whatever order its rows arrive.
+    plain = [F.col(_quoted(f.name)) for f in fact.schema if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    return F.xxhash64(*plain) if _WEIGHT in fact.columns else F.xxhash64(*plain, F.spark_partition_id())
+
+
+def _dealt(fact: DataFrame) -> DataFrame:
+    """The fact with a part number per row; a row with a weight becomes one row per part that gets a share."""
+    first = F.pmod(_row_hash(fact), F.col(_SPLITS)).cast("int")
+    if _WEIGHT not in fact.columns:
+        return fact.withColumn(_SALT, F.coalesce(first, F.lit(0)))
+    weight = F.col(_WEIGHT)
+    parts = F.greatest(F.least(F.coalesce(_SPLITS, F.lit(1)), weight), F.ceil(weight / _COPIES))
+    # Shares differ by one at most.
+    share = ((weight - weight % parts) / parts).cast("bigint") + F.when(F.col("__nth") < weight % parts, 1).otherwise(0)
+    each = fact.withColumn("__nth", F.explode(F.sequence(F.lit(0), (parts - 1).cast("int"))))
+    part = F.coalesce(F.pmod(first + F.col("__nth"), F.col(_SPLITS)), F.lit(0))
+    return each.withColumns({_SALT: part, "__share": share}).drop(_WEIGHT, "__nth").withColumnRenamed("__share", _WEIGHT)
 
 
 def _split_join(
@@ -105,13 +157,7 @@ def _split_join(
     splits = F.broadcast(hot.of(on))
     bucket = _bucket(on, tuning.buckets)
 
-    part = F.coalesce(F.pmod(_part_of(fact), F.col(_SPLITS)).cast("int"), F.lit(0))
-    left = (
-        fact.withColumn(_BUCKET, bucket)
-        .join(splits, _BUCKET, "left")
-        .withColumn(_SALT, part)
-        .drop(_BUCKET, _SPLITS)
-    )
+    left = _dealt(fact.withColumn(_BUCKET, bucket).join(splits, _BUCKET, "left").drop(_BUCKET)).drop(_SPLITS)
     parts = F.sequence(F.lit(0), F.coalesce(F.col(_SPLITS), F.lit(1)) - 1)
     right = (
         lookup.withColumn(_BUCKET, bucket)

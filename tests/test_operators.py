@@ -123,6 +123,9 @@ def test_split_join_equals_plain_join(spark, how, key_type):
     assert split.columns == plain.columns
     assert got(split) == got(plain)
     assert _hot(fact).count() > 0
+    numbered = fact.withColumn("n", F.monotonically_increasing_id())
+    once = op.lookup_join(numbered, lookup, ["k"], how, tuning=SPLIT, distinct_rows=True)
+    assert got(once.drop("n")) == got(plain)
 
 
 @pytest.mark.parametrize("hot_key", [7, None])
@@ -136,11 +139,35 @@ def test_a_hot_key_in_one_input_task_is_split(spark, hot_key):
     assert sum(sizes) == 4000 and max(sizes) <= 0.25 * sum(sizes)
 
 
-def test_equal_rows_of_one_key_are_split_by_task(spark):
-    fact = spark.range(0, 4000, 1, 8).select(F.lit(7).cast("bigint").alias("k"))
-    lookup = spark.createDataFrame([(7, "x")], "k bigint, name string")
-    sizes = _sizes(spark, op.lookup_join(fact, lookup, ["k"], "inner", tuning=SPLIT))
-    assert sum(sizes) == 4000 and max(sizes) <= 0.5 * sum(sizes)
+@pytest.mark.parametrize("how", ["left", "inner", "left_semi"])
+def test_equal_rows_of_one_input_task_are_split(spark, how):
+    """200,000 rows in one input partition, half of them equal rows of one key."""
+    key = F.when(F.col("id") % 2 == 0, F.lit(7)).otherwise(100 + F.col("id") % 500).cast("bigint")
+    fact = spark.range(0, 200_000, 1, 1).select(key.alias("k"), F.when(F.col("id") % 2 == 1, F.col("id")).alias("v"))
+    lookup = spark.range(0, 600).select(F.col("id").alias("k"), F.lit("x").alias("name"))
+    split = op.lookup_join(fact, lookup, ["k"], how, tuning=SPLIT)
+    sizes = _sizes(spark, split)
+    assert sum(sizes) == 200_000 and max(sizes) <= 0.25 * sum(sizes)
+    assert split.where("k = 7 AND v IS NULL").count() == 100_000
+
+
+def test_weights_of_equal_rows(spark, monkeypatch):
+    """Rows equal in NULLs, arrays and structs too, and more copies than one array holds."""
+    monkeypatch.setattr("crewlens.operators.joins._COPIES", 3)
+    rows = [(1, None, [1, None], (2, "a"))] * 40 + [(None, "n", None, None)] * 25 + [(1, "x", [], (None, None)), (9, "y", [1], (1, "b"))] * 2
+    fact = spark.createDataFrame(rows, "k bigint, `odd name` string, list array<int>, pair struct<a int, b string>").repartition(3)
+    lookup = spark.createDataFrame([(1, "one"), (1, "uno"), (2, "two")], "k int, name string")
+    for how in ("left", "inner", "left_semi"):
+        assert got(op.lookup_join(fact, lookup, ["k"], how, tuning=SPLIT)) == got(fact.join(lookup, ["k"], how))
+
+
+def test_rows_that_cannot_be_counted_are_joined_as_they_are(spark):
+    fact = spark.createDataFrame([(1, {"a": 1})] * 3 + [(2, {"b": 2})], "k bigint, m map<string,int>")
+    lookup = spark.createDataFrame([(1, "x")], "k bigint, name string")
+    joined = op.lookup_join(fact, lookup, ["k"], tuning=SPLIT)
+    assert sorted(str(r) for r in joined.collect()) == sorted(str(r) for r in fact.join(lookup, ["k"], "left").collect())
+    same = fact.select("k", F.collate(F.lit("a"), "UTF8_LCASE").alias("c"))
+    assert op.lookup_join(same, lookup, ["k"], tuning=SPLIT).count() == 4
 
 
 def test_hot_keys_are_bounded_and_counted_once_for_several_joins(spark):
