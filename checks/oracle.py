@@ -114,15 +114,17 @@ FROM d_estimate WHERE sold_on IS NOT NULL AND active IS TRUE GROUP BY company_id
 """
 
 INSTALLED = f"""
-SELECT e.company_id, e.job_id, {money('sum(x.total)')} AS estimate_items_total
-FROM d_estimate e LEFT JOIN d_estimate_item x ON x.estimate_id = e.id AND x.company_id = e.company_id
-WHERE e.active IS TRUE AND e.status_value = 1 GROUP BY e.company_id, e.job_id
+SELECT company_id, job_id, {money('sum(worth)')} AS estimate_items_total
+FROM (SELECT *, (SELECT sum(x.total) FROM d_estimate_item x WHERE x.company_id = e.company_id AND x.estimate_id = e.id) AS worth
+      FROM d_estimate e WHERE active AND status_value = 1) priced GROUP BY ALL
 """
 
 LEAD_SALES = f"""
-SELECT j.company_id, j.job_generated_lead_source_job_id AS parent_job_id, {money('sum(e.subtotal)')} AS sub_total_lead
-FROM d_estimate e JOIN d_job j ON j.id = e.job_id AND j.company_id = e.company_id
-WHERE e.status_value = 1 AND e.active GROUP BY j.company_id, j.job_generated_lead_source_job_id
+SELECT company_id, parent_job_id, {money('sum(sold)')} AS sub_total_lead
+FROM (SELECT company_id, job_generated_lead_source_job_id AS parent_job_id,
+             (SELECT list(subtotal) FROM d_estimate e WHERE e.company_id = j.company_id AND e.job_id = j.id AND active AND status_value = 1) AS sales,
+             list_sum(sales) AS sold
+      FROM d_job j) led WHERE sales IS NOT NULL GROUP BY ALL
 """
 
 LEAD_IDS = """
@@ -270,6 +272,10 @@ ORACLES: dict[str, str] = {
     "job_technicians_split": JOB_TECHNICIANS,
     "invoiced_items_split": INVOICED,
     "sales_master_split": SALES_MASTER,
+    # The same with sets of ids that cut little or nothing
+    "sales_master_full_sets": SALES_MASTER,
+    "sales_master_no_sets": SALES_MASTER,
+    "invoiced_items_no_sets": INVOICED,
     # Reports with the published labels
     "invoiced_items_report": _relabelled(INVOICED, display.INVOICED_ITEMS),
     "sales_master_report": _relabelled(SALES_MASTER, display.SALES_MASTER_TRACKER),
@@ -325,6 +331,12 @@ ORACLES: dict[str, str] = {
         FROM d_job_split s LEFT JOIN (SELECT company_id, job_id, technician_id, count(*) AS assignments
             FROM d_appointment_assignment WHERE active GROUP BY company_id, job_id, technician_id) b
           ON b.company_id = s.company_id AND b.job_id = s.job_id AND b.technician_id = s.technician_id""",
+    "lookup_join_equal_rows": """SELECT n_name, l_returnflag, count(*) AS lines
+        FROM lineitem LEFT JOIN nation ON n_nationkey = l_linenumber GROUP BY ALL""",
+    "id_bitmap_cut": """SELECT x.company_id, x.invoice_id, x.sku_name, i.job_id FROM d_invoice_item x
+        JOIN d_invoice i ON i.id = x.invoice_id AND i.company_id = x.company_id
+        JOIN d_job j ON j.id = i.job_id AND j.company_id = i.company_id WHERE j.job_status = 'Scheduled'""",
+    "id_bitmaps": """SELECT count(DISTINCT o_orderkey // 32768) AS ranges, count(DISTINCT o_orderkey) AS ids FROM orders""",
     "hot_users": """SELECT user_id, count(*) AS events FROM events GROUP BY user_id""",
     "merge_on_key": """SELECT coalesce(a.person_id, b.person_id) AS person_id, a.sales, b.events
         FROM (SELECT l_suppkey AS person_id, count(*) AS sales FROM lineitem GROUP BY l_suppkey) a

@@ -20,6 +20,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 # Forces the split join on data of any size.
 SPLIT = JoinTuning(broadcast_bytes=-1, buckets=64)
 SPLIT_PARAMS = replace(PARAMS, join=SPLIT)
+# Sets of ids that fill up (many ids share a bit), and none at all: facts are cut by joins alone.
+FULL_SETS = replace(PARAMS, join=JoinTuning(bitmap_bytes=4096))
+NO_SETS = replace(PARAMS, join=JoinTuning(bitmap_bytes=0))
 
 
 def _job(fn: Callable[[Sources, Params], DataFrame], params: Params = PARAMS) -> Query:
@@ -94,6 +97,31 @@ def merge_on_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return operators.merge_on_key(sales, clicks, ["person_id"])
 
 
+def id_bitmap_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Items of the invoices of one day's jobs: cut at the scan by two sets of ids, then joined."""
+    jobs = domain_table(spark, sf_dir, "job").where("job_status = 'Scheduled'").select("company_id", F.col("id").alias("job_id"))
+    invoices = operators.IdSet(jobs, "job_id", PARAMS.join).cut(domain_table(spark, sf_dir, "invoice"))
+    invoices = invoices.select("company_id", F.col("id").alias("invoice_id"), "job_id")
+    items = operators.IdSet(invoices, "invoice_id", PARAMS.join).cut(domain_table(spark, sf_dir, "invoice_item"))
+    return items.select("company_id", "invoice_id", "sku_name").join(invoices.join(jobs, ["job_id", "company_id"]), ["invoice_id", "company_id"])
+
+
+def id_bitmaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many ids the bitmaps of each table's keys hold, and in how many ranges."""
+    orders = read(spark, sf_dir, "orders").select(F.lit(1).cast("bigint").alias("company_id"), "o_orderkey")
+    bits = operators.id_bitmaps(orders, "o_orderkey", ranges=1 << 20)
+    held = F.aggregate("__words", F.lit(0).cast("bigint"), lambda n, w: n + F.bit_count(w))
+    return bits.agg(F.count(F.lit(1)).alias("ranges"), F.sum(held).alias("ids"))
+
+
+def lookup_join_equal_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A fact with few different rows, each very often, joined on the split path."""
+    lines = read(spark, sf_dir, "lineitem").select(F.col("l_linenumber").cast("bigint").alias("n_nationkey"), "l_returnflag")
+    nations = read(spark, sf_dir, "nation").select(F.col("n_nationkey").cast("bigint").alias("n_nationkey"), "n_name")
+    joined = operators.lookup_join(lines, nations, ["n_nationkey"], tuning=SPLIT)
+    return joined.groupBy("n_name", "l_returnflag").agg(F.count(F.lit(1)).alias("lines"))
+
+
 def self_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     jobs = domain_table(spark, sf_dir, "job")
     parent = F.col("job_generated_lead_source_job_id")
@@ -315,6 +343,10 @@ QUERIES: dict[str, Query] = {
     "job_technicians_split": _job(plans.job_technicians, SPLIT_PARAMS),
     "invoiced_items_split": _job(plans.invoiced_items, SPLIT_PARAMS),
     "sales_master_split": _job(plans.sales_master_tracker, SPLIT_PARAMS),
+    # The same with sets of ids that cut little or nothing
+    "sales_master_full_sets": _job(plans.sales_master_tracker, FULL_SETS),
+    "sales_master_no_sets": _job(plans.sales_master_tracker, NO_SETS),
+    "invoiced_items_no_sets": _job(plans.invoiced_items, NO_SETS),
     # Reports with the published labels
     "invoiced_items_report": _job(display.invoiced_items),
     "sales_master_report": _job(display.sales_master_tracker),
@@ -347,6 +379,9 @@ QUERIES: dict[str, Query] = {
     "lookup_join_split": _lookup(SPLIT),
     "lookup_join_split_inner": lookup_join_split_inner,
     "lookup_join_two_keys": lookup_join_two_keys,
+    "lookup_join_equal_rows": lookup_join_equal_rows,
+    "id_bitmap_cut": id_bitmap_cut,
+    "id_bitmaps": id_bitmaps,
     "first_nan": first_nan,
     "hot_users": hot_users,
     "merge_on_key": merge_on_key,

@@ -1,5 +1,6 @@
 """Relational operators. They take column names, so they work on any table."""
 
+from crewlens.operators.bitmaps import IdSet, id_bitmaps
 from crewlens.operators.groups import (
     child_rollup,
     distinct_list,
@@ -14,10 +15,12 @@ from crewlens.operators.sets import stack, union_tenants
 
 __all__ = [
     "HotKeys",
+    "IdSet",
     "child_rollup",
     "distinct_list",
     "explode_keep",
     "first_per_group",
+    "id_bitmaps",
     "lookup_join",
     "merge_on_key",
     "ordered_text",

@@ -13,10 +13,12 @@ class JoinTuning:
     broadcast_bytes: a lookup is broadcast only when Spark's own size estimate is at most this. For
         files that is their compressed size; in memory a lookup may be some ten times larger.
     buckets: key buckets counted to find hot keys, and the bound on every list made of them.
+    bitmap_bytes: the size of a set of ids that is sent to every task (see ``operators.bitmaps``); 0 sends none.
     """
 
     broadcast_bytes: int = 8 * 1024 * 1024
     buckets: int = 8192
+    bitmap_bytes: int = 32 * 1024 * 1024
 
 
 @dataclass(frozen=True)

@@ -8,17 +8,17 @@ from pyspark.sql import functions as F
 from crewlens.functions import today_utc
 from crewlens.operators import merge_on_key, rollup, top_n_per_group
 from crewlens.params import Params
-from crewlens.plans.scope import KEYS, only_jobs
+from crewlens.plans.scope import KEYS, Scope, within
 from crewlens.sources import Sources
 
-def _appointments(src: Sources, params: Params, jobs: DataFrame | None) -> DataFrame:
-    appointments = only_jobs(src.table("appointment"), jobs, params)
+def _appointments(src: Sources, params: Params, jobs: Scope | None) -> DataFrame:
+    appointments = within(src.table("appointment"), jobs)
     if params.exclude_status:
         appointments = appointments.where(~F.col("status").isin(*params.exclude_status))
     return appointments.select(*KEYS, "start")
 
 
-def past_appointments(src: Sources, params: Params = Params(), jobs: DataFrame | None = None) -> DataFrame:
+def past_appointments(src: Sources, params: Params = Params(), jobs: Scope | None = None) -> DataFrame:
     """First, last and number of the appointments before today (UTC dates)."""
     return rollup(
         _appointments(src, params, jobs),
@@ -32,7 +32,7 @@ def past_appointments(src: Sources, params: Params = Params(), jobs: DataFrame |
     )
 
 
-def next_appointments(src: Sources, params: Params = Params(), jobs: DataFrame | None = None) -> DataFrame:
+def next_appointments(src: Sources, params: Params = Params(), jobs: Scope | None = None) -> DataFrame:
     """The next two appointments from today on. The count is taken after the cut, so it is 1 or 2."""
     future = _appointments(src, params, jobs).where(F.to_date("start") >= today_utc(params.as_of))
     top2 = top_n_per_group(future, KEYS, [("start", "asc")], 2, rank="rn")

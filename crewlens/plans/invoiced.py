@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from crewlens.functions import in_local_years, local_date, money, utrim
-from crewlens.operators import lookup_join, rollup
+from crewlens.operators import child_rollup, lookup_join
 from crewlens.params import Params
-from crewlens.plans.rollups import INVOICE, KEYS
+from crewlens.plans.rollups import INVOICE
+from crewlens.plans.scope import KEYS, Scope
 from crewlens.sources import Sources
 
 NOT_LISTED = ("Material", "Equipment")
@@ -30,22 +31,16 @@ def invoiced_lines(src: Sources, params: Params = Params()) -> DataFrame:
         types,
         ["job_type_id", "company_id"],
         tuning=params.join,
+        distinct_rows=True,
     )
-    # Only what belongs to these jobs is read on: their invoices, then the items of those invoices.
-    invoices = src.table("invoice").select("company_id", F.col("id").alias("invoice_id"), "job_id", "sub_total")
-    job_invoices = lookup_join(invoices, jobs, KEYS, "inner", tuning=params.join)
-    items = src.table("invoice_item")
-    hours = lookup_join(
-        items.where("active").select(*INVOICE, "sold_hours"),
-        job_invoices.select(*INVOICE, "job_id").distinct(),
-        INVOICE,
-        "inner",
-        tuning=params.join,
-    )
-    hours = rollup(hours, [*INVOICE, "job_id"], {"sold_hours": F.sum("sold_hours")})
-    # Summed per invoice first: here a job has a row per invoice, not per item.
-    hours = rollup(hours, KEYS, {"sold_hours": F.sum("sold_hours").cast("decimal(28,4)")})
-    job_invoices = lookup_join(job_invoices, hours, KEYS, tuning=params.join)
+    # What belongs to other jobs is cut where it is read: their invoices, then the items of those.
+    wanted = Scope(jobs, params)
+    invoices = wanted.cut(src.table("invoice").select("company_id", F.col("id").alias("invoice_id"), "job_id", "sub_total"))
+    items = Scope(invoices, params, "invoice_id").cut(src.table("invoice_item"))
+    # Hours are summed per invoice, then per job, before they meet anything: no hot key is left.
+    hours = child_rollup(invoices, items.where("active").select(*INVOICE, "sold_hours"), INVOICE, KEYS, "sold_hours", "sold_hours", how="inner")
+    jobs = jobs.join(hours.withColumn("sold_hours", F.col("sold_hours").cast("decimal(28,4)")), KEYS, "left")
+    job_invoices = lookup_join(invoices, jobs, KEYS, "inner", tuning=params.join, distinct_rows=True)
     listed = items.where(~F.col("type").isin(*NOT_LISTED))
     lines = lookup_join(
         listed.select(*INVOICE, "sku_name", "display_name", "description", "quantity", "price"),

@@ -8,10 +8,10 @@ from pyspark.sql import functions as F
 from crewlens.functions import money, utrim
 from crewlens.operators import child_rollup, lookup_join, ordered_text, rollup
 from crewlens.params import Params
-from crewlens.plans.scope import KEYS, only_jobs
+from crewlens.plans.scope import KEYS, Scope, within
 from crewlens.sources import Sources
 
-# Every rollup can be cut to some jobs: ``jobs`` has their distinct keys.
+# ``jobs`` spares a rollup the work on other jobs (see ``Scope``).
 INVOICE = ["invoice_id", "company_id"]
 
 
@@ -23,9 +23,9 @@ def sold_hours_by_job(src: Sources, params: Params = Params()) -> DataFrame:
     return hours.withColumn("sold_hours", F.col("sold_hours").cast("decimal(28,4)"))
 
 
-def invoice_total_by_job(src: Sources, params: Params = Params(), jobs: DataFrame | None = None) -> DataFrame:
+def invoice_total_by_job(src: Sources, params: Params = Params(), jobs: Scope | None = None) -> DataFrame:
     """Sum of invoice subtotals per job."""
-    return rollup(only_jobs(src.table("invoice").select(*KEYS, "sub_total"), jobs, params), KEYS, {"total_invoice": money(F.sum("sub_total"))})
+    return rollup(within(src.table("invoice").select(*KEYS, "sub_total"), jobs), KEYS, {"total_invoice": money(F.sum("sub_total"))})
 
 
 def lead_invoice_total(src: Sources, params: Params = Params()) -> DataFrame:
@@ -38,29 +38,27 @@ def lead_invoice_total(src: Sources, params: Params = Params()) -> DataFrame:
     return lookup_join(leads, totals, KEYS, tuning=params.join)
 
 
-def sold_estimates_by_job(src: Sources, params: Params = Params(), jobs: DataFrame | None = None) -> DataFrame:
+def sold_estimates_by_job(src: Sources, params: Params = Params(), jobs: Scope | None = None) -> DataFrame:
     """Number and subtotal of active estimates with a sale date."""
     sold = src.table("estimate").where(F.col("sold_on").isNotNull() & F.col("active")).select(*KEYS, "id", "subtotal")
-    return rollup(only_jobs(sold, jobs, params), KEYS, {"estimates": F.count("id"), "subtotal": money(F.sum("subtotal"))})
+    return rollup(within(sold, jobs), KEYS, {"estimates": F.count("id"), "subtotal": money(F.sum("subtotal"))})
 
 
 def installed_estimates_by_job(
-    src: Sources, params: Params = Params(), jobs: DataFrame | None = None
+    src: Sources, params: Params = Params(), jobs: Scope | None = None
 ) -> DataFrame:
     """Item totals of active estimates in status 1. A job whose estimates have no items stays, with
     a NULL total."""
     estimates = src.table("estimate").where((F.col("status_value") == 1) & F.col("active"))
-    estimates = only_jobs(estimates.select(*KEYS, F.col("id").alias("estimate_id")), jobs, params)
-    items = src.table("estimate_item")
+    estimates = within(estimates.select(*KEYS, F.col("id").alias("estimate_id")), jobs)
     on = ["estimate_id", "company_id"]
-    if jobs is not None:
-        wanted = estimates.select(*on).distinct()
-        items = lookup_join(items, wanted, on, "left_semi", tuning=params.join)
+    # Items of other estimates are cut before they are summed.
+    items = Scope(estimates, params, "estimate_id").cut(src.table("estimate_item").select(*on, "total"))
     total = child_rollup(estimates, items, on, KEYS, "total", "estimate_items_total")
     return total.withColumn("estimate_items_total", money(F.col("estimate_items_total")))
 
 
-def lead_sales_by_parent(src: Sources, params: Params = Params(), jobs: DataFrame | None = None) -> DataFrame:
+def lead_sales_by_parent(src: Sources, params: Params = Params(), jobs: Scope | None = None) -> DataFrame:
     """Active estimates in status 1, summed over the jobs that a job led to."""
     links = src.table("job").select(
         "company_id",
@@ -69,15 +67,15 @@ def lead_sales_by_parent(src: Sources, params: Params = Params(), jobs: DataFram
     )
     sold = src.table("estimate").where((F.col("status_value") == 1) & F.col("active"))
     if jobs is not None:
-        links = only_jobs(links.where(F.col("parent_job_id").isNotNull()), jobs, params, "parent_job_id")
-        sold = only_jobs(sold.select(*KEYS, "subtotal"), links.select(*KEYS).distinct(), params)
+        links = jobs.cut(links.where(F.col("parent_job_id").isNotNull()), "parent_job_id")
+        sold = Scope(links, params).cut(sold.select(*KEYS, "subtotal"))
     total = child_rollup(
         links, sold, KEYS, ["parent_job_id", "company_id"], "subtotal", "sub_total_lead", how="inner"
     )
     return total.withColumn("sub_total_lead", money(F.col("sub_total_lead")))
 
 
-def lead_ids_by_parent(src: Sources, params: Params = Params(), jobs: DataFrame | None = None) -> DataFrame:
+def lead_ids_by_parent(src: Sources, params: Params = Params(), jobs: Scope | None = None) -> DataFrame:
     """The ids of the jobs that a job led to, in numeric order, as text.
 
     The ids come from the job table and name jobs of the same table, so looking them up again would
@@ -85,7 +83,7 @@ def lead_ids_by_parent(src: Sources, params: Params = Params(), jobs: DataFrame
     """
     parent = F.col("job_generated_lead_source_job_id")
     leads = src.table("job").where(parent.isNotNull()).select("company_id", parent.alias("parent_job_id"), "id")
-    leads = only_jobs(leads, jobs, params, "parent_job_id")
+    leads = within(leads, jobs, "parent_job_id")
     return ordered_text(leads, ["parent_job_id", "company_id"], "id", "lead_created")
 
 

@@ -19,20 +19,20 @@ from crewlens.plans.rollups import (
     lead_sales_by_parent,
     sold_estimates_by_job,
 )
-from crewlens.plans.scope import KEYS, only_jobs
+from crewlens.plans.scope import KEYS, Scope
 from crewlens.plans.technicians import job_technicians
 from crewlens.plans.timesheets import paid_hours_by_job
 from crewlens.sources import Sources
 
 def recent_jobs(src: Sources, params: Params = Params()) -> DataFrame:
-    """Keys of the jobs that can pass the year test: the latest of the three dates is itself an appointment,
+    """Keys, repeated, of the jobs that can pass the year test: the latest of the three dates is itself an appointment,
     so one of the job's appointments starts in or after ``min_year``, or within a day before it in UTC."""
     bound = F.lit(dt.datetime(params.min_year, 1, 1) - dt.timedelta(days=1)).cast("timestamp_ntz")
     starts = src.table("appointment").where(F.col("job_id").isNotNull() & (F.col("start") >= bound))
-    return starts.select(*KEYS).distinct()
+    return starts.select(*KEYS)
 
 
-def _dated_jobs(src: Sources, params: Params, recent: DataFrame) -> DataFrame:
+def _dated_jobs(src: Sources, params: Params, recent: Scope) -> DataFrame:
     """Jobs with a first, start or next appointment in or after ``min_year``, and their appointments.
 
     Both halves of the appointments are joined to the jobs directly. Merging them first, as for the
@@ -51,7 +51,7 @@ def _dated_jobs(src: Sources, params: Params, recent: DataFrame) -> DataFrame:
         "job_status",
     )
     halves = (
-        only_jobs(jobs, recent, params)
+        recent.cut(jobs)
         .join(past_appointments(src, params, recent), KEYS, "left")
         .join(next_appointments(src, params, recent), KEYS, "left")
     )
@@ -85,7 +85,7 @@ def sales_master_rows(src: Sources, params: Params = Params()) -> DataFrame:
     """The rows of ``sales_master_tracker`` with ``first_appointment``, on which reports sort."""
     # The appointment test drops most jobs, so it comes first, and what belongs to other jobs is cut before it is
     # summed.
-    recent = recent_jobs(src, params)
+    recent = Scope(recent_jobs(src, params), params)
     master = _dated_jobs(src, params, recent)
 
     def text(column: str):
@@ -105,7 +105,7 @@ def sales_master_rows(src: Sources, params: Params = Params()) -> DataFrame:
         lookup = src.table(table).select(
             "company_id", F.col("id").alias(key), *[text(c).alias(name) for c, name in columns.items()]
         )
-        master = lookup_join(master, lookup, [key, "company_id"], tuning=params.join, hot=hot)
+        master = lookup_join(master, lookup, [key, "company_id"], tuning=params.join, hot=hot, distinct_rows=True)
 
     # All rollups are unique per job and grouped by the join key: no key can be hot.
     by_parent = {"parent_job_id": "job_id"}

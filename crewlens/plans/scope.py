@@ -1,21 +1,24 @@
-"""Cutting facts to the jobs that a report is about, before anything is summed."""
+"""The jobs that a report is about, so that facts of other jobs are cut where they are read."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from crewlens.operators import lookup_join
+from crewlens.operators import IdSet
 from crewlens.params import Params
 
 # The tenant comes second: Spark compares sort keys by their first column, and there are few tenants.
 KEYS = ["job_id", "company_id"]
 
 
-def only_jobs(fact: DataFrame, jobs: DataFrame | None, params: Params, job: str = "job_id") -> DataFrame:
-    """The rows of ``fact`` whose ``job`` is among ``jobs`` (distinct ``job_id``, ``company_id``); all without ``jobs``."""
-    if jobs is None:
-        return fact
-    if job != "job_id":
-        jobs = jobs.select(F.col("job_id").alias(job), "company_id")
-    return lookup_join(fact, jobs, [job, "company_id"], "left_semi", tuning=params.join)
+class Scope(IdSet):
+    """Some rows' ids per tenant (``ids`` has ``company_id`` and ``column``). What is summed for a scope may hold other
+    rows too (see ``IdSet``): it is joined to the rows of the scope."""
+
+    def __init__(self, ids: DataFrame, params: Params, column: str = "job_id"):
+        super().__init__(ids, column, params.join)
+
+
+def within(fact: DataFrame, scope: Scope | None, column: str | None = None) -> DataFrame:
+    """``fact`` cut to a scope, if there is one."""
+    return fact if scope is None else scope.cut(fact, column)

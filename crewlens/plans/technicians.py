@@ -6,10 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from crewlens.functions import join_text, typed_null, utrim
-from crewlens.operators import HotKeys, lookup_join, rollup, stack
+from crewlens.operators import lookup_join, rollup, stack
 from crewlens.params import Params
 from crewlens.plans.people import technicians_employees
-from crewlens.plans.scope import only_jobs
+from crewlens.plans.scope import Scope, within
 from crewlens.sources import Sources
 
 # The tenant comes second: Spark compares sort keys by their first column, and there are few tenants.
@@ -110,12 +110,11 @@ def _or_unnamed(names: Column) -> Column:
 
 
 def _by_job(
-    src: Sources, params: Params, null_jobs: bool = True, assigned: bool = True, jobs: DataFrame | None = None
+    src: Sources, params: Params, null_jobs: bool = True, assigned: bool = True, jobs: Scope | None = None
 ) -> DataFrame:
     """Both sides per job: names and the pick of each. A side without rows is NULL."""
-    facts = only_jobs(_facts(src, assigned), jobs, params)
-    hot = HotKeys(facts, [PERSON], params.join)
-    pairs = lookup_join(_pairs(facts, null_jobs), _directory(src, params), PERSON, tuning=params.join, hot=hot)
+    pairs = _pairs(within(_facts(src, assigned), jobs), null_jobs)
+    pairs = lookup_join(pairs, _directory(src, params), PERSON, tuning=params.join, distinct_rows=True)
 
     # Assignments are named after the whole directory, splits after technicians only.
     person_names = _or_unnamed(F.col("person_names"))
@@ -184,7 +183,7 @@ def assigned_technicians(src: Sources, params: Params = Params()) -> DataFrame:
 
 
 def job_technicians(
-    src: Sources, params: Params = Params(), *, null_jobs: bool = True, jobs: DataFrame | None = None
+    src: Sources, params: Params = Params(), *, null_jobs: bool = True, jobs: Scope | None = None
 ) -> DataFrame:
     """Per job: the list of assigned technicians (of assignments if there are any, else of splits)
     and the primary one: the first assigned, unless their split is below the largest split of the

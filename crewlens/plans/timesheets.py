@@ -9,7 +9,7 @@ from crewlens.functions import hours_from_minutes, minutes_between, to_local, ty
 from crewlens.operators import HotKeys, lookup_join, rollup, stack
 from crewlens.params import Params
 from crewlens.plans.people import technicians_employees
-from crewlens.plans.scope import only_jobs
+from crewlens.plans.scope import Scope, within
 from crewlens.sources import Sources
 
 CODE, PERSON = ["timesheet_code_id", "company_id"], ["emp_id", "company_id"]
@@ -63,6 +63,7 @@ def timestamp_base(src: Sources, params: Params = Params()) -> DataFrame:
         CODE,
         tuning=params.join,
         hot=HotKeys(other_sheets, [CODE], params.join),
+        distinct_rows=True,
     )
     entries = stack(jobs, others)
 
@@ -77,9 +78,8 @@ def timestamp_base(src: Sources, params: Params = Params()) -> DataFrame:
         job_sheets.select("company_id", F.col("technician_id").alias("emp_id")),
         other_sheets.select("company_id", F.col("employee_id").alias("emp_id")),
     )
-    named = lookup_join(
-        entries, people, PERSON, tuning=params.join, hot=HotKeys(person_keys, [PERSON], params.join)
-    )
+    hot = HotKeys(person_keys, [PERSON], params.join)
+    named = lookup_join(entries, people, PERSON, tuning=params.join, hot=hot, distinct_rows=True)
     return named.select(
         "company_id",
         "emp_name",
@@ -99,9 +99,9 @@ def timestamp_base(src: Sources, params: Params = Params()) -> DataFrame:
     )
 
 
-def paid_hours_by_job(src: Sources, params: Params = Params(), jobs: DataFrame | None = None) -> DataFrame:
+def paid_hours_by_job(src: Sources, params: Params = Params(), jobs: Scope | None = None) -> DataFrame:
     """Minutes from dispatch to done per job, and the same as hours. Inactive entries count too."""
     minutes = minutes_between(F.col("dispatched_on"), F.col("done_on"))
-    sheets = only_jobs(src.table("timesheet_copy").select("job_id", "company_id", "dispatched_on", "done_on"), jobs, params)
+    sheets = within(src.table("timesheet_copy").select("job_id", "company_id", "dispatched_on", "done_on"), jobs)
     total = rollup(sheets, ["job_id", "company_id"], {"total_minutes": F.sum(minutes)})
     return total.withColumn("total_paid_time", hours_from_minutes(F.col("total_minutes")))

@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from conftest import got
 from pyspark.sql import functions as F
@@ -170,6 +172,32 @@ def test_rows_that_cannot_be_counted_are_joined_as_they_are(spark):
     assert op.lookup_join(same, lookup, ["k"], tuning=SPLIT).count() == 4
 
 
+@pytest.mark.parametrize("ranges", [1, 4, 8192])
+def test_id_sets_hold_every_id_and_nothing_else_while_ranges_have_places(spark, ranges):
+    ids = [0, 1, 63, 64, 32767, 32768, 10**12, -1, -64, -32769, 2**62, -(2**63), 2**63 - 1]
+    held = spark.createDataFrame([(c, i) for c in (1, 2) for i in ids[c - 1 :]] + [(1, None), (1, 0)], "company_id bigint, id bigint")
+    rng = random.Random(2)
+    others = [rng.randrange(-(10**13), 10**13) for _ in range(500)] + [i + d for i in ids for d in (-1, 1) if -(2**63) <= i + d < 2**63]
+    fact = spark.createDataFrame([(c, i, n) for n, i in enumerate(ids + others) for c in (1, 2)] + [(1, None, 0)], "company_id bigint, key bigint, n int")
+    tuning = JoinTuning(bitmap_bytes=4096 * ranges)
+    found = op.IdSet(held, "id", tuning).cut(fact, "key")
+    keys = held.select("company_id", F.col("id").alias("key")).where("key IS NOT NULL").distinct()
+    exact = fact.join(keys, ["company_id", "key"], "left_semi")
+    assert found.columns == fact.columns
+    assert got(found.join(keys, ["company_id", "key"], "left_semi")) == got(exact)
+    if ranges == 8192:  # ids of one tenant that span no more than the bits there are
+        near = (F.col("company_id") == 1) & F.col("key").between(-(2**26), 2**26)
+        alone = op.IdSet(held.where((F.col("company_id") == 1) & F.col("id").between(-(2**26), 2**26)), "id", tuning).cut(fact.where(near), "key")
+        assert got(alone) == got(exact.where(near)) != []
+    assert op.id_bitmaps(held, "id", ranges=ranges).count() <= ranges
+
+
+def test_id_sets_that_are_off_cut_nothing(spark):
+    fact = spark.range(5).select(F.lit(1).cast("bigint").alias("company_id"), "id")
+    assert op.IdSet(fact.limit(0), "id", JoinTuning(bitmap_bytes=0)).cut(fact).count() == 5
+    assert op.IdSet(fact.limit(0), "id").cut(fact).count() == 0
+
+
 def test_hot_keys_are_bounded_and_counted_once_for_several_joins(spark):
     fact = _fact(spark)
     both = op.HotKeys(fact, [("k",), ("v", "k")], SPLIT)

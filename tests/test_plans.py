@@ -12,6 +12,7 @@ from crewlens import Params, Sources, display, plans, publish
 from crewlens.params import JoinTuning
 from crewlens.plans import JOBS, rollups, technicians, timesheets
 from crewlens.plans.invoiced import invoiced_lines
+from crewlens.plans.scope import Scope
 from crewlens.plans.sales_master import recent_jobs, sales_master_rows
 from crewlens.sources import SCHEMAS
 
@@ -440,6 +441,26 @@ def test_recent_jobs_reach_the_scan_and_hold_all_that_pass(spark, tmp_path):
     assert "GreaterThanOrEqual(start" in stored._jdf.queryExecution().executedPlan().toString()
 
 
+def test_facts_are_shuffled_by_their_rollup_alone(spark):
+    """With a scope a fact is cut at its scan by a set that is sent, and shuffled once, summed, by job."""
+    src = sources(spark, SF)
+    scope = Scope(recent_jobs(src, PARAMS), PARAMS)
+    for rollup in (rollups.invoice_total_by_job, rollups.sold_estimates_by_job, timesheets.paid_hours_by_job):
+        plan = rollup(src, PARAMS, scope)._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+        assert plan.count("Exchange hashpartitioning(job_id") == 1
+        assert plan.count("Exchange hashpartitioning(__range") == plan.count("Exchange hashpartitioning") - 1 == 2
+    split = plans.sales_master_tracker(src, Params(as_of=PARAMS.as_of, min_year=1998, join=JoinTuning(broadcast_bytes=-1)))
+    master = plans.sales_master_tracker(src, PARAMS)._jdf.queryExecution().executedPlan().toString()
+    assert "left_semi" not in split._jdf.queryExecution().optimizedPlan().toString() and "SortMergeJoin" not in master
+
+
+def test_hours_are_summed_per_invoice_before_they_meet_a_job(spark):
+    plan = plans.invoiced_items(sources(spark, SF), PARAMS)._jdf.queryExecution().optimizedPlan().toString()
+    summed = [line for line in plan.splitlines() if "sum(sold_hours" in line]
+    assert len(summed) == 2 and "invoice_id" in summed[1] and "job_id" not in summed[1]
+
+
 def test_views_and_tables(spark):
     src = sources(spark, SF)
     views = publish.register_all(src, PARAMS)
