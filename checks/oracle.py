@@ -120,10 +120,9 @@ FROM (SELECT *, (SELECT sum(x.total) FROM d_estimate_item x WHERE x.company_id =
 """
 
 LEAD_SALES = f"""
-SELECT company_id, parent_job_id, {money('sum(sold)')} AS sub_total_lead
+SELECT company_id, parent_job_id, {money('sum(list_sum(sales))')} AS sub_total_lead
 FROM (SELECT company_id, job_generated_lead_source_job_id AS parent_job_id,
-             (SELECT list(subtotal) FROM d_estimate e WHERE e.company_id = j.company_id AND e.job_id = j.id AND active AND status_value = 1) AS sales,
-             list_sum(sales) AS sold
+             (SELECT list(subtotal) FROM d_estimate e WHERE e.company_id = j.company_id AND e.job_id = j.id AND active AND status_value = 1) AS sales
       FROM d_job j) led WHERE sales IS NOT NULL GROUP BY ALL
 """
 
