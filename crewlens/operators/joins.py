@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -43,10 +44,15 @@ class HotKeys:
         self, rows: DataFrame, joins: Sequence[Sequence[str]], tuning: JoinTuning = JoinTuning(), weight: str | None = None
     ):
         self.joins = [tuple(keys) for keys in joins]
-        n = tuning.buckets
+        self._rows, self._tuning, self._weight = rows, tuning, weight
+
+    @cached_property
+    def _hot(self) -> DataFrame:
+        # Planned when the first join asks: joins that broadcast need no counts.
+        n = self._tuning.buckets
         each = [F.struct(F.lit(i).alias(_JOIN), _bucket(keys, n).alias(_BUCKET)) for i, keys in enumerate(self.joins)]
-        counted = (F.col(weight) if weight else F.lit(1).cast("bigint")).alias("weight")
-        keyed = rows.select(counted, F.inline(F.array(*each)))
+        counted = (F.col(self._weight) if self._weight else F.lit(1).cast("bigint")).alias("weight")
+        keyed = self._rows.select(counted, F.inline(F.array(*each)))
         counts = keyed.groupBy(_JOIN, _BUCKET).agg(F.sum("weight").alias("rows"))
         # One row per list with at most ``buckets`` pairs in it.
         every = counts.groupBy(_JOIN).agg(
@@ -55,7 +61,7 @@ class HotKeys:
         )
         hot = F.filter("pairs", lambda p: (p["rows"] * n > F.col("total") * 4) & (p["rows"] > 1))
         parts = F.least(F.col("rows"), F.ceil(F.col("rows") * n / F.col("total"))).cast("int")
-        self._hot = every.select(_JOIN, "total", F.inline(hot)).select(_JOIN, _BUCKET, parts.alias(_SPLITS))
+        return every.select(_JOIN, "total", F.inline(hot)).select(_JOIN, _BUCKET, parts.alias(_SPLITS))
 
     def of(self, keys: Sequence[str]) -> DataFrame:
         """The hot buckets of one list of keys and into how many parts to split each."""

@@ -50,8 +50,10 @@ def _dated_jobs(src: Sources, params: Params, recent: Scope) -> DataFrame:
         "completed_on",
         "job_status",
     )
+    # Dealt by job once: every rollup is grouped by the same keys, and meets the jobs where they are.
     halves = (
         recent.cut(jobs)
+        .repartition(*KEYS)
         .join(past_appointments(src, params, recent), KEYS, "left")
         .join(next_appointments(src, params, recent), KEYS, "left")
     )
