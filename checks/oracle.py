@@ -319,6 +319,15 @@ ORACLES: dict[str, str] = {
     # The packaged readers, over tables written from the test tables
     "people_partitioned": PEOPLE,
     "people_tenant_roots": PEOPLE,
+    "invoiced_items_partitioned": INVOICED,
+    "invoiced_items_tenant_roots": INVOICED,
+    "invoiced_items_buckets": INVOICED,
+    "invoiced_items_ranges": INVOICED,
+    "installed_estimates_buckets": INSTALLED,
+    "wip_appointments_ranges": WIP,
+    "published_people": f"""SELECT * FROM ({PEOPLE}) p WHERE company_id = 3 OR (company_id = 1 AND emp_type = 'Employee')""",
+    "repeated_ids": """SELECT 'technician' AS "table", company_id, id, CASE WHEN id % 14 = 0 THEN 3 ELSE 2 END::BIGINT AS rows
+        FROM d_technician WHERE id % 7 = 0""",
     # Operators on the test tables as they are
     "lookup_join": """SELECT l_orderkey, l_linenumber, l_partkey, l_extendedprice, p_name, p_brand
         FROM lineitem LEFT JOIN part ON p_partkey = l_partkey""",

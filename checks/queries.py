@@ -14,6 +14,9 @@ from checks.testbed import PARAMS, ZONES, domain_table, read, sources
 from crewlens import Params, Sources, display, functions, operators, plans
 from crewlens.params import JoinTuning
 from crewlens.plans import appointments, rollups, technicians, timesheets
+from crewlens.publish import publish
+from crewlens.sources import write_buckets, write_ranges
+from crewlens.sources.layout import TIMES
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -32,26 +35,80 @@ def _job(fn: Callable[[Sources, Params], DataFrame], params: Params = PARAMS) ->
 def _stored(spark: SparkSession) -> str:
     """A new folder for tables that a query writes first: in the shared one, if the cluster names it."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     return f"{shared.rstrip('/')}/readers-{uuid.uuid4().hex}" if shared else tempfile.mkdtemp(prefix="readers-")
 
 
-def people_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The people, read from one partitioned dataset per table."""
-    root, src = _stored(spark), sources(spark, sf_dir)
-    for name in ("technician", "employee"):
-        src.table(name).write.mode("overwrite").partitionBy("company_id").parquet(f"{root}/{name}")
-    return plans.technicians_employees(Sources.from_parquet(spark, root, ZONES))
+PEOPLE_TABLES = ("technician", "employee")
+INVOICED_TABLES = ("job", "job_type", "invoice", "invoice_item")
 
 
-def people_tenant_roots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The people, read from one directory of tables per tenant."""
-    root, src = _stored(spark), sources(spark, sf_dir)
-    for name in ("technician", "employee"):
-        for cid in ZONES:
-            tenant = src.for_company(cid).table(name).drop("company_id")
-            tenant.write.mode("overwrite").parquet(f"{root}/tenant {cid}/{name}")
-    roots = {cid: f"{root}/tenant {cid}" for cid in ZONES}
-    return plans.technicians_employees(Sources.from_tenant_roots(spark, roots, ZONES))
+def _partitioned(job: Callable[[Sources, Params], DataFrame], tables: tuple[str, ...]) -> Query:
+    """A job, read from one partitioned dataset per table."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        root, src = _stored(spark), sources(spark, sf_dir)
+        for name in tables:
+            src.table(name).write.mode("overwrite").partitionBy("company_id").parquet(f"{root}/{name}")
+        return job(Sources.from_parquet(spark, root, ZONES), PARAMS)
+
+    return query
+
+
+def _tenant_roots(job: Callable[[Sources, Params], DataFrame], tables: tuple[str, ...]) -> Query:
+    """A job, read from one directory of tables per tenant."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        root, src = _stored(spark), sources(spark, sf_dir)
+        for name in tables:
+            for cid in ZONES:
+                tenant = src.for_company(cid).table(name).drop("company_id")
+                tenant.write.mode("overwrite").parquet(f"{root}/tenant {cid}/{name}")
+        roots = {cid: f"{root}/.//tenant {cid}/" for cid in ZONES}
+        return job(Sources.from_tenant_roots(spark, roots, ZONES), PARAMS)
+
+    return query
+
+
+def _in_ranges(job: Callable[[Sources, Params], DataFrame], tables: tuple[str, ...]) -> Query:
+    """A job over tables stored in ranges of time."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        root = _stored(spark)
+        times = {name: TIMES.get(name, "company_id") for name in tables}
+        write_ranges(sources(spark, sf_dir), root, 6, times)
+        return job(Sources.from_parquet(spark, root, ZONES), PARAMS)
+
+    return query
+
+
+def _in_buckets(job: Callable[[Sources, Params], DataFrame], tables: tuple[str, ...]) -> Query:
+    """A job over tables of the catalog, in buckets by key."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        database = f"buckets_{uuid.uuid4().hex}"
+        spark.sql(f"CREATE DATABASE {database} LOCATION '{_stored(spark)}'")
+        write_buckets(sources(spark, sf_dir), database, 8, tables)
+        return job(Sources.from_catalog(spark, database, ZONES), PARAMS)
+
+    return query
+
+
+def published_people(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A published view, after a run for two tenants in which one of them has lost its rows."""
+    name, root, src = f"default.people_{uuid.uuid4().hex}", _stored(spark), sources(spark, sf_dir)
+    publish(plans.technicians_employees(src, PARAMS), name, root, description="People")
+    later = plans.technicians_employees(src, PARAMS).where("company_id = 1 AND emp_type = 'Employee'")
+    publish(later, name, root, description="People", tenants=[1, 2])
+    return spark.newSession().table(name)
+
+
+def repeated_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids that stand more than once, where every seventh technician's row is there twice and every fourteenth's thrice."""
+    technicians = domain_table(spark, sf_dir, "technician")
+    again = technicians.where("id % 7 = 0").unionByName(technicians.where("id % 14 = 0"))
+    return Sources({"technician": technicians.unionByName(again), "job": domain_table(spark, sf_dir, "job")}, ZONES).repeated_ids()
 
 
 def _lookup(tuning: JoinTuning) -> Query:
@@ -372,8 +429,16 @@ QUERIES: dict[str, Query] = {
     "return_total_by_job": _job(rollups.return_total_by_job),
     "paid_hours_by_job": _job(timesheets.paid_hours_by_job),
     # The packaged readers, over tables written from the test tables
-    "people_partitioned": people_partitioned,
-    "people_tenant_roots": people_tenant_roots,
+    "people_partitioned": _partitioned(plans.technicians_employees, PEOPLE_TABLES),
+    "people_tenant_roots": _tenant_roots(plans.technicians_employees, PEOPLE_TABLES),
+    "invoiced_items_partitioned": _partitioned(plans.invoiced_items, INVOICED_TABLES),
+    "invoiced_items_tenant_roots": _tenant_roots(plans.invoiced_items, INVOICED_TABLES),
+    "invoiced_items_buckets": _in_buckets(plans.invoiced_items, INVOICED_TABLES),
+    "invoiced_items_ranges": _in_ranges(plans.invoiced_items, INVOICED_TABLES),
+    "installed_estimates_buckets": _in_buckets(rollups.installed_estimates_by_job, ("estimate", "estimate_item")),
+    "wip_appointments_ranges": _in_ranges(plans.wip_appointments, ("appointment",)),
+    "published_people": published_people,
+    "repeated_ids": repeated_ids,
     # Operators on the test tables as they are
     "lookup_join": _lookup(PARAMS.join),
     "lookup_join_split": _lookup(SPLIT),

@@ -77,6 +77,7 @@ def lookup_join(
     tuning: JoinTuning = JoinTuning(),
     hot: HotKeys | None = None,
     distinct_rows: bool = False,
+    together: bool = False,
 ) -> DataFrame:
     """Join a fact to a lookup on equally named columns (``how``: left, inner or left_semi).
 
@@ -89,7 +90,8 @@ def lookup_join(
     Equal fact rows are first counted, in their tasks and then over all of them: one row with a weight.
     A hot row's weight is shared out over the parts of its bucket, and every joined row is repeated as often as
     its share says, so not even one row that makes up half the fact ends in one task. ``distinct_rows`` says
-    that no two rows are equal (they hold an id), which spares that count and its shuffle.
+    that no two rows are equal (they hold an id), which spares that count and its shuffle. ``together`` says that the fact
+    lies in buckets by these keys, none of them hot: it is joined where it lies.
 
     ``hot`` has the counts of rows with the keys of the fact, made once for several joins; without it
     the fact itself is counted. It steers the split only, never the rows.
@@ -97,6 +99,8 @@ def lookup_join(
     if how not in ("left", "inner", "left_semi"):
         raise ValueError(f"lookup_join keeps the fact on the left: how={how!r}")
     on = list(on)
+    if together:
+        return fact.join(lookup, on, how)
     size = plan_bytes(lookup)
     if size is not None and size <= tuning.broadcast_bytes:
         return fact.join(F.broadcast(lookup), on, how)

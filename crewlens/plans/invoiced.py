@@ -48,6 +48,7 @@ def invoiced_lines(src: Sources, params: Params = Params()) -> DataFrame:
         INVOICE,
         "inner",
         tuning=params.join,
+        together=src.lie_together("invoice_item"),
     )
     return lines.select(
         "company_id",

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterable, Mapping
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from crewlens.sources.layout import is_bucketed, layout_name
 from crewlens.sources.schemas import SCHEMAS
 
 Table = DataFrame | Callable[[], DataFrame]
@@ -23,11 +25,26 @@ class Sources:
 
     A table is a DataFrame, or a function that opens it when a job first asks for it. Every table
     has ``company_id``; it leads all join, group and window keys, so tenants never mix.
+
+    ``together`` names the tables that lie in buckets by their key, without a hot one (see ``layout``): jobs join those to
+    each other as they lie. ``of_tenant`` opens a table of one tenant, where that is less than opening all.
     """
 
-    def __init__(self, tables: Mapping[str, Table], zones: Mapping[int, str]):
+    def __init__(
+        self,
+        tables: Mapping[str, Table],
+        zones: Mapping[int, str],
+        *,
+        together: Iterable[str] = (),
+        of_tenant: Callable[[int, str], DataFrame] | None = None,
+    ):
         self._tables = dict(tables)
         self.zones = dict(zones)
+        self._together = frozenset(together)
+        self._of_tenant = of_tenant
+
+    def lie_together(self, *names: str) -> bool:
+        return all(name in self._together for name in names)
 
     def table(self, name: str) -> DataFrame:
         if name not in self._tables:
@@ -42,13 +59,29 @@ class Sources:
             raise ValueError(f"spark.sql.session.timeZone must be UTC, not {zone}")
         return found
 
+    def names(self) -> list[str]:
+        """The bound tables."""
+        return sorted(self._tables)
+
     def for_company(self, company_id: int) -> Sources:
         """The same sources cut to one tenant; on a partitioned layout this prunes directories."""
 
         def cut(name: str) -> Callable[[], DataFrame]:
+            if self._of_tenant is not None:
+                return lambda: self._of_tenant(company_id, name)
             return lambda: self.table(name).where(F.col("company_id") == company_id)
 
-        return Sources({name: cut(name) for name in self._tables}, self.zones)
+        return Sources({name: cut(name) for name in self._tables}, self.zones, together=self._together)
+
+    def repeated_ids(self, *names: str) -> DataFrame:
+        """``table``, ``company_id``, ``id`` and ``rows`` of every id that stands more than once in one of the tables (all
+        that have an ``id`` by default). Jobs look rows up by id: one that is repeated multiplies what is joined to it."""
+        keyed = names or tuple(n for n, ddl in SCHEMAS.items() if n in self._tables and re.search(r"(^|, *)`?id`? ", ddl))
+        counts = [
+            self.table(n).groupBy("company_id", "id").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").select(F.lit(n).alias("table"), "company_id", "id", "rows")
+            for n in keyed
+        ]
+        return reduce(DataFrame.unionByName, counts)
 
     @classmethod
     def from_parquet(cls, spark: SparkSession, root: str, zones: Mapping[int, str]) -> Sources:
@@ -66,20 +99,61 @@ class Sources:
     ) -> Sources:
         """One directory of tables per tenant, as the raw loads leave them: ``<root>/<table>``.
 
-        A table is one scan over all roots; a row's tenant follows from the path of its file."""
-        by_root = {root.rstrip("/"): cid for cid, root in roots.items()}
+        A table is one scan over all roots; a row's tenant follows from the path of its file. Roots are spelled as the
+        file system spells them first, so ``/x/../t1`` and ``//t1`` are ``/t1``; a file under no root is an error, and so
+        are two tenants with one root. ``for_company`` opens the files of that tenant's root alone."""
+        by_root: dict[str, int] = {}
+        for cid, root in roots.items():
+            full = _qualified(spark, root)
+            if full in by_root:
+                raise ValueError(f"tenants {by_root[full]} and {cid} have the same root {full}")
+            by_root[full] = cid
+        own = {cid: root for root, cid in by_root.items()}
 
         def opener(name: str, ddl: str) -> Callable[[], DataFrame]:
             def open_() -> DataFrame:
                 found = spark.read.schema(ddl).parquet(*[f"{root}/{name}" for root in by_root])
-                # The directory in front of the table's own, with or without a scheme, escaped or not.
-                path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
-                tenant = F.lit(None).cast("bigint")
+                # Without the scheme, which is spelled in several ways, and not escaped.
+                raw = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+                path = F.regexp_replace(raw, _SCHEME, "/")
+                tenant = F.raise_error(F.concat(F.lit("no tenant's root holds "), path)).cast("bigint")
                 for root, cid in sorted(by_root.items(), key=lambda x: len(x[0])):
-                    bare = re.sub(r"^[a-z0-9]+:/*", "/", root)
-                    tenant = F.when(F.contains(path, F.lit(f"{bare}/{name}/")), F.lit(cid).cast("bigint")).otherwise(tenant)
+                    inside = F.startswith(path, F.lit(f"{re.sub(_SCHEME, '/', root)}/{name}/"))
+                    tenant = F.when(inside, F.lit(cid).cast("bigint")).otherwise(tenant)
                 return found.withColumn("company_id", tenant)
 
             return open_
 
-        return cls({name: opener(name, ddl) for name, ddl in SCHEMAS.items()}, zones)
+        def of_tenant(cid: int, name: str) -> DataFrame:
+            name = _COPIES.get(name, name)
+            found = spark.read.schema(SCHEMAS[name])
+            # A tenant without a root has no rows, as in the scan over all roots.
+            found = found.parquet(f"{own[cid]}/{name}") if cid in own else spark.createDataFrame([], SCHEMAS[name])
+            return found.withColumn("company_id", F.lit(cid).cast("bigint"))
+
+        tables = {name: opener(name, ddl) for name, ddl in SCHEMAS.items()}
+        return cls(tables, zones, of_tenant=of_tenant)
+
+    @classmethod
+    def from_catalog(cls, spark: SparkSession, database: str, zones: Mapping[int, str]) -> Sources:
+        """The tables of a database of the catalog, as ``layout.write_buckets`` leaves them."""
+        names = [t.name for t in spark.catalog.listTables(database) if not t.isTemporary]
+        logical = {layout_name(n): n for n in names}
+
+        def opener(name: str) -> Callable[[], DataFrame]:
+            return lambda: spark.table(f"`{database}`.`{name}`")
+
+        together = [n for n, t in logical.items() if is_bucketed(spark, f"`{database}`.`{t}`")]
+        return cls({n: opener(t) for n, t in logical.items()}, zones, together=together)
+
+
+_SCHEME = "^[A-Za-z][A-Za-z0-9+.-]*:/*"
+
+
+def _qualified(spark: SparkSession, root: str) -> str:
+    """The root as its file system spells it: with its scheme, without dots and doubled slashes."""
+    if not re.match(_SCHEME, root):  # two slashes in front would name a host
+        root = re.sub("/+", "/", root)
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    system = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return system.makeQualified(path).toString().rstrip("/")
