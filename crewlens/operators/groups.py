@@ -9,6 +9,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from crewlens.params import JoinTuning
+
 
 def rollup(
     df: DataFrame, keys: Sequence[str], aggs: Mapping[str, Column], where: Column | None = None
@@ -91,12 +93,35 @@ def top_n_per_group(
     return ranked if rank else ranked.drop(name)
 
 
-def distinct_list(df: DataFrame, keys: Sequence[str], value: Column, alias: str, sep: str = ", ") -> DataFrame:
+def distinct_list(
+    df: DataFrame, keys: Sequence[str], value: Column, alias: str, sep: str = ", ", tuning: JoinTuning = JoinTuning()
+) -> DataFrame:
     """Distinct values per group, sorted and joined. Repeats go away in a grouping on keys and value,
-    before the shuffle, so what a group collects is only its distinct values."""
-    once = df.select(*keys, value.alias("__value")).distinct()
-    text = F.array_join(F.sort_array(F.collect_list("__value")), sep)
-    return once.groupBy(*keys).agg(text.alias(alias))
+    before the shuffle, so what a group collects is only its distinct values.
+
+    The values of a hot group (of a key bucket above four times the mean, repeats gone) are collected and sorted by many tasks, in
+    runs of the values that begin alike: as far as the group's least and greatest value agree, and three characters more.
+    Runs sort as their beginnings do, so finished runs are joined as text; NULL is in no list."""
+    pieces = _sorted_runs(df, keys, value.cast("string"), tuning)
+    joined = pieces.select(*keys, "__begins", F.when(F.size("__run") > 0, F.array_join("__run", sep)).alias("__text"))
+    ordered = F.array_sort(F.collect_list(F.when(F.col("__text").isNotNull(), F.struct("__begins", "__text"))))
+    return joined.groupBy(*keys).agg(F.array_join(F.transform(ordered, lambda p: p["__text"]), sep).alias(alias))
+
+
+def _sorted_runs(df: DataFrame, keys: Sequence[str], value: Column, tuning: JoinTuning) -> DataFrame:
+    """Distinct values per group and beginning, sorted; one run without a beginning where a group is not hot."""
+    n = tuning.buckets
+    valued = df.select(*keys, value.alias("__value")).distinct().withColumn("__bucket", F.pmod(F.xxhash64(*keys), F.lit(n)).cast("int"))
+    # One row per bucket, then the hot ones, above four times the mean: at most a quarter of the buckets.
+    sizes = valued.groupBy("__bucket").agg(F.count(F.lit(1)).alias("rows"), F.min("__value").alias("lo"), F.max("__value").alias("hi"))
+    every = sizes.agg(F.sum("rows").alias("total"), F.collect_list(F.struct("__bucket", "rows", "lo", "hi")).alias("sizes"))
+    hot = every.select(F.inline(F.filter("sizes", lambda s: (s["rows"] * n > F.col("total") * 4) & (s["rows"] > 1))))
+    both = F.least(F.char_length("lo"), F.char_length("hi"))
+    alike = F.array_max(F.filter(F.sequence(F.lit(0), both), lambda i: F.left("lo", i) == F.left("hi", i)))
+    ends = hot.select("__bucket", alike.alias("__alike"))
+    runs = valued.join(F.broadcast(ends), "__bucket", "left")
+    begins = F.when(F.col("__alike").isNotNull(), F.left("__value", F.col("__alike") + 3))
+    return runs.groupBy(*keys, begins.alias("__begins")).agg(F.sort_array(F.collect_list("__value")).alias("__run"))
 
 
 def ordered_text(

@@ -5,6 +5,7 @@ from conftest import got
 from pyspark.sql import functions as F
 
 from crewlens import operators as op
+from crewlens.operators.groups import _sorted_runs
 from crewlens.params import JoinTuning
 
 # Every bucket with a row in it counts as hot, so that the split path takes part on tiny data.
@@ -62,6 +63,36 @@ def test_ordered_text_with_large_and_negative_ids(rows):
     assert got(op.ordered_text(df, ["g"], "n", "ids", chunk=1_000_000)) == [(1, ", ".join(map(str, sorted(ids))))]
 
 
+def test_list_of_a_hot_group_is_sorted_by_many_tasks(spark):
+    """Half of all rows on one parent, all of them different: no task that collects holds a quarter."""
+    df = spark.range(40_000).select(
+        F.when(F.col("id") % 2 == 0, 1).otherwise(F.col("id") % 997 + 2).alias("g"),
+        F.concat(F.lit("Tech é"), F.lpad(F.col("id").cast("string"), 6, "0")).alias("v"),
+    )
+    listed = op.distinct_list(df, ["g"], F.col("v"), "l", tuning=SPLIT)
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "16"}
+    before = {name: spark.conf.get(name) for name in settings}
+    for name, setting in settings.items():
+        spark.conf.set(name, setting)
+    try:
+        runs = _sorted_runs(df, ["g"], F.col("v"), SPLIT)
+        held = runs.groupBy(F.spark_partition_id()).agg(F.sum(F.size("__run"))).collect()
+        assert sum(r[1] for r in held) == 40_000 and max(r[1] for r in held) <= 0.25 * 40_000
+        assert got(listed) == got(df.groupBy("g").agg(F.array_join(F.sort_array(F.collect_set("v")), ", ").alias("l")))
+    finally:
+        for name, setting in before.items():
+            spark.conf.set(name, setting)
+
+
+@pytest.mark.parametrize("buckets", [1, 64])
+def test_distinct_lists_of_awkward_values(spark, buckets):
+    values = ["", "a", "ab", "abc", "abcd", "abd", "é", "éa", "日本", "日", "\U0001f600", "b", None, "a", "ab ", "Z", "aB"]
+    df = spark.createDataFrame([(g, v) for g in (1, 2, None) for v in values[: 17 if g else 5]] + [(3, None), (4, "")], "g bigint, v string")
+    df = df.unionByName(spark.range(500).select(F.lit(1).alias("g"), F.lit("abcx").alias("v")))
+    want = df.groupBy("g").agg(F.array_join(F.sort_array(F.collect_set("v")), ", ").alias("l"))
+    assert got(op.distinct_list(df, ["g"], F.col("v"), "l", tuning=JoinTuning(buckets=buckets))) == got(want)
+
+
 def test_explode_keep(rows):
     df = rows("g int, a array<int>", [(1, [1, None]), (2, []), (3, None)])
     assert got(op.explode_keep(df, "a", "x")) == [(1, None), (1, 1), (2, None), (3, None)]
