@@ -10,7 +10,7 @@ An article counts as a whole: all its regions stay, and others only if they outw
 less than a `share` of the heaviest region outside it.
 
 Defined cases: null and empty pages, and pages without text, give the empty string; an element that never closes reaches
-to the end, but an article opens even inside an unclosed menu or page header; repeated rows give repeated results.
+to the end, but an article opens even inside a form, menu or page header; repeated rows give repeated results.
 """
 
 from __future__ import annotations
@@ -23,7 +23,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-_TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*+)((?:"[^"]*"|'[^']*'|[^'">])*+)>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*)>""", re.DOTALL)
+_COMMENT = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>", re.DOTALL)
+_NAME = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)")
+# Attributes with their quotes paired, or else up to the next sign that closes a tag.
+_QUOTED = re.compile(r"""((?:"[^"]*"|'[^']*'|[^'">])*+)>""", re.DOTALL)
+_PLAIN = re.compile(r"([^>]*)>")
 _RAW = frozenset("script style noscript template textarea title svg math iframe object canvas video audio head".split())
 _SKIPPED = frozenset("nav footer aside form menu button select dialog fieldset label input".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -32,12 +36,18 @@ _BLOCK = frozenset(
     h4 h5 h6 header hgroup hr html li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul""".split()
 )
 _NAMED = re.compile(r"""\b(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.IGNORECASE)
+# A name says that an element is noise if one of its words is in the first list and all others are in either.
 _NOISE = frozenset(
     """ad ads adbox adslot advert adverts advertisement advertising alert banner breadcrumb breadcrumbs comment comments complementary
     consent contentinfo cookie cookies disqus footer form gdpr login masthead menu modal nav navbar navigation newsletter notice notices
     overlay paywall popup promo promotion related replies reply search share sharing sidebar signup social sponsor sponsored subscribe
     subscription toolbar widget""".split()
 )
+_PLACES = frozenset(
+    """action area articles aside bar block bottom box btn button buttons center col column container content cta fixed global group header
+    icons inner inline item items js label left links list main message mobile module outer page panel policy post posts primary right
+    rail row secondary section site slot small stories sticky story text thread top unit wide wrap wrapper""".split()
+)
 _HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
 _ENDS_ITSELF = frozenset(("p", "li", "dt", "dd", "td", "th", "tr", "option"))
 
@@ -50,11 +60,43 @@ def _noisy(name: str, attributes: str) -> bool:
         key, value = m[1].lower(), (m[2] or "").strip("\"'").lower()
         if key == "hidden" and not value or key == "aria-hidden" and value == "true":
             return True
-        if key in ("class", "id", "role") and any(w in _NOISE for w in re.split(r"[^a-z0-9]+", value)):
+        if key in ("class", "id", "role") and any(map(_noise_name, value.split())):
             return True
     return False
 
 
+def _noise_name(name: str) -> bool:
+    words = [w for w in re.split(r"[^a-z]+", name) if w]
+    return any(w in _NOISE for w in words) and all(w in _NOISE or w in _PLACES for w in words)
+
+
+class _Tags:
+    """The tags of a page in order, each looked for from the end of the one before. No search runs over the same part of
+    a page again and again: where no sign closes a tag any more the rest is text, and once quotes have stayed open to the
+    end of the page they pair with nothing."""
+
+    def __init__(self, page: str):
+        self.page, self.paired, self.last = page, True, page.rfind(">")
+
+    def next(self, at: int) -> tuple[int, int, str, bool, str] | None:
+        """(start, end, name, closing, attributes) of the first tag or comment from a place on; no name for a comment."""
+        page = self.page
+        while True:
+            at = page.find("<", at)
+            if at > self.last:  # only a comment that never closes
+                at = page.find("<!--", at)
+            if at < 0:
+                return None
+            if m := _COMMENT.match(page, at):
+                return at, m.end(), "", False, ""
+            if m := _NAME.match(page, at):
+                rest = _QUOTED.match(page, m.end()) if self.paired else None
+                self.paired = rest is not None
+                rest = rest or _PLAIN.match(page, m.end())
+                return at, rest.end(), m[2].lower(), bool(m[1]), rest[1]
+            at += 1
+
+
 def lines_of(page: str) -> tuple[list[tuple[str, bool, int]], bool]:
     """Lines as (text, inside an article, characters in links), and whether any article has text."""
     lines: list[tuple[str, bool, int]] = []
@@ -77,24 +119,24 @@ def lines_of(page: str) -> tuple[list[tuple[str, bool, int]], bool]:
             parts.append(text)
             linked += len(text) * in_link
 
-    at = 0
+    at, tags = 0, _Tags(page)
     while at < len(page):
-        m = _TAG.search(page, at)
-        if not m:
+        tag = tags.next(at)
+        if not tag:
             add(page[at:])
             break
-        add(page[at : m.start()])
-        at = m.end()
-        name = (m[2] or m[5] or "").lower()
+        start, end, name, closing, attributes = tag
+        add(page[at:start])
+        at = end
         if not name:
             continue
-        closing, attributes = bool(m[1] or m[4]), m[3] or m[6] or ""
         if name in _RAW and not closing:
-            end = re.compile(rf"</{name}\b[^>]*>" + (r"|(?=<body\b)" if name == "head" else ""), re.IGNORECASE).search(page, at)
-            at = end.end() if end else len(page)
+            # Nothing closes an element behind the page's last sign that closes a tag.
+            found = re.compile(rf"</{name}\b[^>]*>" + (r"|(?=<body\b)" if name == "head" else ""), re.IGNORECASE).search(page, at, tags.last + 1)
+            at = found.end() if found else len(page)
             continue
         if skip:
-            if skip in ("nav", "header", "menu") and not closing and name in ("article", "main"):
+            if skip in ("nav", "header", "menu", "form", "fieldset") and not closing and name in ("article", "main") and not _noisy("", attributes):
                 skip = ""
             elif skip in _ENDS_ITSELF and (name in _BLOCK and name != skip and closing or name == skip and not closing):
                 skip = ""

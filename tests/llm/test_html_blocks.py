@@ -1,4 +1,5 @@
 import re
+import time
 from html import unescape
 
 import numpy as np
@@ -101,3 +102,30 @@ def test_density_decides_inside_and_outside_articles(page, text):
 )
 def test_wrapped_blocks_stay_without_an_article(page, text):
     assert main_text(page) == text
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        (f'<div class="layout with-sidebar"><article><p>{LONG}</p></article><div class="sidebar">s</div></div>', LONG),
+        (f'<div class="ad-free content"><p>{LONG}</p></div>', LONG),
+        (f'<form id="aspnetForm"><nav><a>x</a></nav><article><p>{LONG}</p></article><input></form>', LONG),
+        (f'<article><p>{LONG}</p><p class="share-price">Up by two.</p><section id="related-work"><p>Others.</p></section></article>', f"{LONG}\n\nUp by two.\n\nOthers."),
+        (f'<article><p>{LONG}</p><div class="cookie-notice">c</div><div class="ad-slot-2">a</div><div class="related-posts">r</div><ul class="share-buttons">s</ul></article>', LONG),
+        (f'<div class="site-footer">f</div><div id="left-sidebar">l</div><div role="navigation">n</div><article>{LONG}</article>', LONG),
+        (f'<article><p title="a < b > c" data-x=\'<b>"x"</b>\'>{LONG}</p></article>', LONG),
+        (f"<p>{LONG}</p><!-- <p>never closed", LONG),
+        (f"<p>{LONG}</p> 1 <!-- x --> < 2 <", f"{LONG}\n\n1 < 2 <"),
+    ],
+)
+def test_names_that_only_hold_a_word_of_the_list_are_kept(page, text):
+    assert main_text(page) == text
+
+
+@pytest.mark.parametrize("unit", ["<a ", '<a"', '<a ">', "<a '", '<a "x', "<!", "<!--", "</script", "<script", "<p class=", "&", "<", '<a b="c>" d=\'', "<div>", "<style></style"])
+@pytest.mark.parametrize("end", ["", ">", '"', "'>"])
+def test_pages_of_a_megabyte_take_linear_time(unit, end):
+    page = unit * ((1 << 20) // len(unit)) + end
+    began = time.process_time()
+    main_text(page)
+    assert time.process_time() - began < 8
