@@ -1,9 +1,11 @@
 import hashlib
-import re
 import random
+import re
+import time
 
+import pytest
 
-from crewlens.llm.secret_markov import base_spans, redact_secrets, scan_secrets
+from crewlens.llm.secret_markov import MARGIN, TOTAL, base_spans, markov_spans, redact_secrets, scan_secrets, train
 
 WORDS = "account balance_sheet connection.timeout user-name the and configuration international characteristically".split()
 
@@ -58,6 +60,47 @@ def test_models_find_random_strings_and_leave_words(spark):
     assert sum(out[i] for i in range(100, 105)) >= 4
 
 
+LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+
+
+@pytest.fixture(scope="module")
+def odds(spark):
+    """Models of the given table, which holds bare random strings as well."""
+    return train(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"), MARGIN, TOTAL)
+
+
+@pytest.mark.parametrize("length, recall", [(12, 0.9), (16, 0.95), (20, 0.95), (40, 0.95)])
+def test_bare_random_strings_are_found_from_twelve_characters_on(odds, length, recall):
+    rng = random.Random(length)
+    texts = [f"see {''.join(rng.choices(LETTERS, k=length))} there" for _ in range(300)]
+    found = sum(markov_spans(t, [], odds, MARGIN, TOTAL) == [(4, 4 + length, "markov")] for t in texts)
+    assert found >= recall * 300, found
+
+
+def test_ordinary_words_are_left_alone(odds):
+    words = """internationalization characteristically getElementsByTagName user_profile_settings 2024-01-31 12:30:00.000 /usr/local/lib/python
+        http://www.example.com/index.html Donaudampfschifffahrt com.example.service.impl README.md 1234567890123 ------------ ............
+        ============ anticonstitutionnellement max_connections_per_host""".split()
+    assert [w for w in words if markov_spans(w, [], odds, MARGIN, TOTAL)] == []
+
+
+def test_spans_are_walked_in_step(odds):
+    """Two megabytes in which base spans and other runs alternate."""
+    rng = random.Random(1)
+    text = " ".join(f"{rng.randbytes(10).hex()} {''.join(rng.choices(LETTERS, k=24))}" for _ in range(1 << 15 + 0))
+    text = text[: 2 << 20]
+    began = time.process_time()
+    base = base_spans(text)
+    spans = markov_spans(text, base, odds, MARGIN, TOTAL)
+    assert time.process_time() - began < 5 and len(base) > 20000 and len(spans) > 20000
+    some = text[:20000]
+    base = base_spans(some)
+    slow = [s for s in markov_spans(some, [], odds, MARGIN, TOTAL) if not any(s[0] < y and x < s[1] for x, y, _ in base)]
+    assert markov_spans(some, base, odds, MARGIN, TOTAL) == slow
+    nested = [(0, 5000, "assign"), (10, 30, "hex"), (9000, 9100, "hex")]
+    assert all(a >= 5000 for a, _, _ in markov_spans(some, nested, odds, MARGIN, TOTAL))
+
+
 def test_redaction(spark):
     docs = spark.createDataFrame([(1, "a token = 0123456789abcdef b", 9), (2, None, 1), (3, "clean", 5)], "doc_id long, text string, n_chars long")
     out = redact_secrets(docs)
