@@ -101,8 +101,9 @@ def fit(terms: list[np.ndarray], toxic: np.ndarray, cells: int, factors: int = 4
 def _contrast(terms: list[np.ndarray], toxic: np.ndarray, cells: int) -> np.ndarray:
     """How many standard errors each cell's share among toxic rows lies above that among the others."""
     n = np.array([len(toxic) - toxic.sum(), toxic.sum()])
-    of = np.repeat(toxic.astype(int), [len(t) for t in terms])
-    rows = np.bincount(np.concatenate(terms) * 2 + of, minlength=2 * cells).reshape(cells, 2)
+    of = np.repeat(toxic.astype(np.int8), [len(t) for t in terms])
+    cell = np.concatenate(terms)
+    rows = np.stack([np.bincount(cell[of == x], minlength=cells) for x in (0, 1)], 1)
     share = (rows.sum(1) + 1) / (n.sum() + 2)
     return (rows[:, 1] / n[1] - rows[:, 0] / n[0]) / np.sqrt(share * (1 - share) * (1 / n).sum())
 
@@ -122,12 +123,15 @@ def train(docs: DataFrame, labels: DataFrame, cells: int = 1 << 17, per_class: i
     picked = [known.where(F.col("toxic") == x).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class) for x in (0, 1)]
     few = picked[0].unionByName(picked[1])  # at most 2 * per_class rows of two numbers
     sample = docs.select("doc_id", "text").join(F.broadcast(few), "doc_id").select("text", "toxic").dropDuplicates()
-    rows = sample.mapInArrow(_sample(cells), "toxic int, terms array<int>").toArrow()
+    rows = sample.mapInArrow(_sample(cells), "toxic int, terms array<int>").toArrow().combine_chunks()
     toxic = rows["toxic"].to_numpy().astype(float)
+    # All terms in one array of 32-bit cells, a view of it per row: no Python object per term.
+    lists = rows["terms"].combine_chunks()
+    flat, cuts = lists.values.to_numpy(), lists.offsets.to_numpy()
     if not 0 < toxic.sum() < len(toxic):
         return Machine(float(np.log(shares[1] / shares[0])), np.zeros(cells), np.zeros((cells, 1)))
     # The order of rows must not matter: sort them by content.
-    terms = [np.asarray(t, np.int64) for t in rows["terms"].to_pylist()]
+    terms = [flat[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
     order = sorted(range(len(terms)), key=lambda i: (toxic[i], len(terms[i]), terms[i].tobytes()))
     machine = fit([terms[i] for i in order], toxic[order], cells)
     machine.bias += float(np.log(shares[1] / shares[0]) - np.log(toxic.sum() / (len(toxic) - toxic.sum())))
