@@ -24,7 +24,8 @@ block, in a range that depends on the block.
 
 Comparing. Counting a set's shingles in 256 parts of the hash space maps it to a vector, and the sum of differences
 of two vectors is never more than the number of shingles that only one set holds. Candidates whose vectors are too far
-apart cannot be linked and go before any set is read; the others are compared set against set.
+apart cannot be linked and go before any set is read; the others are compared set against set. Inside a region members are
+compared by size, component and a smaller vector (64 parts) in place: what these rule out never becomes a row.
 
 Sets and shingles are 64-bit hashes. Documents with equal sets are one node. Defined cases: null texts and texts without
 words have the empty set, link with nothing and are their own component; rows without doc_id take no part and get a null
@@ -51,7 +52,8 @@ MATCH, OF = 75, 100  # the least similarity is MATCH / OF
 HOT = 1 << 16
 DENSE = 32
 REGION = 64
-PARTS = 256
+PARTS, SKETCH = 256, 64
+REGION_BYTES = 32 << 20
 
 
 class Sets:
@@ -100,9 +102,11 @@ def _nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for a, b, words in slices(batch.column("text"), lower=True):
             sets = Sets(words)
-            vectors = pa.array([v.tobytes() for v in sets.vectors()], pa.binary())
-            arrays = [batch.column("doc_id").slice(a, b - a), pa.array(sets.size, pa.int64()), pa.array(sets.nodes()), vectors]
-            yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "n_shingles", "node", "vector"])
+            vectors = sets.vectors()
+            sketches = np.minimum(vectors.reshape(-1, SKETCH, PARTS // SKETCH).sum(2, dtype=np.int64), 255).astype(np.uint8)
+            both = [pa.array([v.tobytes() for v in x], pa.binary()) for x in (vectors, sketches)]
+            arrays = [batch.column("doc_id").slice(a, b - a), pa.array(sets.size, pa.int64()), pa.array(sets.nodes()), *both]
+            yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "n_shingles", "node", "vector", "sketch"])
 
 
 def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -291,7 +295,7 @@ class _Comparer:
 
     def __init__(self, docs: DataFrame, rows: DataFrame):
         self.docs, self.rows = docs, rows
-        self.nodes = written(rows.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"), F.first("vector").alias("vector")), "nodes")
+        self.nodes = written(rows.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"), F.first("vector").alias("vector"), F.first("sketch").alias("sketch")), "nodes")
 
     def __call__(self, pairs: DataFrame) -> DataFrame:
         """a, b, shared and together for the pairs (a, b) of nodes."""
@@ -327,12 +331,49 @@ def _open_regions(members: DataFrame, roots: DataFrame, keys: list[str]) -> Data
     return named.join(mixed.select(*keys, "members"), keys)
 
 
-def _pairs(regions: DataFrame, keys: list[str], *more: str, when: Column | None = None) -> DataFrame:
-    """Members of different components whose sizes allow a link."""
-    other = regions.select(*keys, *(F.col(c).alias(f"{c}2") for c in ("node", "n", "root", *more)))
-    fits = (F.col("node") < F.col("node2")) & (F.col("root") != F.col("root2")) & _fits("n", "n2")
-    both = regions.select(*keys, "node", "n", "root", *more).join(other, keys).where(fits if when is None else fits & when)
-    return both.select(F.col("node").alias("a"), F.col("node2").alias("b")).distinct()
+def _region_pairs(regions: np.ndarray, node: np.ndarray, n: np.ndarray, root: np.ndarray, sketch: np.ndarray, far: np.ndarray | None, inside: np.ndarray | None) -> np.ndarray:
+    """Pairs (a, b), a < b, of one part's regions: different components, sizes, triangle windows, shingles inside the pivot and
+    sketches that allow a link. Rows of a region are compared in blocks; no pair is made that they rule out."""
+    order = np.lexsort((n, regions))
+    starts = np.flatnonzero(np.concatenate([[True], np.diff(regions[order]) != 0]))
+    found = [np.empty((0, 2), np.int64)]
+    for rows in np.split(order, starts[1:]) if len(order) else []:
+        size = n[rows]
+        # Sizes rise: partners of a row lie between it and the greatest size that fits.
+        last = np.searchsorted(size * MATCH, size * OF, "right")
+        for x in range(len(rows)):
+            near = rows[x + 1 : last[x]]
+            if not len(near):
+                continue
+            i = rows[x]
+            fit = (root[near] != root[i]) & (node[near] != node[i])
+            if far is not None:
+                fit &= np.abs(far[near] - far[i]) <= 1 - MATCH / OF + 1e-9
+            if inside is not None:
+                fit &= np.minimum(inside[near], inside[i]) * (MATCH + OF) >= (n[near] + n[i]) * MATCH
+            near = near[fit]
+            if len(near):
+                apart = np.abs(sketch[near].astype(np.int16) - sketch[i]).sum(1)
+                near = near[apart * (MATCH + OF) <= (n[near] + n[i]) * (OF - MATCH)]
+                found.append(np.stack([np.minimum(node[near], node[i]), np.maximum(node[near], node[i])], 1))
+    return np.unique(np.concatenate(found), axis=0)
+
+
+def _pairs(regions: DataFrame, keys: list[str], compare: _Comparer, far: bool = False, inside: bool = False) -> DataFrame:
+    """Members (node, n, root) of the regions `keys` that may be linked, as (a, b). A task has some regions, about `REGION_BYTES`."""
+    used = [c for c, use in (("far", far), ("inside", inside)) if use]
+    rows = regions.select(F.xxhash64(*keys).alias("region"), "node", "n", "root", *used)
+    parts = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-rows.count() * (SKETCH + 48) // REGION_BYTES))
+
+    def run(table: pa.Table) -> pa.Table:
+        sketch = np.frombuffer(b"".join(table["sketch"].to_pylist()), np.uint8).reshape(-1, SKETCH)
+        columns = [table[c].to_numpy() for c in ("region", "node", "n", "root")]
+        more = [table[c].to_numpy() if c in used else None for c in ("far", "inside")]
+        pairs = _region_pairs(*columns, sketch, *more)
+        return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
+
+    dealt = rows.join(compare.nodes.select("node", "sketch"), "node").withColumn("part", F.expr(f"pmod(xxhash64(region), {parts})"))
+    return dealt.repartition(parts, "part").groupBy("part").applyInArrow(run, "a long, b long").distinct()
 
 
 def _outside(hot: np.ndarray, ranks: np.ndarray):
@@ -376,7 +417,7 @@ def _split_by_pivot(large: DataFrame, compare: _Comparer, hot: np.ndarray, ranks
 def _last_links(members: DataFrame, roots: DataFrame, links: DataFrame, compare: _Comparer, hot: np.ndarray, ranks: np.ndarray) -> DataFrame:
     """The links that stars have not shown, so far as they join components."""
     open_ = written(_open_regions(members.select("key", "node", "n").distinct(), roots, ["key"]), "open-regions")
-    found = _pairs(open_.where(F.col("members") <= REGION), ["key"])
+    found = _pairs(open_.where(F.col("members") <= REGION), ["key"], compare)
     large = open_.where(F.col("members") > REGION)
     if large.isEmpty():
         return _linked(compare(found))
@@ -386,12 +427,10 @@ def _last_links(members: DataFrame, roots: DataFrame, links: DataFrame, compare:
     roots = written(components(links.unionByName(near), "roots"), "roots")
     far = 1 - F.col("inside") / (F.col("n") + F.col("m") - F.col("inside"))
     named = inside.withColumn("far", far).join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    window = F.abs(F.col("far") - F.col("far2")) <= 1 - MATCH / OF + 1e-9
-    enough = F.least("inside", "inside2") * (MATCH + OF) >= (F.col("n") + F.col("n2")) * MATCH
-    by_size = _pairs(named.drop("outside"), ["pivot"], "inside", "far", when=window & enough)
+    by_size = _pairs(named, ["pivot"], compare, far=True, inside=True)
     outside = inside.withColumn("far", far).select("pivot", "node", "n", "far", F.explode("outside").alias("key"))
-    regions = _open_regions(outside, roots, ["pivot", "key"])
-    found = found.unionByName(by_size).unionByName(_pairs(regions, ["pivot", "key"], "far", when=window)).distinct()
+    regions = written(_open_regions(outside, roots, ["pivot", "key"]), "outside-regions")
+    found = found.unionByName(by_size).unionByName(_pairs(regions, ["pivot", "key"], compare, far=True)).distinct()
     return near.unionByName(_linked(compare(found)))
 
 
@@ -402,7 +441,7 @@ def jaccard_components(docs: DataFrame, ranges: int | None = None, block_bytes:
         ranges = 1 << max(0, math.ceil(math.log2(int(spark.conf.get("spark.sql.shuffle.partitions")))))
     kind = docs.schema["doc_id"].dataType.simpleString()
     docs = docs.select("doc_id", "text")
-    rows = written(docs.mapInArrow(_nodes, f"doc_id {kind}, n_shingles long, node long, vector binary"), "sets", 1024)
+    rows = written(docs.mapInArrow(_nodes, f"doc_id {kind}, n_shingles long, node long, vector binary, sketch binary"), "sets", 1024)
     known = rows.where("n_shingles > 0 AND doc_id IS NOT NULL")
     usable = docs.where("doc_id IS NOT NULL AND text IS NOT NULL")
 
