@@ -34,6 +34,8 @@ MARK = "▁"
 UNKNOWN_COST = 10.0
 NONE = -np.inf
 WIDE = 256  # longer words are solved one by one
+REMEMBERED = 1 << 18
+_NO_IDS = np.empty(0, np.int32)
 _WORD = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 _MEETING = re.compile(f"[^{MARK}](?={MARK})")  # all paths meet after it
 
@@ -68,6 +70,7 @@ class Lattice:
                 raise ValueError(f"piece {name!r} goes beyond a space mark")
         byte_of = {int(i): bytes([b]) for b, i in enumerate(self.bytes) if i >= 0}
         self.raw = [b"" if i in silent else byte_of.get(i, name.encode()) for i, name in enumerate(self.names)]
+        self.solved: dict[str, tuple[np.ndarray, float]] = {}
         self._table()
 
     def _table(self) -> None:
@@ -133,22 +136,31 @@ class Lattice:
         return best[n], out[::-1]
 
     def words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Pieces of many strings (flat), their bounds, and the strings' scores."""
-        lengths = np.array([len(w) for w in words], np.int64)
-        ids: list[np.ndarray | None] = [None] * len(words)
-        scores = np.zeros(len(words))
+        """Pieces of many strings (flat), their bounds, and the strings' scores. Words that a process has solved before are
+        looked up; it remembers `REMEMBERED` of at most `WIDE` characters, then starts anew."""
+        if len(self.solved) > REMEMBERED:
+            self.solved.clear()
+        solved = self.solved
+        new = [w for w in words if w not in solved]
+        lengths = np.array([len(w) for w in new], np.int64)
+        ids: list[np.ndarray | None] = [None] * len(new)
+        scores = np.zeros(len(new))
         low = 0
         for high in (4, 8, 12, 16, 24, 32, 64, WIDE):
             some = np.flatnonzero((lengths > low) & (lengths <= high))
-            for k in range(0, len(some), 1 << 15):
-                self._in_step([words[i] for i in some[k : k + (1 << 15)]], some[k : k + (1 << 15)], high, ids, scores)
+            for k in range(0, len(some), 1 << 13):
+                self._in_step([new[i] for i in some[k : k + (1 << 13)]], some[k : k + (1 << 13)], high, ids, scores)
             low = high
-        for i in np.flatnonzero(lengths > WIDE).tolist():
-            scores[i], found = self.path(words[i])
-            ids[i] = np.array(found, np.int32)
-        empty = np.empty(0, np.int32)
-        parts = [x if x is not None else empty for x in ids]
-        return np.concatenate([*parts, empty]), np.cumsum([0, *map(len, parts)]), scores
+        own = {}
+        for word, found, score, length in zip(new, ids, scores.tolist(), lengths.tolist(), strict=True):
+            if length > WIDE:
+                score, path = self.path(word)
+                own[word] = np.array(path, np.int32), score
+            else:
+                solved[word] = (found if found is not None else _NO_IDS), score
+        parts = [solved.get(w) or own[w] for w in words]
+        flat = np.concatenate([*(p for p, _ in parts), _NO_IDS])
+        return flat, np.cumsum([0, *(len(p) for p, _ in parts)]), np.array([x for _, x in parts], np.float64)
 
     def _in_step(self, words: list[str], at: np.ndarray, width: int, ids: list, scores: np.ndarray) -> None:
         n = len(words)
@@ -188,26 +200,40 @@ class Lattice:
         for k in np.flatnonzero((steps == -1).any(1)).tolist():  # characters that only bytes can write
             ids[at[k]] = np.array(self.path(words[k])[1], np.int32)
 
+    def spread(self, text: str, ahead: str, entries: int) -> np.ndarray:
+        """Best scores from each entry state to each exit state of a string, in one pass over its characters: all entries
+        go along side by side, and pieces over the end are looked for once at the end."""
+        n, states, whole = len(text), self.longest, text + ahead
+        best = np.full((n + 1, entries), NONE)
+        for s in range(min(entries, n + 1)):
+            best[s, s] = 0.0
+        for end in range(1, n + 1):
+            top = np.maximum(best[end], best[end - 1] + self.unknown)
+            for size in range(1, min(states, end) + 1):
+                found = self.pieces.get(text[end - size : end])
+                if found:
+                    np.maximum(top, best[end - size] + found[0], out=top)
+            best[end] = top
+        out = np.full((entries, states), NONE)
+        out[:, 0] = best[n]
+        for e in range(1, min(states - 1, len(ahead)) + 1):
+            for size in range(e + 1, min(states, n + e) + 1):
+                found = self.pieces.get(whole[n + e - size : n + e])
+                if found:
+                    out[:, e] = np.maximum(out[:, e], best[n + e - size] + found[0])
+        # A piece that covers the whole string and more leaves it in a state of its own.
+        for s in range(n + 1, entries):
+            out[s, s - n] = 0.0
+        return out
+
     def transfer(self, text: str, ahead: str) -> np.ndarray:
         """Best scores from each entry state to each exit state of a chunk of marked text, but for the words
         strictly inside it, which all paths have in common."""
-        n, states = len(text), self.longest
-        out = np.full((states, states), NONE)
         cuts = [m.start() + 1 for m in _MEETING.finditer(text)]
-        first, last = (cuts[0], cuts[-1]) if cuts else (-1, -1)
-        ends = range(min(states, len(ahead) + 1))
-        if first < 0:
-            for s in range(min(states, n + 1)):
-                for e in ends:
-                    out[s, e] = self.path(text[s:] + ahead[:e], n - s if e else None)[0] if s < n or not e else NONE
-            # A piece that covers the whole chunk and more leaves it in a state of its own.
-            for s in range(n + 1, states):
-                out[s, s - n] = 0.0
-            return out
-        head = [self.path(text[s:first])[0] if s <= first else NONE for s in range(states)]
-        tail = [self.path(text[last:] + ahead[:e], n - last if e else None)[0] for e in ends]
-        out[:, : len(tail)] = np.add.outer(head, tail)
-        return out
+        if not cuts:
+            return self.spread(text, ahead, self.longest)
+        head = self.spread(text[: cuts[0]], "", self.longest)[:, 0]
+        return np.add.outer(head, self.spread(text[cuts[-1] :], ahead, 1)[0])
 
     def chunk(self, text: str, ahead: str, entry: int, leave: int) -> tuple[np.ndarray, float]:
         """Pieces of a chunk that start in it, between its two states."""
@@ -227,8 +253,11 @@ class Lattice:
 
 
 def combined(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """The max-plus product of (stacks of) matrices."""
-    return (a[..., :, :, None] + b[..., None, :, :]).max(-2)
+    """The max-plus product of (stacks of) matrices, one inner state after the other: no array is larger than the stack."""
+    out = a[..., :, 0, None] + b[..., None, 0, :]
+    for k in range(1, a.shape[-1]):
+        np.maximum(out, a[..., :, k, None] + b[..., None, k, :], out=out)
+    return out
 
 
 def prefixes(matrices: np.ndarray) -> np.ndarray:

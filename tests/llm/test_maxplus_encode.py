@@ -1,4 +1,5 @@
 import random
+import time
 import zlib
 
 import numpy as np
@@ -112,6 +113,38 @@ def test_chunks_give_the_best_path(model, size):
         assert "".join(model.decode(ids.tolist(), k == 0) for k, (ids, _) in enumerate(found) if len(ids)) == text
 
 
+def test_a_chunk_without_spaces_is_one_pass(model):
+    """8192 Chinese characters, from every entry to every exit, and each against single paths."""
+    rng = random.Random(2)
+    text = "".join(chr(rng.randrange(0x4E00, 0x9FA5)) for _ in range(8192))
+    began = time.process_time()
+    model.transfer(text, "日本語")
+    assert time.process_time() - began < 2
+    for text, ahead in [("internationalrepresentation", "alization"), ("日本語の文", "章"), ("ab", "straight"), ("thethe", "")]:
+        found = model.transfer(text, ahead)
+        for s in range(min(len(text), model.longest)):
+            for e in range(min(model.longest, len(ahead) + 1)):
+                assert found[s, e] == pytest.approx(model.path(text[s:] + ahead[:e], len(text) - s if e else None)[0])
+
+
+def test_a_giant_text_without_spaces(spark, model):
+    text = "国际化straightforward" * 5000
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    pieces = encode(docs).collect()
+    assert len(pieces) == 3 and sum(r["score"] for r in pieces) == pytest.approx(model.path(MARK + text)[0], rel=1e-9)
+
+
+def test_words_solved_before_are_looked_up(monkeypatch):
+    monkeypatch.setattr("crewlens.llm.maxplus_encode.REMEMBERED", 3)
+    fresh = Lattice(None)
+    words = [MARK + w for w in ("the", "of", "straightforward", "", "x" * 300, "日本")]
+    first = [x.tolist() for x in fresh.words(words)]
+    for _ in range(3):
+        assert [x.tolist() for x in fresh.words(words)] == first
+        assert [x.tolist() for x in fresh.words(words[::-1])][2] == first[2][::-1]
+    assert all(len(w) <= 256 for w in fresh.solved)
+
+
 def test_round_trip(spark):
     rows = [(i, t, "x", 1) for i, t in enumerate([*texts(), None, "", " ", "  two  ", "y" * 5000, "long words " * 400, "a▁b"])]
     docs = spark.createDataFrame(rows, "doc_id long, text string, ids string, chunk int").repartition(3)
