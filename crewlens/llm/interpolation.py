@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from crewlens.llm.shared import remainder, written
+from crewlens.llm.shared import hash_ranges, remainder, written
 from crewlens.llm.textkit import Words, mix, ngrams, pack, slices, unpack
 
 END = np.uint64(0x0123456789ABCDEF)
@@ -255,10 +255,11 @@ def _scores(weights: np.ndarray, tokens: int, types: int):
 def interpolated_scores(docs: DataFrame, block_bytes: int = 12 << 20, ranges: int | None = None) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, base_score, score, train_tokens per row of `docs` (doc_id, text).
 
-    `ranges`: parts of the hash space, a power of two; by default at least the session's shuffle partitions."""
+    `ranges`: parts of the hash space, a power of two; by default at least the session's shuffle partitions, and so many that
+    one holds about 64 MB: a byte of text sends about 1.5 bytes of hashes and counts."""
     spark = docs.sparkSession
     if ranges is None:
-        ranges = 1 << max(0, math.ceil(math.log2(int(spark.conf.get("spark.sql.shuffle.partitions")))))
+        ranges = hash_ranges(spark, 1.5 * (docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0))
     fold = remainder("doc_id", 10)
     role = F.when(fold == 0, HELD_OUT).when(fold == 1, DELETED).otherwise(RETAINED).cast("int")
     rows = docs.select("doc_id", "text", role.alias("role"), F.spark_partition_id().alias("part"))

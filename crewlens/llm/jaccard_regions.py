@@ -22,10 +22,10 @@ them (a bounded table of the most repeated ones), which keeps common passages ou
 a block of documents sends at most `dense` members of a cell to the cell's home; the rest stay with a pivot of their
 block, in a range that depends on the block.
 
-Comparing. Counting a set's shingles in 256 parts of the hash space maps it to a vector, and the sum of differences
+Comparing. Counting a set's shingles in 1024 parts of the hash space maps it to a vector, and the sum of differences
 of two vectors is never more than the number of shingles that only one set holds. Candidates whose vectors are too far
 apart cannot be linked and go before any set is read; the others are compared set against set. Inside a region members are
-compared by size, component and a smaller vector (64 parts) in place: what these rule out never becomes a row.
+compared by size, component and a smaller vector (256 parts) in place: what these rule out never becomes a row.
 
 Sets and shingles are 64-bit hashes. Documents with equal sets are one node. Defined cases: null texts and texts without
 words have the empty set, link with nothing and are their own component; rows without doc_id take no part and get a null
@@ -44,7 +44,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from crewlens.llm.graph import best_per, components
-from crewlens.llm.shared import sized, written
+from crewlens.llm.shared import hash_ranges, sized, written
 from crewlens.llm.textkit import Words, mix, ngrams, slices
 
 SHINGLE = 5
@@ -52,7 +52,7 @@ MATCH, OF = 75, 100  # the least similarity is MATCH / OF
 HOT = 1 << 16
 DENSE = 32
 REGION = 64
-PARTS, SKETCH = 256, 64
+PARTS, SKETCH = 1024, 256
 REGION_BYTES = 32 << 20
 
 
@@ -82,9 +82,14 @@ class Sets:
 
     def vectors(self) -> np.ndarray:
         """Shingles of each text in each part of the hash space, at most 255."""
-        part = (self.hash >> np.uint64(56)).astype(np.int64)
-        counts = np.bincount(self.owner * PARTS + part, minlength=len(self.size) * PARTS)
-        return np.minimum(counts, 255).astype(np.uint8).reshape(-1, PARTS)
+        part = (self.hash >> np.uint64(54)).astype(np.int64)  # 1024 parts
+        out = np.empty((len(self.size), PARTS), np.uint8)
+        for a in range(0, len(self.size), 1024):  # texts of no words are many to a batch
+            b = min(a + 1024, len(self.size))
+            own = slice(self.first[a], self.first[b])
+            counts = np.bincount((self.owner[own] - a) * PARTS + part[own], minlength=(b - a) * PARTS)
+            out[a:b] = np.minimum(counts, 255).reshape(-1, PARTS)
+        return out
 
     def nodes(self) -> np.ndarray:
         """A hash of each text's set."""
@@ -93,6 +98,16 @@ class Sets:
         return mix((sums[self.first[1:]] - sums[self.first[:-1]]) ^ mix(self.size.astype(np.uint64))).view(np.int64)
 
 
+def sketched(vectors: np.ndarray) -> np.ndarray:
+    """Counts in `SKETCH` parts, at most 15, two to a byte."""
+    few = np.minimum(vectors.reshape(len(vectors), SKETCH, -1).sum(2, dtype=np.int64), 15).astype(np.uint8)
+    return few[:, ::2] | few[:, 1::2] << 4
+
+
+def unsketched(packed: np.ndarray) -> np.ndarray:
+    return np.stack([packed & 15, packed >> 4], 2).reshape(len(packed), -1)
+
+
 def window_length(size: np.ndarray) -> np.ndarray:
     """How many of a set's first shingles are sure to hold two that any partner's window holds as well."""
     return np.minimum(size, size - -(-MATCH * size // OF) + 2)
@@ -103,8 +118,7 @@ def _nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for a, b, words in slices(batch.column("text"), lower=True):
             sets = Sets(words)
             vectors = sets.vectors()
-            sketches = np.minimum(vectors.reshape(-1, SKETCH, PARTS // SKETCH).sum(2, dtype=np.int64), 255).astype(np.uint8)
-            both = [pa.array([v.tobytes() for v in x], pa.binary()) for x in (vectors, sketches)]
+            both = [pa.array([v.tobytes() for v in x], pa.binary()) for x in (vectors, sketched(vectors))]
             arrays = [batch.column("doc_id").slice(a, b - a), pa.array(sets.size, pa.int64()), pa.array(sets.nodes()), *both]
             yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "n_shingles", "node", "vector", "sketch"])
 
@@ -269,14 +283,14 @@ def _sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs whose vectors do not rule out a link: at most a seventh of both sizes may be in one set only."""
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, PARTS).astype(np.int32) for c in ("x", "y"))
-        apart = np.abs(x - y).sum(1)
-        both = batch.column("n").to_numpy() + batch.column("m").to_numpy()
-        keep = apart * (MATCH + OF) <= both * (OF - MATCH)
-        yield batch.select(["a", "b"]).filter(pa.array(keep))
+    for whole in batches:
+        for k in range(0, whole.num_rows, 2048):
+            batch = whole.slice(k, 2048)
+            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, PARTS).astype(np.int16) for c in ("x", "y"))
+            apart = np.abs(x - y).sum(1, dtype=np.int64)
+            both = batch.column("n").to_numpy() + batch.column("m").to_numpy()
+            keep = apart * (MATCH + OF) <= both * (OF - MATCH)
+            yield batch.select(["a", "b"]).filter(pa.array(keep))
 
 
 def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -363,10 +377,10 @@ def _pairs(regions: DataFrame, keys: list[str], compare: _Comparer, far: bool =
     """Members (node, n, root) of the regions `keys` that may be linked, as (a, b). A task has some regions, about `REGION_BYTES`."""
     used = [c for c, use in (("far", far), ("inside", inside)) if use]
     rows = regions.select(F.xxhash64(*keys).alias("region"), "node", "n", "root", *used)
-    parts = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-rows.count() * (SKETCH + 48) // REGION_BYTES))
+    parts = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-rows.count() * (SKETCH // 2 + 48) // REGION_BYTES))
 
     def run(table: pa.Table) -> pa.Table:
-        sketch = np.frombuffer(b"".join(table["sketch"].to_pylist()), np.uint8).reshape(-1, SKETCH)
+        sketch = unsketched(np.frombuffer(b"".join(table["sketch"].to_pylist()), np.uint8).reshape(-1, SKETCH // 2))
         columns = [table[c].to_numpy() for c in ("region", "node", "n", "root")]
         more = [table[c].to_numpy() if c in used else None for c in ("far", "inside")]
         pairs = _region_pairs(*columns, sketch, *more)
@@ -437,11 +451,11 @@ def _last_links(members: DataFrame, roots: DataFrame, links: DataFrame, compare:
 def jaccard_components(docs: DataFrame, ranges: int | None = None, block_bytes: int = 6 << 20) -> DataFrame:
     """doc_id, n_shingles, component_id per row of `docs` (doc_id, text)."""
     spark = docs.sparkSession
-    if ranges is None:
-        ranges = 1 << max(0, math.ceil(math.log2(int(spark.conf.get("spark.sql.shuffle.partitions")))))
     kind = docs.schema["doc_id"].dataType.simpleString()
     docs = docs.select("doc_id", "text")
     rows = written(docs.mapInArrow(_nodes, f"doc_id {kind}, n_shingles long, node long, vector binary, sketch binary"), "sets", 1024)
+    if ranges is None:  # a quarter of the shingles is sent, in some ten bytes
+        ranges = hash_ranges(spark, 2.5 * (rows.agg(F.sum("n_shingles")).first()[0] or 0))
     known = rows.where("n_shingles > 0 AND doc_id IS NOT NULL")
     usable = docs.where("doc_id IS NOT NULL AND text IS NOT NULL")
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
 import zipfile
@@ -49,6 +50,17 @@ def sized(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.count() <= rows else df
 
 
+#: What one range of a hash space may hold, in its one task.
+RANGE_BYTES = 64 << 20
+
+
+def hash_ranges(spark: SparkSession, sent: float) -> int:
+    """Into how many equal ranges (a power of two) to cut a hash space that `sent` bytes fall into: as many as shuffle
+    partitions, and as many as keep a range at `RANGE_BYTES` or less on average."""
+    most = max(int(spark.conf.get("spark.sql.shuffle.partitions")), sent / RANGE_BYTES)
+    return 1 << max(0, math.ceil(math.log2(most)))
+
+
 def remainder(column: str, base: int) -> Column:
     """crc32 of the column as text, modulo base."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit(""))) % base
