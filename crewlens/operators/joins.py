@@ -17,14 +17,36 @@ _COPIES = 1 << 20
 
 
 def plan_bytes(df: DataFrame) -> int | None:
-    """Spark's own estimate of the size of a DataFrame (for files: their size, cut to the columns
-    read). None when the session does not expose it; callers then assume the data is large."""
+    """An estimate of the size of a DataFrame: Spark's own for what it reads (for files: their size, cut to the columns
+    read), and for a join the size of its left side, widened by the columns that come in. Spark multiplies the sizes of both
+    sides without statistics, which makes every joined lookup look large; joins here look rows up, so there are as
+    many as on the left. None when the session does not expose the plan; callers then assume the data is large."""
     try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+        return int(_estimate(df._jdf.queryExecution().optimizedPlan()))
     except AttributeError:
         return None
 
 
+_SAME_ROWS, _LEFT_ROWS = ("Project", "Filter", "Aggregate", "Window", "Sort", "SubqueryAlias"), ("LeftOuter", "Inner", "LeftSemi", "LeftAnti")
+
+
+def _estimate(plan) -> float:
+    children = plan.children()
+    name = plan.nodeName()
+    if name == "Join" and plan.joinType().toString() in _LEFT_ROWS or name in _SAME_ROWS:
+        first = children.apply(0)
+        return _estimate(first) * _width(plan) / _width(first)
+    if name == "Union":
+        return sum(_estimate(children.apply(i)) for i in range(children.size()))
+    return float(plan.stats().sizeInBytes())
+
+
+def _width(plan) -> int:
+    """Spark's default sizes of the columns, and eight bytes per row."""
+    output = plan.output()
+    return 8 + sum(output.apply(i).dataType().defaultSize() for i in range(output.size()))
+
+
 def _bucket(keys: Sequence[str], buckets: int) -> Column:
     return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
 

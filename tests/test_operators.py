@@ -271,3 +271,14 @@ def test_first_per_group_equals_top_one(spark, ddl, values, way):
 def test_lookup_join_rejects_other_joins(spark):
     with pytest.raises(ValueError):
         op.lookup_join(spark.range(1), spark.range(1), ["id"], "full")
+
+
+def test_a_joined_lookup_is_as_large_as_its_left_side(spark, tmp_path):
+    """Spark's own estimate of a join without statistics is the product of both sides."""
+    for name in ("a", "b"):
+        spark.range(200_000).select("id", F.concat(F.lit(name), F.col("id").cast("string")).alias(name)).write.parquet(f"{tmp_path}/{name}")
+    a, b = (spark.read.parquet(f"{tmp_path}/{name}") for name in ("a", "b"))
+    one, joined = op.plan_bytes(a), op.plan_bytes(a.join(b, "id", "left"))
+    assert one < joined < 3 * one
+    assert joined < op.plan_bytes(a.unionByName(b.withColumnRenamed("b", "a")).join(b, "id")) < 3 * joined
+    assert op.plan_bytes(a.join(b, "id", "full")) > 100 * joined  # not a lookup: as Spark has it

@@ -4,6 +4,7 @@ import datetime as dt
 import glob
 import os
 import uuid
+from dataclasses import replace
 
 import pyarrow.parquet as pq
 import pytest
@@ -109,12 +110,14 @@ def test_tables_in_buckets_are_summed_and_joined_where_they_lie(spark, database)
         plan = _plan(spark, job(stored, no_sets))
         assert plan.count("Exchange") == 1 == plan.count("Exchange hashpartitioning(job_id") and "SortMergeJoin" in plan
         assert got(job(stored, no_sets)) == got(job(src, no_sets))
-    # Items are read twice, and neither time shuffled; the other side of their join is.
-    plan = _plan(spark, plans.invoiced_items(stored, no_sets))
-    assert plan.count("Exchange hashpartitioning(invoice_id") == 1
-    items = [line for line in plan.split("\n") if "FileScan" in line and "sku_name" in line]
-    assert len(items) == 1 and "Bucketed: true" in items[0]
-    assert got(plans.invoiced_items(stored, no_sets)) == got(plans.invoiced_items(src, no_sets))
+    # Items are read twice, and neither time shuffled. Small jobs are sent to the invoices, which stay where they lie too;
+    # large ones are joined by job, and what comes of it goes back to the items.
+    for params, times in ((no_sets, 0), (replace(no_sets, join=replace(no_sets.join, broadcast_bytes=-1)), 1)):
+        plan = _plan(spark, plans.invoiced_items(stored, params))
+        assert plan.count("Exchange hashpartitioning(invoice_id") == times
+        items = [line for line in plan.split("\n") if "FileScan" in line and "sku_name" in line]
+        assert len(items) == 1 and "Bucketed: true" in items[0]
+        assert got(plans.invoiced_items(stored, params)) == got(plans.invoiced_items(src, no_sets))
 
 
 def test_a_table_with_a_hot_key_is_stored_without_buckets(spark, database):
