@@ -197,8 +197,16 @@ class Lattice:
         cuts = np.cumsum((steps > -2).sum(1))[:-1]
         for i, found in zip(at.tolist(), np.split(whole.astype(np.int32), cuts), strict=True):
             ids[i] = found
-        for k in np.flatnonzero((steps == -1).any(1)).tolist():  # characters that only bytes can write
-            ids[at[k]] = np.array(self.path(words[k])[1], np.int32)
+        bare = np.flatnonzero((steps == -1).any(1))  # with characters that only bytes can write
+        ends = np.stack([h for _, h in reversed(taken)], 1)[bare] if len(bare) else steps[bare]
+        for k, pieces, places in zip(bare.tolist(), steps[bare].tolist(), ends.tolist(), strict=True):
+            out: list[int] = []
+            for found, end in zip(pieces, places, strict=True):
+                if found >= 0:
+                    out.append(found)
+                elif found == -1:
+                    out += [int(self.bytes[b]) for b in words[k][end - 1].encode()]
+            ids[at[k]] = np.array(out, np.int32)
 
     def spread(self, text: str, ahead: str, entries: int) -> np.ndarray:
         """Best scores from each entry state to each exit state of a string, in one pass over its characters: all entries
