@@ -9,7 +9,7 @@ sure to share two cells with every partner; that is where a document is replicat
 
 Regions. Inside a cell (region) a document becomes the pivot, and only the distances of the others to it are
 computed: a star, not all pairs. Members within the threshold of it are one component and need no comparison with each
-other. Regions that still hold several components recur. A small one compares members of different components. A large
+other. Regions that still hold several components recur. One of at most 1024 members compares members of different components. A larger
 one takes as pivot the member that shares cells with most others (the text that edited copies go back to), and
 members are compared with it. Two members x, y that have a, b shingles in common with the pivot share at most min(a, b)
 shingles inside it; so either that is enough for a link, and their distances to the pivot lie within the triangle
@@ -51,7 +51,7 @@ SHINGLE = 5
 MATCH, OF = 75, 100  # the least similarity is MATCH / OF
 HOT = 1 << 16
 DENSE = 32
-REGION = 64
+REGION = 1024
 PARTS, SKETCH = 1024, 256
 REGION_BYTES = 32 << 20
 
