@@ -54,6 +54,7 @@ DENSE = 32
 REGION = 1024
 PARTS, SKETCH = 1024, 256
 REGION_BYTES = 32 << 20
+SEEN = 1 << 13  # nodes of a part whose compared pairs are remembered
 
 
 class Sets:
@@ -339,18 +340,21 @@ def _fits(n: str, m: str) -> Column:
 
 
 def _open_regions(members: DataFrame, roots: DataFrame, keys: list[str]) -> DataFrame:
-    """Members of the regions that hold several components, with their roots and the regions' sizes."""
+    """Members of the regions that hold several components, with their roots, the regions' sizes and least nodes."""
     named = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    mixed = named.groupBy(*keys).agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("members")).where("low < high")
-    return named.join(mixed.select(*keys, "members"), keys)
+    mixed = named.groupBy(*keys).agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("members"), F.min("node").alias("least")).where("low < high")
+    return named.join(mixed.select(*keys, "members", "least"), keys)
 
 
 def _region_pairs(regions: np.ndarray, node: np.ndarray, n: np.ndarray, root: np.ndarray, sketch: np.ndarray, far: np.ndarray | None, inside: np.ndarray | None) -> np.ndarray:
     """Pairs (a, b), a < b, of one part's regions: different components, sizes, triangle windows, shingles inside the pivot and
-    sketches that allow a link. Rows of a region are compared in blocks; no pair is made that they rule out."""
+    sketches that allow a link. Sketches of two nodes are compared once, however many regions hold both; no pair is made
+    that they rule out."""
     order = np.lexsort((n, regions))
     starts = np.flatnonzero(np.concatenate([[True], np.diff(regions[order]) != 0]))
     found = [np.empty((0, 2), np.int64)]
+    nodes, own = np.unique(node, return_inverse=True)
+    seen: dict[int, np.ndarray] = {}
     for rows in np.split(order, starts[1:]) if len(order) else []:
         size = n[rows]
         # Sizes rise: partners of a row lie between it and the greatest size that fits.
@@ -365,6 +369,12 @@ def _region_pairs(regions: np.ndarray, node: np.ndarray, n: np.ndarray, root: np
                 fit &= np.abs(far[near] - far[i]) <= 1 - MATCH / OF + 1e-9
             if inside is not None:
                 fit &= np.minimum(inside[near], inside[i]) * (MATCH + OF) >= (n[near] + n[i]) * MATCH
+            if len(nodes) <= SEEN:
+                if own[i] not in seen:
+                    seen[own[i]] = np.zeros(len(nodes), bool)
+                known = seen[own[i]]
+                fit &= ~known[own[near]]
+                known[own[near[fit]]] = True
             near = near[fit]
             if len(near):
                 apart = np.abs(sketch[near].astype(np.int16) - sketch[i]).sum(1)
@@ -373,11 +383,16 @@ def _region_pairs(regions: np.ndarray, node: np.ndarray, n: np.ndarray, root: np
     return np.unique(np.concatenate(found), axis=0)
 
 
-def _pairs(regions: DataFrame, keys: list[str], compare: _Comparer, far: bool = False, inside: bool = False) -> DataFrame:
-    """Members (node, n, root) of the regions `keys` that may be linked, as (a, b). A task has some regions, about `REGION_BYTES`."""
+def _pairs(regions: DataFrame, keys: list[str], compare: _Comparer, family: str = "least", far: bool = False, inside: bool = False) -> DataFrame:
+    """Members (node, n, root) of the regions `keys` that may be linked, as (a, b). Regions of one `family` (with the same least
+    node, or pivot) hold much the same members, so they go to one task, or to several of `REGION_BYTES` each."""
     used = [c for c, use in (("far", far), ("inside", inside)) if use]
-    rows = regions.select(F.xxhash64(*keys).alias("region"), "node", "n", "root", *used)
-    parts = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-rows.count() * (SKETCH // 2 + 48) // REGION_BYTES))
+    rows = regions.select(F.xxhash64(*keys).alias("region"), "node", "n", "root", F.col(family).alias("family"), *used)
+    each = SKETCH // 2 + 48
+    sizes = written(rows.groupBy("family").count(), "families")
+    parts = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-(sizes.agg(F.sum("count")).first()[0] or 0) * each // REGION_BYTES))
+    # Fewer than there are parts.
+    large = sizes.where(F.col("count") * each > REGION_BYTES).select("family", F.ceil(F.col("count") * each / REGION_BYTES).alias("slots"))
 
     def run(table: pa.Table) -> pa.Table:
         sketch = unsketched(np.frombuffer(b"".join(table["sketch"].to_pylist()), np.uint8).reshape(-1, SKETCH // 2))
@@ -386,7 +401,9 @@ def _pairs(regions: DataFrame, keys: list[str], compare: _Comparer, far: bool =
         pairs = _region_pairs(*columns, sketch, *more)
         return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
 
-    dealt = rows.join(compare.nodes.select("node", "sketch"), "node").withColumn("part", F.expr(f"pmod(xxhash64(region), {parts})"))
+    slot = F.pmod(F.xxhash64("region"), F.coalesce("slots", F.lit(1)))
+    dealt = rows.join(F.broadcast(large), "family", "left").withColumn("part", F.pmod(F.xxhash64("family", slot), F.lit(parts))).drop("family", "slots")
+    dealt = dealt.join(compare.nodes.select("node", "sketch"), "node")
     return dealt.repartition(parts, "part").groupBy("part").applyInArrow(run, "a long, b long").distinct()
 
 
@@ -441,7 +458,7 @@ def _last_links(members: DataFrame, roots: DataFrame, links: DataFrame, compare:
     roots = written(components(links.unionByName(near), "roots"), "roots")
     far = 1 - F.col("inside") / (F.col("n") + F.col("m") - F.col("inside"))
     named = inside.withColumn("far", far).join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    by_size = _pairs(named, ["pivot"], compare, far=True, inside=True)
+    by_size = _pairs(named, ["pivot"], compare, "pivot", far=True, inside=True)
     outside = inside.withColumn("far", far).select("pivot", "node", "n", "far", F.explode("outside").alias("key"))
     regions = written(_open_regions(outside, roots, ["pivot", "key"]), "outside-regions")
     found = found.unionByName(by_size).unionByName(_pairs(regions, ["pivot", "key"], compare, far=True)).distinct()
