@@ -1,11 +1,12 @@
 import random
 import re
 
+import numpy as np
 import pytest
 
 from crewlens.llm import jaccard_regions
 from crewlens.llm.graph import components
-from crewlens.llm.jaccard_regions import jaccard_components
+from crewlens.llm.jaccard_regions import PARTS, _region_pairs, jaccard_components, sketched, unsketched
 
 
 def shingles(text):
@@ -76,3 +77,36 @@ def test_components_of_a_chain_a_hub_and_a_ring(spark):
     links = [(k, k + 1) for k in range(0, 40)] + [(100, k) for k in range(101, 160)] + [(200 + k, 200 + (k + 1) % 7) for k in range(7)] + [(300, 300)]
     out = dict(tuple(r) for r in components(spark.createDataFrame(links, "a long, b long")).collect())
     assert out == {k: 0 for k in range(41)} | {k: 100 for k in range(100, 160)} | {200 + k: 200 for k in range(7)}
+
+
+def test_vectors_never_rule_out_a_link():
+    rng = np.random.default_rng(1)
+    for size in (3, 40, 500, 6000):
+        for _ in range(20):
+            one = rng.integers(0, 1 << 63, size).astype(np.uint64)
+            two = np.concatenate([one[: int(size * rng.uniform(0.7, 1))], rng.integers(0, 1 << 63, int(size * rng.uniform(0, 0.3))).astype(np.uint64)])
+            vectors = np.stack([np.minimum(np.bincount((x >> np.uint64(54)).astype(np.int64), minlength=PARTS), 255) for x in (one, two)]).astype(np.uint8)
+            few = unsketched(sketched(vectors)).astype(int)
+            apart = len(set(one.tolist()) ^ set(two.tolist()))
+            assert np.abs(few[0] - few[1]).sum() <= np.abs(vectors[0].astype(int) - vectors[1]).sum() <= apart
+
+
+@pytest.mark.parametrize("seen", [0, 1 << 13])
+def test_pairs_of_regions_are_made_once_and_none_is_missed(monkeypatch, seen):
+    monkeypatch.setattr(jaccard_regions, "SEEN", seen)
+    rng = np.random.default_rng(seen)
+    rows, nodes = 400, 60
+    region, node = rng.integers(0, 12, rows), rng.integers(0, nodes, rows)
+    n, root = rng.integers(20, 60, nodes)[node], rng.integers(0, 30, nodes)[node]
+    sketch = rng.integers(0, 2, (nodes, 256)).astype(np.uint8)
+    sketch[30:] = sketch[:30]  # equal vectors: nothing rules these out but size and root
+    far = rng.random(rows)
+    want = set()
+    for i in range(rows):
+        for j in range(rows):
+            a, b = node[i], node[j]
+            fits = min(n[i], n[j]) * 100 >= max(n[i], n[j]) * 75 and np.abs(sketch[a].astype(int) - sketch[b]).sum() * 175 <= (n[i] + n[j]) * 25
+            if region[i] == region[j] and a < b and root[i] != root[j] and fits and abs(far[i] - far[j]) <= 0.25 + 1e-9:
+                want.add((a, b))
+    out = _region_pairs(region, node, n, root, sketch[node], far, None)
+    assert {tuple(x) for x in out.tolist()} == want and len(out) == len(want) > 0
