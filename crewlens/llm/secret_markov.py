@@ -38,6 +38,7 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]+")
 LONG, ORDINARY, FIRST = 12, 8, 20
 MARGIN, TOTAL = 2.0, 20.0
+PIECE = 1 << 19  # bytes of text at a time: the arrays beside them are some sixty times as large
 KEY = re.compile(rf"[A-Za-z0-9+/_.=-]{{{LONG},}}")
 KEYWORDS = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key")
 ALPHABET = b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_.=-"
@@ -96,8 +97,8 @@ def _training(odds: np.ndarray | None, margin: float, total: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros((2, SIZE * SIZE), np.int64)
         for batch in batches:
-            for _, _, data, offsets in pieces(batch.column("text")):
-                symbols = _SYMBOL[data].astype(np.int64)
+            for _, _, data, offsets in pieces(batch.column("text"), PIECE):
+                symbols = _SYMBOL[data].astype(np.int32)
                 start, end = runs(symbols >= 0, offsets)
                 # Without a model yet, runs too short for most bare secrets stand for the ordinary ones.
                 wide = (end - start >= ORDINARY) & (end - start < FIRST if odds is None else True)
@@ -115,10 +116,10 @@ def _training(odds: np.ndarray | None, margin: float, total: float):
                     plain = ~_random(sums[end - 1] - sums[start], end - start, margin, total)
                     start, end = start[plain], end[plain]
                 # The pairs inside the runs: from each start to the last but one character.
-                edge = np.zeros(len(data) + 1, np.int64)
+                edge = np.zeros(len(data) + 1, np.int32)
                 np.add.at(edge, start, 1)
                 np.add.at(edge, np.maximum(end - 1, start), -1)
-                counts[0] += np.bincount(pair[np.cumsum(edge)[: len(pair)] > 0], minlength=SIZE * SIZE)
+                counts[0] += np.bincount(pair[np.cumsum(edge, dtype=np.int32)[: len(pair)] > 0], minlength=SIZE * SIZE)
         cells = np.flatnonzero(counts.ravel())
         yield pa.RecordBatch.from_arrays([pa.array(cells, pa.int64()), pa.array(counts.ravel()[cells], pa.int64())], ["cell", "n"])
 
@@ -179,7 +180,7 @@ def markov_spans(text: str, taken: list[Span], odds: np.ndarray, margin: float,
 def _scan(batches: Iterator[pa.RecordBatch], odds: np.ndarray, margin: float, total: float) -> Iterator[tuple[pa.RecordBatch, dict[int, tuple[str, list[Span], list[Span]]]]]:
     """Parts of the batches with (text, base spans, all spans) of the rows that have any."""
     for batch in batches:
-        for a, b, data, offsets in pieces(batch.column("text")):
+        for a, b, data, offsets in pieces(batch.column("text"), PIECE):
             base, long = _suspects(data, offsets)
             found = {}
             for i in np.union1d(base, long).tolist():
