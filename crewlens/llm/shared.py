@@ -66,8 +66,17 @@ def remainder(column: str, base: int) -> Column:
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit(""))) % base
 
 
+#: Rows that Python functions get at a time where the session has Spark's default of 10,000: rows hold whole texts, and a
+#: batch is held on both sides.
+ROWS_PER_BATCH = 2048
+
+
 def ship(spark: SparkSession) -> None:
-    """Gives the executors' Python workers this package, once per application (as `--py-files` would)."""
+    """Gives the executors' Python workers this package, once per application (as `--py-files` would), and makes their
+    batches of rows smaller unless the session has set them itself."""
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(setting) == "10000":
+        spark.conf.set(setting, str(ROWS_PER_BATCH))
     context = spark.sparkContext
     if getattr(context, "_crewlens_shipped", False):
         return
