@@ -15,7 +15,7 @@ from checks.testbed import PARAMS, ZONES, sources
 from crewlens import Params, Sources, plans
 from crewlens.params import JoinTuning
 from crewlens.plans import rollups, timesheets
-from crewlens.sources import write_buckets, write_ranges
+from crewlens.sources import layout, registry, write_buckets, write_ranges
 
 
 def _tenant_files(spark, top, names=("technician", "employee")):
@@ -156,3 +156,38 @@ def test_one_instant_spreads_over_ranges(spark, tmp_path):
     write_ranges(Sources({"job": same}, ZONES), str(tmp_path), 8, {"job": "completed_on"})
     sizes = [pq.ParquetFile(f).metadata.num_rows for f in glob.glob(f"{tmp_path}/job/*/*.parquet")]
     assert sum(sizes) == 20_000 and max(sizes) <= 5000
+
+
+def test_a_larger_table_is_stored_in_more_ranges(spark, tmp_path, monkeypatch, rows):
+    monkeypatch.setattr(layout, "RANGE_BYTES", 20_000)
+    day, ddl = dt.datetime(2025, 1, 1), "id BIGINT, completed_on TIMESTAMP_NTZ, company_id BIGINT"
+    # Of the second Spark has no size.
+    known = spark.range(20_000).select("id", F.timestamp_micros(F.col("id") * 1000).cast("timestamp_ntz").alias("completed_on"), F.lit(1).cast("bigint").alias("company_id"))
+    unknown = rows(ddl, [(i, day + dt.timedelta(minutes=i % 500) if i % 9 else None, 1 + i % 2) for i in range(4000)])
+    for name, df, count in (("known", known, 16), ("unknown", unknown, 6)):
+        write_ranges(Sources({"job": df}, ZONES), f"{tmp_path}/{name}", 2, {"job": "completed_on"})
+        sizes = [pq.ParquetFile(f).metadata.num_rows for f in glob.glob(f"{tmp_path}/{name}/job/*/*.parquet")]
+        assert sum(sizes) == df.count() and len(sizes) >= count and max(sizes) <= 2 * sum(sizes) / count
+        stored = spark.read.schema(ddl).parquet(f"{tmp_path}/{name}/job")
+        assert got(stored) == got(df)
+
+
+def test_paths_of_tenants_are_decoded_only_where_they_are_spelled_unusually(spark, tmp_path):
+    top = f"{tmp_path}/a b+c%20d"
+    _tenant_files(spark, top)
+    stored = Sources.from_tenant_roots(spark, {cid: f"{top}/t{cid}" for cid in ZONES}, ZONES)
+    raw = stored.table("technician")
+    case = raw.select("company_id")._jdf.queryExecution().optimizedPlan().toString()
+    assert 0 < case.index("StartsWith(") < case.index("UrlCodec.decode")
+    spelled = registry._spelled(spark, registry._qualified(spark, f"{top}/t2"))
+    usual = F.startswith("_metadata.file_path", F.lit(f"{spelled}/technician/")).alias("usual")
+    assert got(raw.select("company_id", usual).distinct()) == [(1, False), (2, True), (3, False)]
+    assert got(raw, "company_id", "id") == got(sources(spark, SF).table("technician"), "company_id", "id")
+
+
+def test_paths_spelled_unusually_are_decoded(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(registry, "_spelled", lambda spark, root: "elsewhere")
+    top = f"{tmp_path}/a b+c%20d"
+    _tenant_files(spark, top)
+    stored = Sources.from_tenant_roots(spark, {cid: f"{top}/t{cid}" for cid in ZONES}, ZONES)
+    assert got(stored.table("technician"), "company_id", "id") == got(sources(spark, SF).table("technician"), "company_id", "id")
