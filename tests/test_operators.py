@@ -282,3 +282,15 @@ def test_a_joined_lookup_is_as_large_as_its_left_side(spark, tmp_path):
     assert one < joined < 3 * one
     assert joined < op.plan_bytes(a.unionByName(b.withColumnRenamed("b", "a")).join(b, "id")) < 3 * joined
     assert op.plan_bytes(a.join(b, "id", "full")) > 100 * joined  # not a lookup: as Spark has it
+
+
+def test_bitmaps_of_dense_and_of_sparse_ranges(spark):
+    ids = [*range(1 << 15), (1 << 15) + 70, (1 << 16) - 1]  # the first range lacks no word, the second has two
+    one = spark.createDataFrame([(1, i) for i in ids], "company_id BIGINT, id BIGINT")
+    bits = op.id_bitmaps(one, "id", ranges=64)
+    words = {sum(w.bit_count() if w >= 0 else 64 - (~w).bit_count() for w in r["__words"]): r["__words"] for r in bits.collect()}
+    assert set(words) == {1 << 15, 2} and {len(w) for w in words.values()} == {512}
+    assert [(i, w) for i, w in enumerate(words[2]) if w] == [(1, 1 << 6), (511, -(1 << 63))]
+    # Words that are all there are put in order, not looked up one by one.
+    assert "size(__held" in bits._jdf.queryExecution().optimizedPlan().toString()
+    assert got(op.IdSet(one, "id", JoinTuning()).cut(one)) == got(one)

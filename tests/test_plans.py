@@ -1,6 +1,8 @@
 """The jobs on hand-made rows."""
 
 import datetime as dt
+import re
+from dataclasses import replace
 from decimal import Decimal
 
 import pytest
@@ -477,3 +479,17 @@ def test_views_and_tables(spark):
         assert len(spark.sql(f"SHOW PARTITIONS {table}").collect()) == 3
     finally:
         spark.sql(f"DROP TABLE {table}")
+
+
+def test_pairs_of_jobs_and_technicians_are_made_once_and_dealt_by_job_once(spark):
+    def exchanges(params, **how):
+        plan = plans.job_technicians(sources(spark, SF), params, **how)._jdf.queryExecution().executedPlan().toString()
+        by = [re.sub(r"#\d+L?", "", e) for e in re.findall(r"Exchange hashpartitioning\((.*?), \d+\)", plan)]
+        return [e for e in by if e.startswith("job_id")]
+
+    split = replace(PARAMS, join=JoinTuning(broadcast_bytes=-1, buckets=64))
+    # Counting the technicians' rows makes no pairs.
+    assert sorted(exchanges(split, null_jobs=False)) == ["job_id, company_id", "job_id, technician_id, company_id"]
+    # Lists are made after the shuffle by job alone, not before it too.
+    plan = plans.job_technicians(sources(spark, SF), PARAMS, null_jobs=False)._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("partial_collect_list") < plan.index("REPARTITION_BY_COL")
