@@ -8,8 +8,8 @@ Best paths are max-plus products. A boundary state says how many characters beyo
 documents are split into chunks of `chunk` characters, dealt over all tasks; each yields its transfer matrix
 (best score from entry state to exit state), the matrices of a document are combined associatively, and each chunk is
 then backtraced by itself between its two states. Since no piece holds a space mark after another character, all paths
-meet between a word and the mark after it: a chunk's matrix needs only the words at its two ends, and equal words are solved once, many of
-them in step.
+meet between a word and the mark after it: a chunk's matrix needs only the words at its two ends. Likewise they meet between any two
+characters that no piece holds side by side: texts are cut there into parts, and equal parts are solved once, many of them in step.
 
 Decoding puts pieces together again, each chunk by itself; characters never straddle chunks. Defined cases: null and
 empty texts have one chunk without pieces; U+2581 in a text comes back as a space; unpaired surrogates cannot occur in
@@ -33,10 +33,9 @@ from crewlens.llm.shared import written
 MARK = "▁"
 UNKNOWN_COST = 10.0
 NONE = -np.inf
-WIDE = 256  # longer words are solved one by one
+WIDE = 256  # longer parts are solved one by one
+STEP = 1 << 16  # characters solved in step
 REMEMBERED = 1 << 18
-_NO_IDS = np.empty(0, np.int32)
-_WORD = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 _MEETING = re.compile(f"[^{MARK}](?={MARK})")  # all paths meet after it
 
 
@@ -70,8 +69,9 @@ class Lattice:
                 raise ValueError(f"piece {name!r} goes beyond a space mark")
         byte_of = {int(i): bytes([b]) for b, i in enumerate(self.bytes) if i >= 0}
         self.raw = [b"" if i in silent else byte_of.get(i, name.encode()) for i, name in enumerate(self.names)]
-        self.solved: dict[str, tuple[np.ndarray, float]] = {}
+        self._forget()
         self._table()
+        self._beside()
 
     def _table(self) -> None:
         """Open addressing from the hash of a piece's characters to its number."""
@@ -79,7 +79,7 @@ class Lattice:
         self.power = np.full(self.longest + 1, self.factor, np.uint64)
         self.power[0] = 1
         self.power = np.cumprod(self.power, dtype=np.uint64)
-        bits = 20
+        bits = 17 if len(self.pieces) <= 1 << 15 else 20
         self.shift = np.uint64(64 - bits)
         self.slots, self.value = np.zeros(1 << bits, np.uint64), np.full(1 << bits, -1, np.int32)
         self.score = np.full(len(self.names) + 1, NONE)
@@ -96,6 +96,20 @@ class Lattice:
             self.slots[slot], self.value[slot] = h, i
             self.probes = max(self.probes, tries)
 
+    def _beside(self) -> None:
+        """Which characters pieces hold side by side: by the number of the one and of the other, 0 for all that have none."""
+        pairs = {pair for name in self.pieces for pair in zip(name, name[1:], strict=False)}
+        numbers = []
+        self.before, self.after = np.zeros(0x110000, np.uint16), np.zeros(0x110000, np.uint16)
+        for side, table in enumerate((self.before, self.after)):
+            own = {c: i for i, c in enumerate(sorted({pair[side] for pair in pairs}), 1)}
+            for c, i in own.items():
+                table[ord(c)] = i
+            numbers.append(own)
+        self.beside = np.zeros([len(own) + 1 for own in numbers], bool)
+        for a, b in pairs:
+            self.beside[numbers[0][a], numbers[1][b]] = True
+
     def _slot(self, hashes: np.ndarray) -> np.ndarray:
         return ((hashes ^ (hashes >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) >> self.shift).astype(np.int64)
 
@@ -135,78 +149,123 @@ class Lattice:
             at -= size
         return best[n], out[::-1]
 
-    def words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Pieces of many strings (flat), their bounds, and the strings' scores. Words that a process has solved before are
-        looked up; it remembers `REMEMBERED` of at most `WIDE` characters, then starts anew."""
+    def words(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Pieces of many strings (flat), their bounds, and the strings' scores. All paths meet between two characters that
+        no piece holds side by side: strings are cut there, and equal parts are solved once. Parts that a process has solved
+        before are looked up; it remembers `REMEMBERED` of at most `WIDE` characters, then starts anew."""
+        whole = "".join(texts)
+        edges = np.cumsum([0, *map(len, texts)])
+        codes = np.frombuffer(whole.encode("utf-32-le"), np.uint32)
+        cut = np.ones(len(codes) + 1, bool)
+        if len(codes):
+            cut[1:-1] = ~self.beside[self.before[codes[:-1]], self.after[codes[1:]]]
+        cut[edges] = True
+        start = np.flatnonzero(cut)
+        raw = np.frombuffer(whole.encode(), np.uint8)
+        places = np.append(np.flatnonzero((raw & 0xC0) != 0x80), len(raw))[start]  # in bytes
+        parts = pa.LargeStringArray.from_buffers(len(start) - 1, pa.py_buffer(places), pa.py_buffer(raw)).dictionary_encode()
+        at, points, flat, bounds = self._known(parts.dictionary.to_pylist())
+        at = at[parts.indices.to_numpy()]
+        n = np.diff(bounds)[at]
+        ends = np.cumsum(n)
+        ids = flat[np.arange(n.sum()) + np.repeat(bounds[at] - ends + n, n)]
+        first = np.searchsorted(start, edges)
+        owner = np.repeat(np.arange(len(texts)), np.diff(first))
+        return ids, np.append(0, ends)[first], np.bincount(owner, points[at], len(texts))
+
+    def _known(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The number of each of these distinct strings; scores, pieces (flat) and their bounds by number."""
         if len(self.solved) > REMEMBERED:
-            self.solved.clear()
+            self._forget()
         solved = self.solved
-        new = [w for w in words if w not in solved]
-        lengths = np.array([len(w) for w in new], np.int64)
-        ids: list[np.ndarray | None] = [None] * len(new)
-        scores = np.zeros(len(new))
-        low = 0
-        for high in (4, 8, 12, 16, 24, 32, 64, WIDE):
-            some = np.flatnonzero((lengths > low) & (lengths <= high))
-            for k in range(0, len(some), 1 << 13):
-                self._in_step([new[i] for i in some[k : k + (1 << 13)]], some[k : k + (1 << 13)], high, ids, scores)
-            low = high
-        own = {}
-        for word, found, score, length in zip(new, ids, scores.tolist(), lengths.tolist(), strict=True):
-            if length > WIDE:
-                score, path = self.path(word)
-                own[word] = np.array(path, np.int32), score
-            else:
-                solved[word] = (found if found is not None else _NO_IDS), score
-        parts = [solved.get(w) or own[w] for w in words]
-        flat = np.concatenate([*(p for p, _ in parts), _NO_IDS])
-        return flat, np.cumsum([0, *(len(p) for p, _ in parts)]), np.array([x for _, x in parts], np.float64)
-
-    def _in_step(self, words: list[str], at: np.ndarray, width: int, ids: list, scores: np.ndarray) -> None:
-        n = len(words)
+        at = list(map(solved.get, parts))
+        new = [k for k, i in enumerate(at) if i is None]
+        if not new:
+            return np.array(at, np.int64), self.points, self.flat, self.bounds
+        new.sort(key=lambda k: len(parts[k]), reverse=True)
+        wide = next((i for i, k in enumerate(new) if len(parts[k]) <= WIDE), len(new))
+        new = new[wide:] + new[:wide]
+        keep, base = len(new) - wide, len(solved)
+        ids, counts, scores = [], [], []
+        sizes = np.cumsum([len(parts[k]) for k in new[:keep]])
+        a = 0
+        while a < keep:
+            b = max(a + 1, int(np.searchsorted(sizes, sizes[a] + STEP, "right")))
+            found = self._in_step([parts[k] for k in new[a:b]])
+            for held, more in zip((ids, counts, scores), found, strict=True):
+                held.append(more)
+            a = b
+        for k in new[keep:]:
+            score, path = self.path(parts[k])
+            ids.append(np.array(path, np.int32))
+            counts.append([len(path)])
+            scores.append([score])
+        for i, k in enumerate(new):
+            at[k] = base + i
+        solved.update((parts[k], base + i) for i, k in enumerate(new[:keep]))
+        points, flat = np.concatenate([self.points, *scores]), np.concatenate([self.flat, *ids])
+        bounds = np.append(self.bounds, self.bounds[-1] + np.cumsum(np.concatenate(counts)))
+        self.points, self.bounds = points[: base + keep], bounds[: base + keep + 1]
+        self.flat = flat[: self.bounds[-1]] if keep == len(new) else flat[: self.bounds[-1]].copy()
+        return np.array(at, np.int64), points, flat, bounds
+
+    def _forget(self) -> None:
+        self.solved: dict[str, int] = {}
+        self.points, self.flat, self.bounds = np.empty(0), np.empty(0, np.int32), np.zeros(1, np.int64)
+
+    def _in_step(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Pieces (flat), how many each word has, and scores of words in falling order of length."""
         length = np.array([len(w) for w in words])
-        chars = np.zeros((width, n), np.uint64)
         flat = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)
-        row = np.repeat(np.arange(n), length)
-        place = np.arange(len(flat)) - np.repeat(np.cumsum(length) - length, length)
-        chars[place, row] = flat + np.uint64(1)
-        sums = np.zeros((width + 1, n), np.uint64)
-        best, size, piece = np.full((width + 1, n), NONE), np.zeros((width + 1, n), np.int8), np.full((width + 1, n), -1, np.int32)
-        best[0] = 0
-        for end in range(1, width + 1):
-            sums[end] = sums[end - 1] * self.factor + chars[end - 1]
-            top, last, which = best[end - 1] + self.unknown, np.ones(n, np.int8), np.full(n, -1, np.int32)
-            live = np.flatnonzero(length >= end)
-            for k in range(1, min(self.longest, end) + 1):
-                found = self._find(sums[end][live] - sums[end - k][live] * self.power[k])
-                hit = live[found >= 0]
-                found = found[found >= 0]
-                value = best[end - k][hit] + self.score[found]
-                better = value >= top[hit]
-                top[hit[better]], last[hit[better]], which[hit[better]] = value[better], k, found[better]
-            best[end], size[end], piece[end] = top, last, which
-        columns = np.arange(n)
-        scores[at] = best[length, columns]
-        here, taken = length.copy(), []
+        first = np.cumsum(length) - length
+        place = np.arange(len(flat)) - np.repeat(first, length)
+        # Pieces that end at each character, the longest first: equal sums go to the longer last piece.
+        reach = min(self.longest, int(length[0]))
+        piece = np.full((len(flat), reach), -1, np.int32)
+        codes = flat + np.uint64(1)
+        hashes, at = codes, np.arange(len(flat))
+        for k in range(1, reach + 1):
+            if k > 1:
+                inside = place[at] >= k - 1
+                at = at[inside]
+                hashes = (hashes_before[at - 1] * self.factor) + codes[at]
+            piece[at, reach - k] = self._find(hashes)
+            hashes_before = np.zeros(len(flat), np.uint64)
+            hashes_before[at] = hashes
+        score = self.score[piece]
+        base = first + np.arange(len(words))  # a word has one boundary more than it has characters
+        best = np.zeros(len(flat) + len(words))
+        size, taken = np.zeros(len(best), np.int8), np.full(len(best), -1, np.int32)
+        back = np.arange(reach, 0, -1)
+        live = np.searchsorted(-length, -np.arange(1, length[0] + 1), "right")
+        for end, n in enumerate(live.tolist(), 1):
+            here, row, k = base[:n] + end, first[:n] + (end - 1), min(reach, end)
+            value = best[here[:, None] - back[reach - k :]] + score[row, reach - k :]
+            which = value.argmax(1)
+            top, bare = value[np.arange(n), which], best[here - 1] + self.unknown
+            known = top >= bare
+            best[here] = np.where(known, top, bare)
+            size[here] = np.where(known, k - which, 1)
+            taken[here] = np.where(known, piece[row, which + (reach - k)], -1)
+        here, steps, ends = length.copy(), [], []
         while here.any():
-            used = here > 0
-            taken.append((np.where(used, piece[here, columns], -2), here.copy()))
-            here = np.where(used, here - size[here, columns], 0)
-        steps = np.stack([t for t, _ in reversed(taken)], 1) if taken else np.empty((n, 0), np.int32)
-        whole = steps[steps > -2]
-        cuts = np.cumsum((steps > -2).sum(1))[:-1]
-        for i, found in zip(at.tolist(), np.split(whole.astype(np.int32), cuts), strict=True):
-            ids[i] = found
-        bare = np.flatnonzero((steps == -1).any(1))  # with characters that only bytes can write
-        ends = np.stack([h for _, h in reversed(taken)], 1)[bare] if len(bare) else steps[bare]
-        for k, pieces, places in zip(bare.tolist(), steps[bare].tolist(), ends.tolist(), strict=True):
-            out: list[int] = []
-            for found, end in zip(pieces, places, strict=True):
-                if found >= 0:
-                    out.append(found)
-                elif found == -1:
-                    out += [int(self.bytes[b]) for b in words[k][end - 1].encode()]
-            ids[at[k]] = np.array(out, np.int32)
+            steps.append(np.where(here > 0, taken[base + here], -2))
+            ends.append(here.copy())
+            here -= np.where(here > 0, size[base + here], 0)
+        steps, ends = np.stack(steps[::-1], 1), np.stack(ends[::-1], 1)
+        used = steps > -2
+        ids, counts = steps[used].astype(np.int32), used.sum(1)
+        if (ids < 0).any():  # characters that only bytes can write
+            word, step = np.nonzero(used)
+            gone = np.flatnonzero(ids < 0)
+            raw = [chr(c).encode() for c in flat[first[word[gone]] + ends[word[gone], step[gone]] - 1].tolist()]
+            n = np.ones(len(ids), np.int64)
+            n[gone] = [len(x) for x in raw]
+            spelled = np.repeat(ids < 0, n)
+            ids = np.repeat(ids, n)
+            ids[spelled] = self.bytes[np.frombuffer(b"".join(raw), np.uint8)]
+            counts = np.bincount(word, n, len(words)).astype(np.int64)
+        return ids, counts, best[base + length]
 
     def spread(self, text: str, ahead: str, entries: int) -> np.ndarray:
         """Best scores from each entry state to each exit state of a string, in one pass over its characters: all entries
@@ -243,16 +302,24 @@ class Lattice:
         head = self.spread(text[: cuts[0]], "", self.longest)[:, 0]
         return np.add.outer(head, self.spread(text[cuts[-1] :], ahead, 1)[0])
 
+    def chunks(self, chunks: list[tuple[str, str, int, int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Pieces (flat) that start in each chunk (text, ahead, entry, leave), between its two states; their bounds; scores."""
+        bodies, tails = [], []
+        for text, ahead, entry, leave in chunks:
+            meetings = [m.start() + 1 for m in _MEETING.finditer(text, entry)] if leave else []
+            last = (meetings[-1] if meetings else min(entry, len(text))) if leave else len(text)
+            bodies.append(text[entry:last])
+            tails.append(self.path(text[last:] + ahead[:leave], len(text) - last) if leave and entry < len(text) else (0.0, []))
+        ids, bounds, scores = self.words(bodies)
+        if any(tail for _, tail in tails):
+            parts = [x for a, b, (_, tail) in zip(bounds[:-1], bounds[1:], tails, strict=True) for x in (ids[a:b], np.array(tail, np.int32))]
+            ids, bounds = np.concatenate(parts), bounds + np.cumsum([0, *(len(tail) for _, tail in tails)])
+        return ids, bounds, scores + [score for score, _ in tails]
+
     def chunk(self, text: str, ahead: str, entry: int, leave: int) -> tuple[np.ndarray, float]:
-        """Pieces of a chunk that start in it, between its two states."""
-        if entry >= len(text):
-            return np.empty(0, np.int32), 0.0
-        meetings = [m.start() + 1 for m in _MEETING.finditer(text, entry)] if leave else []
-        last = (meetings[-1] if meetings else entry) if leave else len(text)
-        parts = _WORD.findall(text[entry:last])
-        ids, _, scores = self.words(parts)
-        score, end = self.path(text[last:] + ahead[:leave], len(text) - last if leave else None) if leave else (0.0, [])
-        return np.concatenate([ids, np.array(end, np.int32)]), float(scores.sum()) + score
+        """Pieces of one chunk, and its score."""
+        ids, _, scores = self.chunks([(text, ahead, entry, leave)])
+        return ids, float(scores[0])
 
     def decode(self, ids: list[int], first: bool) -> str:
         raw = b"".join(map(self.raw.__getitem__, ids))
@@ -294,36 +361,29 @@ def lattice(path: str | None) -> Lattice:
 OUT = "chunk int, n_chars long, ids array<int>, score double"
 
 
-def _result(columns: dict, ids: list[np.ndarray], scores: list[float]) -> pa.RecordBatch:
-    cuts = np.cumsum([0, *map(len, ids)])
-    flat = np.concatenate([*ids, np.empty(0, np.int32)]).astype(np.int32)
-    columns = columns | {"ids": pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(flat)), "score": pa.array(scores, pa.float64())}
+def _result(columns: dict, found: tuple[np.ndarray, np.ndarray, np.ndarray]) -> pa.RecordBatch:
+    flat, bounds, scores = found
+    columns = columns | {"ids": pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(flat)), "score": pa.array(scores, pa.float64())}
     return pa.RecordBatch.from_pydict(columns)
 
 
+def _pieces(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Rows of some 2 MB together."""
+    step = max(1, int(batch.num_rows * (2 << 20) / max(batch.nbytes, 1)))
+    for k in range(0, batch.num_rows, step):
+        yield batch.slice(k, step)
+
+
 def _short(path: str | None):
-    """Texts of one chunk, many at a time: equal words are solved once."""
+    """Texts of one chunk, many at a time: equal parts are solved once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = lattice(path)
-        for batch in batches:
-            step = max(1, int(batch.num_rows * (2 << 20) / max(batch.nbytes, 1)))
-            for k in range(0, batch.num_rows, step):
-                part = batch.slice(k, step)
-                texts = [t or "" for t in part.column("text").to_pylist()]
-                index: dict[str, int] = {}
-                used = [[index.setdefault(w, len(index)) for w in _WORD.findall(MARK + t.replace(" ", MARK))] if t else [] for t in texts]
-                flat, bounds, scores = model.words(list(index))
-                counts = np.diff(bounds)
-                ids, sums = [], []
-                for words in used:
-                    at = np.array(words, np.int64)
-                    n = counts[at]
-                    inside = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-                    ids.append(flat[np.repeat(bounds[at], n) + inside])
-                    sums.append(float(scores[at].sum()))
-                columns = {"doc_id": part.column("doc_id"), "chunk": pa.array([0] * len(texts), pa.int32()), "n_chars": pa.array([len(t) for t in texts], pa.int64())}
-                yield _result(columns, ids, sums)
+        for part in (p for batch in batches for p in _pieces(batch)):
+            texts = [t or "" for t in part.column("text").to_pylist()]
+            found = model.words([MARK + t.replace(" ", MARK) if t else "" for t in texts])
+            columns = {"doc_id": part.column("doc_id"), "chunk": pa.array([0] * len(texts), pa.int32()), "n_chars": pa.array([len(t) for t in texts], pa.int64())}
+            yield _result(columns, found)
 
     return run
 
@@ -350,10 +410,9 @@ def _boundaries(table: pa.Table) -> pa.Table:
 def _long(path: str | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = lattice(path)
-        for batch in batches:
-            found = [model.chunk(r["marked"], r["ahead"], r["entry"], r["leave"]) for r in batch.select(["marked", "ahead", "entry", "leave"]).to_pylist()]
-            columns = {c: batch.column(c) for c in ("doc_id", "chunk", "n_chars")}
-            yield _result(columns, [ids for ids, _ in found], [score for _, score in found])
+        for part in (p for batch in batches for p in _pieces(batch)):
+            found = model.chunks(list(zip(*(part.column(c).to_pylist() for c in ("marked", "ahead", "entry", "leave")), strict=True)))
+            yield _result({c: part.column(c) for c in ("doc_id", "chunk", "n_chars")}, found)
 
     return run
 

@@ -145,6 +145,26 @@ def test_words_solved_before_are_looked_up(monkeypatch):
     assert all(len(w) <= 256 for w in fresh.solved)
 
 
+def test_texts_are_cut_where_no_piece_goes_on():
+    """Parts between characters that no piece holds side by side are solved once, whatever words they stand in."""
+    fresh = Lattice(None)
+    parts = ["the", "straight", "日", "ofererst", "🙂", "9", ".", "\n", "ÿ", MARK]
+    texts = [MARK + f"the\n{a}.\n{b}日{c}" for a in parts for b in parts for c in parts]
+    flat, bounds, scores = fresh.words(texts)
+    for k, t in enumerate(texts):
+        score, ids = fresh.path(t)
+        assert flat[bounds[k] : bounds[k + 1]].tolist() == ids and scores[k] == score
+    assert len(fresh.solved) < len(texts) / 20
+
+
+def test_chunks_at_once_equal_chunks_alone(model):
+    chunks = [(t.replace(" ", MARK), "the", e, x) for t in [*texts(3)[:8], "", "a"] for e, x in ((0, 0), (2, 0), (0, 2))]
+    ids, bounds, scores = model.chunks(chunks)
+    for k, c in enumerate(chunks):
+        one, score = model.chunk(*c)
+        assert ids[bounds[k] : bounds[k + 1]].tolist() == one.tolist() and scores[k] == score
+
+
 def test_round_trip(spark):
     rows = [(i, t, "x", 1) for i, t in enumerate([*texts(), None, "", " ", "  two  ", "y" * 5000, "long words " * 400, "a▁b"])]
     docs = spark.createDataFrame(rows, "doc_id long, text string, ids string, chunk int").repartition(3)
