@@ -47,3 +47,21 @@ def test_fewer_candidates_than_k_and_empty(spark):
 def test_given_table(spark):
     df = spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet")
     assert got(top_k(df)) == brute([(r["vec_id"], r["embedding"]) for r in df.collect()], 20, 20)
+
+
+@pytest.mark.parametrize("most", [1, 40])
+def test_broadcasts_nothing_and_equals_brute_force(spark, most):
+    """Query blocks that are small as a file become large when each is sent to many tasks. `most`: many equal scores, few."""
+    settings = {"spark.sql.maxBroadcastTableSize": "64k", "spark.sql.shuffle.partitions": "16"}
+    before = {key: spark.conf.get(key) for key in settings}
+    rng = random.Random(4)
+    rows = [(i, [rng.randint(-most, most) / 64 for _ in range(48)]) for i in range(400)] + [(7, [most / 64] * 50), (7, [most / 64] * 50)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(3)
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        assert got(top_k(df, k=5, every=1, rows_per_block=32, bins=8)) == brute(rows, 5, 1)
+        assert got(top_k(df, k=40, every=3, rows_per_block=100)) == brute(rows, 40, 3)
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
