@@ -31,7 +31,8 @@ from pyspark.sql import functions as F
 from crewlens.llm.shared import written
 
 BLOCK = "block long, n int, dims int, largest long, ids binary, rows binary, cells binary"
-STATE = "array<struct<row:long,low:long,above:long>>"
+#: What is known of the queries of a block: their rows, in order, and a value for each.
+STATE = {"row": "array<long>", "low": "array<long>", "above": "array<int>"}
 #: Pairs of blocks that Python gets at a time (some 600 KB each), and queries of a pair that are scored at a time.
 PAIRS_PER_BATCH, SCORED = 32, 512
 
@@ -132,16 +133,16 @@ def _matrix(raw: bytes, n: int, dims: int) -> np.ndarray:
 class _Queries:
     """A query block, and what is known of its queries."""
 
-    def __init__(self, block: int, n: int, dims: int, largest: int, ids: bytes, rows: bytes, cells: bytes, state: pa.StructArray | None):
+    def __init__(self, block: int, n: int, dims: int, largest: int, ids: bytes, rows: bytes, cells: bytes, state: dict[str, pa.Array | None]):
         self.block, self.largest, self.cells = block, largest, _matrix(cells, n, dims)
         self.rows, self.ids = np.frombuffer(rows, np.int64), np.frombuffer(ids, np.int64)
-        self.state = state  # of some of the rows
+        self.state = state  # of some of the rows or none
 
     def known(self, name: str, default: int) -> np.ndarray:
         """A value per query; the default where nothing is known."""
         out = np.full(len(self.rows), default, np.int64)
-        if self.state is not None:
-            out[np.searchsorted(self.rows, self.state.field("row").to_numpy())] = self.state.field(name).to_numpy()
+        if self.state["row"] is not None:
+            out[np.searchsorted(self.rows, self.state["row"].to_numpy())] = self.state[name].to_numpy()
         return out
 
 
@@ -153,7 +154,7 @@ def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[_Queries, slice,
         for i in range(batch.num_rows):
             if held is None or held.block != batch.column("q_block")[i].as_py():
                 q = {name: batch.column(f"q_{name}")[i].as_py() for name in ("block", "n", "dims", "largest", "ids", "rows", "cells")}
-                held = _Queries(**q, state=batch.column("state")[i].values)
+                held = _Queries(**q, state={name: batch.column(name)[i].values for name in STATE})
             r = {name: batch.column(name)[i].as_py() for name in ("n", "dims", "largest", "ids", "rows", "cells")}
             c, rows, ids = _matrix(r["cells"], r["n"], r["dims"]), np.frombuffer(r["rows"], np.int64), np.frombuffer(r["ids"], np.int64)
             dims = min(held.cells.shape[1], c.shape[1])
@@ -300,7 +301,7 @@ def top_k(embeddings: DataFrame, k: int = 20, every: int = 20, rows_per_block: i
 
     def pairs(state: DataFrame | None) -> DataFrame:
         asked = queries.select("block", *(F.col(c).alias(f"q_{c}") for c in ("n", "dims", "largest", "ids", "rows", "cells")))
-        asked = asked.withColumn("state", F.lit(None).cast(STATE)) if state is None else asked.join(state.hint("merge"), "block", "left")
+        asked = asked.withColumns({name: F.lit(None).cast(kind) for name, kind in STATE.items()}) if state is None else asked.join(state.hint("merge"), "block", "left")
         asked = sent(asked, place(groups) * stripes, 1, stripes).withColumnRenamed("block", "q_block")
         # Sorted by cell, a query block meets its vector blocks one after the other.
         return asked.join(sent(vectors, place(stripes), stripes, groups).drop("block").hint("merge"), "cell").drop("cell")
@@ -313,8 +314,9 @@ def top_k(embeddings: DataFrame, k: int = 20, every: int = 20, rows_per_block: i
         counts = counts.groupBy("block", "row", "before", "low").agg(F.sum("n").alias("n"))
         upto = F.col("before") + F.sum("n").over(Window.partitionBy("block", "row", "before").orderBy(F.desc("low")))
         ranked = counts.withColumn("upto", upto).where((F.col("upto") >= k) & (F.col("upto") - F.col("n") < k))
-        found = written(ranked.select("block", "row", "low", (F.col("upto") - F.col("n")).alias("above")), "topk-state", PAIRS_PER_BATCH)
-        state = found.groupBy("block").agg(F.sort_array(F.collect_list(F.struct("row", "low", "above"))).alias("state"))
+        found = written(ranked.select("block", "row", "low", (F.col("upto") - F.col("n")).cast("int").alias("above")), "topk-state", PAIRS_PER_BATCH)
+        state = found.groupBy("block").agg(F.sort_array(F.collect_list(F.struct(*STATE))).alias("state"))
+        state = state.select("block", *(F.col(f"state.{name}") for name in STATE))
         step, first = step // bins, False
     winners = pairs(state).mapInArrow(_winners(k, -bound - 1), "row long, query_id long, vec_id long, score long")
     best = written(winners, "topk-winners", PAIRS_PER_BATCH)
